@@ -1,4 +1,10 @@
-"""Date functions. Offsets are dropped, never converted: results are wall-clock times."""
+"""Date functions. Offsets are dropped, never converted: results are wall-clock times.
+
+Each parser rewrites the text into the form that a cast to ``timestamp_ntz``
+reads, so no step depends on the session time zone. A step refers to the one
+before it only once, which keeps the plan small where Spark inlines a parsed
+column into filters and keys.
+"""
 
 from __future__ import annotations
 
@@ -6,51 +12,46 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # English month names, three letters each.
-MONTHS = "janfebmaraprmayjunjulaugsepoctnovdec"
+MONTHS = ("jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov", "dec")
+
+# Put before a rewritten text, to tell it from one that did not match.
+MATCHED = "\x01"
 
+# Day, month, year, hour, minute, second; weekday and zone are optional.
 RFC2822 = (
     r"(?i)^\s*(?:[a-z]+,?\s+)?(\d{1,2})\s+"
     r"(jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec)[a-z]*\s+"
     r"(\d{4}|\d{2})\s+(\d{1,2}):(\d{1,2})(?::(\d{1,2}))?(?:\s.*)?$"
 )
+# Year, dash, month, day, hour, minute, second; time and zone are optional.
 ISO8601 = (
     r"^(\d{4})(-?)(\d{2})\2(\d{2})"
-    r"(?:[T ](\d{2})(?::?(\d{2})(?::?(\d{2}(?:[.,]\d+)?))?)?"
+    r"(?:[T ](\d{2})(?::?(\d{2})(?::?(\d{2}(?:\.\d+)?))?)?"
     r"(?:Z|[+-]\d{2}(?::?\d{2})?(?::?\d{2})?)?)?$"
 )
 
 
-def _part(text: Column, pattern: str, group: int) -> Column:
-    found = F.regexp_extract(text, pattern, group)
-    return F.coalesce(F.nullif(found, F.lit("")), F.lit("0"))
+def _rewritten(text: Column, pattern: str, form: str) -> Column:
+    """The text in another form, or "" where the pattern does not match."""
+    return F.split_part(F.regexp_replace(text, pattern, MATCHED + form), F.lit(MATCHED), F.lit(2))
 
 
 def parse_rfc2822(text: Column) -> Column:
-    """``[Tue,] 26 May 2026 08:30[:00] [zone]`` as a time without zone, else null."""
-    part = lambda group: _part(text, RFC2822, group)
-    month = (F.position(F.lower(F.substring(part(2), 1, 3)), F.lit(MONTHS)) + 2) / 3
-    digits = part(3)
-    number = digits.try_cast("int")
-    century = F.when(number > 68, 1900).otherwise(2000)
-    year = F.when(F.length(digits) == 2, number + century).otherwise(number)
-    seconds = part(6)
-    parsed = F.try_make_timestamp_ntz(
-        year, month.cast("int"), part(1).try_cast("int"), part(4).try_cast("int"),
-        part(5).try_cast("int"), seconds.try_cast("decimal(16,6)"),
-    )
-    return F.when(text.rlike(RFC2822) & (seconds.try_cast("int") < 60), parsed)
+    """``[Tue,] 26 May 2026 08:30[:00] [zone]`` as a time without zone, else null.
+
+    Two-digit years from 69 are of the last century.
+    """
+    form = F.lower(_rewritten(text, RFC2822, "$3-$2-$1 $4:$5:$6"))
+    for number, name in enumerate(MONTHS, 1):
+        form = F.replace(form, F.lit(name), F.lit(str(number)))
+    form = F.regexp_replace(F.regexp_replace(form, "^(69|[7-9][0-9])-", "19$1-"), "^([0-9]{2})-", "20$1-")
+    return F.rtrim(form, F.lit(":")).try_cast("timestamp_ntz")
 
 
 def parse_iso(text: Column) -> Column:
     """ISO 8601 date or date and time, dashed or compact, else null."""
-    part = lambda group: _part(text, ISO8601, group)
-    seconds = F.translate(part(7), ",", ".").try_cast("decimal(38,18)")
-    micros = (F.floor(seconds * 1000000) / 1000000).cast("decimal(16,6)")
-    parsed = F.try_make_timestamp_ntz(
-        part(1).try_cast("int"), part(3).try_cast("int"), part(4).try_cast("int"),
-        part(5).try_cast("int"), part(6).try_cast("int"), micros,
-    )
-    return F.when(text.rlike(ISO8601) & (seconds < 60), parsed)
+    form = _rewritten(F.translate(text, ",", "."), ISO8601, "$1-$3-$4 $5:$6:$7")
+    return F.rtrim(form, F.lit(" :")).try_cast("timestamp_ntz")
 
 
 def parse_date(text: Column) -> Column:
@@ -60,8 +61,7 @@ def parse_date(text: Column) -> Column:
 
 def format_day(text: Column) -> Column:
     """Date string as ``yyyyMMdd``; null where it is no date."""
-    stamp = F.coalesce(text.try_cast("timestamp_ntz"), parse_iso(text))
-    return F.date_format(stamp, "yyyyMMdd")
+    return F.date_format(F.coalesce(text.try_cast("timestamp_ntz"), parse_iso(text)), "yyyyMMdd")
 
 
 def day_of(stamp: Column) -> Column:

@@ -54,11 +54,10 @@ def article_html(html: Column) -> Column:
 
 def has_plain_article(html: Column) -> Column:
     """True where ``article_html`` is exact: one article, no nested page furniture."""
-    page = without_noise(html)
-    opened = F.regexp_count(page, F.lit(r"(?i)<article\b"))
-    closed = F.regexp_count(page, F.lit(r"(?i)</article\s*>"))
-    leftover = article_html(html).rlike(r"(?i)</?(nav|footer|header|script|style)\b")
-    return F.coalesce((opened == 1) & (closed == 1) & ~leftover, F.lit(False))
+    marks = F.regexp_count(without_noise(html), F.lit(r"(?i)</?article\b"))
+    article = article_html(html)
+    plain = article.rlike(r"(?is)^<article\b") & ~article.rlike(r"(?i)</?(nav|footer|header|script|style)\b")
+    return F.coalesce((marks == 2) & plain, F.lit(False))
 
 
 def html_text(html: Column) -> Column:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import string
 import unicodedata
 from collections.abc import Iterable
 
@@ -46,6 +47,22 @@ WORD_CHARS = f"a-zA-Z0-9_{ACCENTED}"
 NON_WORD = f"[^{WORD_CHARS}]+"
 
 
+def _non_word_class(keep: str = "") -> str:
+    """A class of the characters outside the word class and ``keep``.
+
+    Equal to ``[^WORD_CHARS keep]``, but with every character below U+0100 listed
+    singly, which the regex engine turns into one table lookup. A negated class
+    of many ranges tests them one by one, through shared type caches that keep
+    the cores of one process from working in parallel.
+    """
+    word = set(string.ascii_letters + string.digits + "_" + ACCENTED + keep)
+    low = "".join(f"\\x{code:02x}" for code in range(256) if chr(code) not in word)
+    middle = "".join(c for c in ACCENTED if "\u0100" <= c < "\u1e00")
+    high = "".join(c for c in ACCENTED if c >= "\u1e00")
+    known = f"{middle}[{high[0]}-{high[-1]}&&[{high}]]"
+    return f"[{low}[\\x{{100}}-\\x{{10ffff}}&&[^{known}]]]"
+
+
 def _ascii_letters() -> tuple[str, str]:
     """Lowercase Latin letters with marks, and the ASCII letter under each."""
     source, target = ["đ", "ø", "ł", "ı"], ["d", "o", "l", "i"]
@@ -85,7 +102,7 @@ def clean_text(text: Column, compat: bool = False) -> Column:
     The default lowers first, so accented capitals survive. ``compat`` cleans the
     text as it stands, which turns accented capitals into spaces.
     """
-    return F.regexp_replace(text if compat else F.lower(text), f"[^{WORD_CHARS}\\s]", " ")
+    return F.regexp_replace(text if compat else F.lower(text), _non_word_class(WHITESPACE), " ")
 
 
 def tokenize(text: Column) -> Column:
@@ -101,7 +118,7 @@ def word_tokens(text: Column, compat: bool = False) -> Column:
     them, so splitting on runs of unwanted characters gives the same tokens. The
     array may start or end with an empty string; the keyword filter drops it.
     """
-    return F.split(F.coalesce(text if compat else F.lower(text), F.lit("")), NON_WORD)
+    return F.split(F.coalesce(text if compat else F.lower(text), F.lit("")), _non_word_class() + "+")
 
 
 def is_keyword(token: Column, min_length: int = 2, stopwords: Iterable[str] | None = None) -> Column:
@@ -136,8 +153,10 @@ def normalize_title(title: Column) -> Column:
 
 
 def truncate_text(text: Column, max_length: int = 5000) -> Column:
-    cut = F.concat(F.substring(text, 1, max_length - 3), F.lit("..."))
-    return F.when(F.length(text) > max_length, cut).otherwise(F.coalesce(text, F.lit("")))
+    """Texts over the limit are cut and end in "...". One pattern, so that a long
+    ``text`` expression is not repeated in the plan."""
+    longer = f"(?s)^(.{{{max_length - 3}}}).{{4}}.*$"
+    return F.regexp_replace(F.coalesce(text, F.lit("")), longer, "$1...")
 
 
 def decode_entities(text: Column) -> Column:
@@ -150,13 +169,10 @@ def create_slug(title: Column, max_length: int = 500) -> Column:
     text = F.translate(replace_all(text, LATIN_DIGRAPHS), LATIN_MARKED, LATIN_ASCII)
     text = F.translate(text, "‘’", "")
     text = F.regexp_replace(text, "(?<=[0-9]),(?=[0-9])", "")
-    slug = F.btrim(F.regexp_replace(text, "[^a-z0-9]+", "-"), F.lit("-"))
-    head = F.substring(slug, 1, max_length)
-    at_boundary = F.substring(slug, max_length + 1, 1) == "-"
-    cut = F.when(at_boundary, head).otherwise(F.regexp_replace(head, "-[^-]*$", ""))
-    slug = F.when(F.length(slug) > max_length, cut).otherwise(slug)
-    named = F.when(slug == "", F.lit("article")).otherwise(slug)
-    return F.when(F.coalesce(title, F.lit("")) == "", F.lit("")).otherwise(named)
+    slug = F.btrim(F.regexp_replace(text, f"[^{string.ascii_lowercase}{string.digits}]+", "-"), F.lit("-"))
+    whole_words = f"^(?:(.{{0,{max_length}}})(?:-.*)?|(.{{{max_length}}}).*)$"
+    slug = F.regexp_replace(F.regexp_replace(slug, whole_words, "$1$2"), "^$", "article")
+    return F.when(F.coalesce(title, F.lit("")) == "", F.lit("")).otherwise(slug)
 
 
 def link_tail(link: Column, max_length: int = 500) -> Column:

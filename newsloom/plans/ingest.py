@@ -18,6 +18,7 @@ from newsloom.operators import quality
 from newsloom.operators.dedup import KEY, with_key
 from newsloom.operators.matching import attach_by_key
 from newsloom.operators.numbering import assign_ids
+from newsloom.session import ensure_checkpoint_dir
 
 MIN_BODY = 50
 EMPTY_FEED = "Failed to fetch feed"
@@ -38,9 +39,9 @@ def parse_items(items: DataFrame) -> DataFrame:
 
 def to_articles(valid: DataFrame) -> DataFrame:
     """Article records of valid items."""
-    slug = T.create_slug(F.col("title"))
+    slug = F.nullif(T.create_slug(F.col("title")), F.lit(""))
     return valid.withColumns({
-        "slug": F.when(slug == "", T.link_tail(F.col("link"))).otherwise(slug),
+        "slug": F.coalesce(slug, T.link_tail(F.col("link"))),
         "content_html": F.coalesce(F.col("description"), F.lit("")),
         "description": T.truncate_text(T.strip_html(F.col("description"))),
     })
@@ -138,9 +139,14 @@ def ingest_cycle(
     items: DataFrame, feeds: DataFrame, stored: DataFrame, crawled: DataFrame, now: datetime,
     *, compat: bool = False,
 ) -> Cycle:
-    """New articles with ids, the log and the updated feeds of one cycle."""
+    """New articles with ids, the log and the updated feeds of one cycle.
+
+    The accepted ids are checkpointed: articles and log must agree on them, and
+    neither then repeats the joins.
+    """
+    ensure_checkpoint_dir(items.sparkSession)
     fetched = fetched_items(items, feeds, compat)
-    accepted = accept_items(fetched, stored)
+    accepted = accept_items(fetched, stored).checkpoint()
     articles = to_articles(fetched.join(accepted.select("item_id"), "item_id", "left_semi"))
     articles = quality.apply_defaults(with_crawled_body(articles, crawled), now)
     last_id = stored.agg(F.max("id"))

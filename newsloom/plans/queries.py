@@ -16,6 +16,7 @@ from newsloom.operators.numbering import assign_ids
 from newsloom.operators.phrases import merge_phrases
 from newsloom.plans import ingest, serving
 from newsloom.plans import views as V
+from newsloom.sources import readers
 from newsloom.streaming import pipelines as S
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,7 +30,7 @@ def query(function: Query) -> Query:
 
 
 def _trending(spark, folder) -> DataFrame:
-    return keywords.trending_words(V.articles(spark, folder), stopwords=V.STOPWORDS)
+    return keywords.trending_words(V.texts(spark, folder), stopwords=V.STOPWORDS)
 
 
 def _stored_articles(spark, folder) -> DataFrame:
@@ -40,6 +41,10 @@ def _parsed(spark, folder) -> DataFrame:
     return ingest.parse_items(V.items(spark, folder))
 
 
+def _parsed_texts(spark, folder) -> DataFrame:
+    return ingest.parse_items(V.items_of(V.texts(spark, folder)))
+
+
 def _stored_items(spark, folder) -> DataFrame:
     stored = V.is_stored(quality.valid_items(_parsed(spark, folder)), spark, folder, "item_id")
     return stored.withColumn("id", F.col("item_id"))
@@ -72,7 +77,7 @@ def trending_words(spark, folder):
 
 @query
 def trending_words_compat(spark, folder):
-    return keywords.trending_words(V.articles(spark, folder), compat=True)
+    return keywords.trending_words(V.texts(spark, folder), compat=True)
 
 
 @query
@@ -82,7 +87,7 @@ def trending_sorted(spark, folder):
 
 @query
 def trending_tokens_raw(spark, folder):
-    return keywords.trending_tokens_raw(V.articles(spark, folder))
+    return keywords.trending_tokens_raw(V.texts(spark, folder))
 
 
 @query
@@ -105,8 +110,7 @@ def union_categories(spark, folder):
     documents = V.table(spark, folder, "documents").select("source", F.col("text").alias("content"))
     benchmark = V.table(spark, folder, "benchmark").select(F.col("text").alias("content"))
     talks = V.table(spark, folder, "conversations").select(F.col("role").alias("source"), F.col("text").alias("content"))
-    from newsloom.sources.readers import union_categories as union
-    return union({"Documents": documents, "Benchmark": benchmark, "Conversations": talks})
+    return readers.union_categories({"Documents": documents, "Benchmark": benchmark, "Conversations": talks})
 
 
 @query
@@ -117,43 +121,43 @@ def nonempty_content(spark, folder):
 
 @query
 def clean_text(spark, folder):
-    return V.articles(spark, folder).select("article_id", T.clean_text(T.full_text(F.col("title"), F.col("content"))).alias("full_text"))
+    return V.texts(spark, folder).select("article_id", T.clean_text(T.full_text(F.col("title"), F.col("content"))).alias("full_text"))
 
 
 @query
 def tokenize(spark, folder):
     tokens = T.tokenize(F.col("content"))
-    return V.articles(spark, folder).select("article_id", F.size(tokens).alias("n_tokens"), F.array_join(tokens, " ").alias("tokens"))
+    return V.texts(spark, folder).select("article_id", F.size(tokens).alias("n_tokens"), F.array_join(tokens, " ").alias("tokens"))
 
 
 @query
 def extract_keywords(spark, folder):
     found = T.extract_keywords(F.col("content"), 3, V.STOPWORDS)
-    return V.articles(spark, folder).select("article_id", F.size(found).alias("n_keywords"), F.array_join(found, " ").alias("keywords"))
+    return V.texts(spark, folder).select("article_id", F.size(found).alias("n_keywords"), F.array_join(found, " ").alias("keywords"))
 
 
 @query
 def explode_tokens(spark, folder):
-    return V.articles(spark, folder).select("article_id", F.posexplode(T.tokenize(F.col("content"))).alias("position", "token"))
+    return V.texts(spark, folder).select("article_id", F.posexplode(T.tokenize(F.col("content"))).alias("position", "token"))
 
 
 @query
 def stopword_filter(spark, folder):
     """Stopwords as a table joined away after counting."""
     stop = spark.createDataFrame([(w,) for w in V.STOPWORDS], "word string")
-    return keywords.trending_words(V.articles(spark, folder), stopwords=stop).groupBy("chu_de", "tu_khoa").agg(
+    return keywords.trending_words(V.texts(spark, folder), stopwords=stop).groupBy("chu_de", "tu_khoa").agg(
         F.sum("so_lan_xuat_hien").alias("occurrences")
     )
 
 
 @query
 def token_class(spark, folder):
-    return keywords.count_token_classes(V.articles(spark, folder))
+    return keywords.count_token_classes(V.texts(spark, folder))
 
 
 @query
 def normalize_tone(spark, folder):
-    return V.articles(spark, folder).select("article_id", T.normalize_tone(F.col("content")).alias("content"))
+    return V.texts(spark, folder).select("article_id", T.normalize_tone(F.col("content")).alias("content"))
 
 
 @query
@@ -162,7 +166,7 @@ def merge_phrases_query(spark, folder):
     words = V.table(spark, folder, "benchmark").select(T.tokenize(F.lower("text")).alias("t")).where("size(t) > 1")
     pairs = F.transform(F.sequence(F.lit(1), F.size("t") - 1), lambda i: F.array_join(F.slice("t", i, 2), " "))
     lexicon = words.select(F.explode(pairs).alias("phrase")).distinct()
-    merged = merge_phrases(V.articles(spark, folder), lexicon)
+    merged = merge_phrases(V.texts(spark, folder), lexicon)
     return merged.select("article_id", "content", F.regexp_count("content", F.lit("_")).alias("joined"))
 
 
@@ -295,7 +299,7 @@ def link_tail(spark, folder):
 
 @query
 def strip_html(spark, folder):
-    return V.items(spark, folder).select("item_id", T.strip_html(F.col("description")).alias("plain"))
+    return V.items_of(V.texts(spark, folder)).select("item_id", T.strip_html(F.col("description")).alias("plain"))
 
 
 @query
@@ -310,7 +314,7 @@ def quarantine_items(spark, folder):
 
 @query
 def process_articles(spark, folder):
-    return ingest.to_articles(quality.valid_items(_parsed(spark, folder)))
+    return ingest.to_articles(quality.valid_items(_parsed_texts(spark, folder)))
 
 
 @query
@@ -384,7 +388,7 @@ def same_day_candidates(spark, folder):
 
 @query
 def content_fallback(spark, folder):
-    records = ingest.to_articles(quality.valid_items(_parsed(spark, folder)))
+    records = ingest.to_articles(quality.valid_items(_parsed_texts(spark, folder)))
     return ingest.with_crawled_body(records, _crawled(spark, folder)).select("item_id", "link", "content_html")
 
 
@@ -420,7 +424,7 @@ def feed_last_fetched(spark, folder):
 
 @query
 def scan_pages(spark, folder):
-    return V.pages(spark, folder)
+    return readers.scan_pages(spark, f"{folder}/pages.parquet")
 
 
 @query

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from newsloom.sources.readers import spread
+
 # Short function words of the languages in the documents.
 STOPWORDS = (
     "and", "are", "be", "by", "das", "de", "der", "des", "die", "du", "el", "en", "es",
@@ -28,6 +30,11 @@ def articles(spark: SparkSession, folder: str) -> DataFrame:
     return articles_of(table(spark, folder, "documents"))
 
 
+def texts(spark: SparkSession, folder: str) -> DataFrame:
+    """The articles for work on whole texts."""
+    return articles_of(spread(table(spark, folder, "documents"), "doc_id"))
+
+
 def articles_of(documents: DataFrame) -> DataFrame:
     """Documents as articles: the first line is the title, its length sets the day."""
     title = F.split_part("text", F.lit("\n"), F.lit(1))
@@ -47,13 +54,9 @@ def items(spark: SparkSession, folder: str) -> DataFrame:
 def items_of(news: DataFrame) -> DataFrame:
     """The articles as raw feed items, with date strings in several forms."""
     at, doc = F.col("published_at"), F.col("article_id")
-    dates = (
-        F.when(doc % 50 == 49, "not a date")
-        .when(doc % 4 == 0, F.concat(F.date_format(at, "E, d MMM yyyy HH:mm:ss"), F.lit(" +0700")))
-        .when(doc % 4 == 1, F.concat(F.date_format(at, "yyyy-MM-dd'T'HH:mm:ss"), F.lit("Z")))
-        .when(doc % 4 == 2, F.date_format(at, "yyyyMMdd"))
-        .otherwise(F.date_format(at, "yyyy-MM-dd"))
-    )
+    forms = "E, d MMM yyyy HH:mm:ss +0700|yyyy-MM-dd'T'HH:mm:ss'Z'|yyyyMMdd|yyyy-MM-dd"
+    form = F.split_part(F.date_format(at, forms), F.lit("|"), (doc % 4 + 1).cast("int"))
+    dates = F.when(doc % 50 == 49, "not a date").otherwise(form)
     body = F.concat(F.lit('<p class="lead">'), F.replace("content", F.lit("\n"), F.lit("<br/>")), F.lit("</p>"))
     return news.select(
         doc.alias("item_id"), "feed_source_id", "title",
@@ -98,7 +101,7 @@ def logs(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def pages(spark: SparkSession, folder: str) -> DataFrame:
-    return table(spark, folder, "pages")
+    return spread(table(spark, folder, "pages"), "page_id")
 
 
 def is_stored(rows: DataFrame, spark: SparkSession, folder: str, row_id: str) -> DataFrame:

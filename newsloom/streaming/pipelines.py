@@ -18,6 +18,7 @@ from newsloom.operators.dedup import KEY, with_key
 from newsloom.plans import ingest
 from newsloom.plans import views as V
 from newsloom.session import work_folder
+from newsloom.sources.readers import spread
 from newsloom.sources.writers import table_or_empty
 
 MAX_LISTED_DAYS = 1000
@@ -142,6 +143,6 @@ def run_ingest_log(spark: SparkSession, folder: str) -> DataFrame:
 def run_trending(spark: SparkSession, folder: str) -> DataFrame:
     """Keyword counts kept as partial counts per batch, merged on reading."""
     out = work_folder(spark, "trending")
-    handle = batch_writer(lambda batch: keywords.trending_words(V.articles_of(batch), stopwords=V.STOPWORDS), f"{out}/parts")
+    handle = batch_writer(lambda batch: keywords.trending_words(V.articles_of(spread(batch, "doc_id")), stopwords=V.STOPWORDS), f"{out}/parts")
     _run(_documents(spark, folder), handle, out)
     return merge_counts(spark.read.parquet(f"{out}/parts"))
