@@ -54,7 +54,7 @@ def extract_bodies(pages: DataFrame, sanitized: bool = False) -> DataFrame:
     Arrow batches. Sanitising needs the parser for all pages.
     """
     native = pages.where(has_plain_article(F.col("html"))).withColumn("main_html", article_html(F.col("html")))
-    schema = pages.withColumn("main_html", F.lit("").cast("string")).schema
+    schema = pages.withColumn("main_html", F.lit(None).cast("string")).schema
 
     def parse(batches):
         for batch in batches:
