@@ -57,7 +57,7 @@ def scan_json_array(
     )
     rows, skipped = _scan_folders(reader.json, base, folders or FOLDERS)
     if keep_corrupt:
-        return rows.where(F.col(CORRUPT).isNotNull()).select(CORRUPT), skipped
+        return rows.where(F.col(CORRUPT).isNotNull()), skipped
     clean = rows.where(F.col(CORRUPT).isNull()).drop("chu_de", CORRUPT)
     return clean.withColumn("chu_de", F.col("category")), skipped
 

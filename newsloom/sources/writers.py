@@ -25,8 +25,7 @@ def to_result_schema(table: DataFrame) -> DataFrame:
 def write_result(table: DataFrame, path: str, partition_by: str | None = None) -> None:
     """Result as Parquet, overwritten.
 
-    With ``partition_by`` only the partitions in ``table`` are replaced, and rows of
-    one partition value are spread over tasks by keyword so a busy day is no bottleneck.
+    With ``partition_by`` only the partitions in ``table`` are replaced.
     """
     rows = to_result_schema(table)
     if partition_by is None:
@@ -41,11 +40,12 @@ def write_result(table: DataFrame, path: str, partition_by: str | None = None) -
 def write_csv(table: DataFrame, path: str, single_file: bool = False) -> None:
     """Result as CSV with a header. One file only on request, for a small report."""
     rows = table.coalesce(1) if single_file else table
-    rows.write.mode("overwrite").option("header", True).option("emptyValue", '""').csv(path)
+    rows.write.mode("overwrite").option("header", True).csv(path)
 
 
 def read_csv(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.option("header", True).option("emptyValue", "").schema(schemas.TRENDING).csv(path)
+    """A null is an absent field and an empty string a quoted one; the null mark keeps them apart."""
+    return spark.read.option("header", True).option("nullValue", "\\N").schema(schemas.TRENDING).csv(path)
 
 
 def write_trending(table: DataFrame, path: str, single_file: bool = True) -> DataFrame:
