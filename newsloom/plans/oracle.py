@@ -83,6 +83,36 @@ def _article(html: str = "html") -> str:
 
 
 PAGE_TEXT = f"trim(regexp_replace({_strip(_article())}, {SPACES}, ' ', 'g'), {TRIMMED})"
+# The given pages hold only h1, p, b and br, no attributes and four entities. A
+# paragraph left open ends where the next one starts.
+CLEAN_BODY = f"""replace(regexp_replace(replace(
+    regexp_replace({_article()}, '</?(article|b)>', '', 'g'), '&quot;', '"'), '&amp;?', '&', 'g'), '&', '&amp;')"""
+SANITIZED = f"""
+    SELECT page_id, trim(regexp_replace(array_to_string(
+        [CASE WHEN i = 1 THEN parts[i] WHEN contains(parts[i], '</p>') THEN '<p>' || parts[i]
+              ELSE '<p>' || parts[i] || '</p>' END for i in range(1, len(parts) + 1)], ''),
+        {SPACES}, ' ', 'g')) AS main_html
+    FROM (SELECT page_id, string_split({CLEAN_BODY}, '<p>') AS parts FROM pages)"""
+
+# The lexicon holds pairs only, so leftmost joining takes every second match of a
+# row of overlapping matches.
+PHRASES = f"""
+    WITH lexicon AS (
+        SELECT DISTINCT t[i] || ' ' || t[i + 1] AS phrase
+        FROM (SELECT t, unnest(range(1, len(t))) AS i FROM (SELECT {_tokens('lower(text)')} AS t FROM benchmark))),
+    words AS (SELECT article_id, unnest(range(len(t))) AS i, unnest(t) AS token
+              FROM (SELECT article_id, {_tokens('content')} AS t FROM articles)),
+    pairs AS (SELECT *, lower(token || ' ' || lead(token) OVER (PARTITION BY article_id ORDER BY i)) AS pair FROM words),
+    matches AS (SELECT article_id, i, i - row_number() OVER (PARTITION BY article_id ORDER BY i) AS island
+                FROM pairs WHERE pair IN (SELECT phrase FROM lexicon)),
+    taken AS (SELECT article_id, i FROM (
+        SELECT *, row_number() OVER (PARTITION BY article_id, island ORDER BY i) AS nth FROM matches) WHERE nth % 2 = 1),
+    merged AS (SELECT w.article_id, rtrim(string_agg(
+                   w.token || CASE WHEN k.i IS NULL THEN ' ' ELSE '_' END, '' ORDER BY w.i), ' ') AS content
+               FROM words w LEFT JOIN taken k ON k.article_id = w.article_id AND k.i = w.i GROUP BY 1)
+    SELECT article_id, content, CAST(length(content) - length(replace(content, '_', '')) AS INTEGER) AS joined
+    FROM merged"""
+
 VALID = "title IS NOT NULL AND link IS NOT NULL AND published_date IS NOT NULL"
 KEY = f"feed_source_id, CAST(published_at AS DATE), {_norm('title')}"
 FIRST_IDS = f"""SELECT *, min(article_id) OVER (PARTITION BY {KEY}) AS first_id FROM articles"""
@@ -207,6 +237,7 @@ ORACLE: dict[str, str] = {
               FROM (SELECT unnest({_tokens('content')}) AS token FROM articles) GROUP BY 1)
         GROUP BY 1"""),
     "normalize_tone": _articles(f"SELECT article_id, {_replaced('content', T.TONE_PAIRS)} AS content FROM articles"),
+    "merge_phrases": _articles(PHRASES),
     # Serving
     "keywords_per_category": _over_trending("SELECT chu_de, count(*) AS so_luong_tu_khoa FROM trending GROUP BY 1"),
     "top10_keywords": _over_trending("""
@@ -331,6 +362,7 @@ ORACLE: dict[str, str] = {
     # Pages
     "scan_pages": "SELECT page_id, url, html FROM pages",
     "page_main": f"SELECT page_id, {_article()} AS main_html FROM pages",
+    "page_sanitized": SANITIZED,
     "page_text": f"SELECT page_id, {PAGE_TEXT} AS page_text FROM pages",
     "substantial_pages": f"""
         SELECT page_id, CAST(length(page_text) AS INTEGER) AS n_chars
