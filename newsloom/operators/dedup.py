@@ -64,14 +64,18 @@ def new_items(
     return items.join(fresh, item_id, "left_semi").select(*items.columns)
 
 
-def same_day_candidates(items: DataFrame, stored: DataFrame, published: str = "published_at") -> DataFrame:
+def same_day_candidates(
+    items: DataFrame, stored: DataFrame, stored_id: str = "article_id", published: str = "published_at"
+) -> DataFrame:
     """Stored articles of a feed and day that an item also has.
 
     Each stored article comes once; comparing pairs is left to the title key.
     """
+    keys = ["feed_source_id", "_day"]
     days = items.select("feed_source_id", day_of(F.col(published)).alias("_day")).distinct()
     keyed = stored.withColumn("_day", day_of(F.col(published)))
-    return keyed.join(days, ["feed_source_id", "_day"], "left_semi").select(*stored.columns)
+    found = attach_by_key(keyed, days.withColumn("_found", F.lit(True)), keys, stored_id)
+    return found.where("_found").select(*stored.columns)
 
 
 def unique_links(items: DataFrame, item_id: str = "item_id") -> DataFrame:

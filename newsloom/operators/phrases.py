@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from newsloom.functions import text as T
 from newsloom.functions.python_udfs import join_listed_phrases, phrase_joiner
+from newsloom.operators.matching import attach_by_key
 
 MAX_SHIPPED = 50_000
 
@@ -41,4 +42,5 @@ def phrases_in(articles: DataFrame, known: DataFrame, row_id: str, text: str, lo
     ).alias("w"))
     grams = starts.select(row_id, F.explode(F.sequence(F.lit(2), F.size("w"))).alias("n"), "w")
     sequences = grams.select(row_id, F.concat_ws(" ", F.slice("w", 1, F.col("n"))).alias("phrase")).distinct()
-    return sequences.join(known, "phrase").groupBy(row_id).agg(F.collect_set("phrase").alias("phrases"))
+    matched = attach_by_key(sequences, known.withColumn("_known", F.lit(True)), ["phrase"], row_id).where("_known")
+    return matched.groupBy(row_id).agg(F.collect_set("phrase").alias("phrases"))

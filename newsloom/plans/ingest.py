@@ -105,27 +105,27 @@ def with_crawled_body(items: DataFrame, crawled: DataFrame, item_id: str = "item
 def accept_items(items: DataFrame, stored: DataFrame) -> DataFrame:
     """Ids of the items to store, with their feed.
 
-    First of each (feed, day, title), then of each link, then of each guid, and
-    never one that ``stored`` has. Works on the key columns only, and aggregates
-    before every join, so copies of one article collapse map-side.
+    First of each (feed, day, title), then of each link, then of each guid, where
+    what ``stored`` has comes before any item. Each level is one aggregation over
+    key columns only, so copies of one article collapse map-side.
     """
     keys = with_key(items, "published_date").select("item_id", *KEY, "link", "guid")
-    known = with_key(stored, "published_date").select(*KEY).distinct()
-    by_title = _first(keys, KEY, ["link", "guid"]).join(known, KEY, "left_anti")
-    by_link = _first(by_title, ["link"], ["feed_source_id", "guid"]).join(
-        stored.select("link").distinct(), "link", "left_anti"
+    known = with_key(stored, "published_date").select(*KEY, "link", "guid")
+    by_title = _first_unclaimed(keys, known, KEY, ["link", "guid"])
+    by_link = _first_unclaimed(by_title, known, ["link"], ["feed_source_id", "guid"])
+    own = F.concat(F.lit("#"), F.col("item_id").cast("string"))
+    named = by_link.withColumn("_guid", F.coalesce(F.concat(F.lit("="), "guid"), own))
+    taken = known.where("guid is not null").select(F.concat(F.lit("="), "guid").alias("_guid"))
+    return _first_unclaimed(named, taken, ["_guid"], ["feed_source_id"]).select("item_id", "feed_source_id")
+
+
+def _first_unclaimed(rows: DataFrame, claimed: DataFrame, keys: list[str], others: list[str]) -> DataFrame:
+    """The row with the lowest ``item_id`` of each key that ``claimed`` does not have."""
+    both = rows.withColumn("_new", F.lit(True)).unionByName(
+        claimed.select(*keys, F.lit(False).alias("_new")), allowMissingColumns=True
     )
-    named = by_link.where("guid is not null")
-    by_guid = _first(named, ["guid"], ["feed_source_id"]).join(
-        stored.where("guid is not null").select("guid").distinct(), "guid", "left_anti"
-    )
-    unnamed = by_link.where("guid is null").select("item_id", "feed_source_id")
-    return by_guid.select("item_id", "feed_source_id").unionByName(unnamed)
-
-
-def _first(rows: DataFrame, keys: list[str], others: list[str]) -> DataFrame:
-    lowest = rows.groupBy(*keys).agg(F.min(F.struct("item_id", *others)).alias("_first"))
-    return lowest.select(*keys, "_first.*")
+    lowest = both.groupBy(*keys).agg(F.min(F.struct("_new", "item_id", *others)).alias("_first"))
+    return lowest.where("_first._new").select(*keys, *[f"_first.{n}" for n in ("item_id", *others)])
 
 
 @dataclass

@@ -46,20 +46,20 @@ def _parsed_texts(spark, folder) -> DataFrame:
 
 
 def _stored_items(spark, folder) -> DataFrame:
-    stored = V.is_stored(quality.valid_items(_parsed(spark, folder)), spark, folder, "item_id")
+    stored = V.is_stored(quality.valid_items(_parsed_texts(spark, folder)), spark, folder, "item_id")
     return stored.withColumn("id", F.col("item_id"))
 
 
 def _crawled(spark, folder) -> DataFrame:
     """The landed pages under the links of the items with the same number."""
-    links = V.items(spark, folder).select(F.col("item_id").alias("page_id"), F.col("link").alias("url"))
+    links = V.items_of(V.texts(spark, folder)).select(F.col("item_id").alias("page_id"), F.col("link").alias("url"))
     text = ingest.page_text(V.pages(spark, folder)).select("page_id", F.col("page_text").alias("content"))
     return text.join(links, "page_id").select("url", "content")
 
 
 def _cycle_inputs(spark, folder):
     feeds, stored = V.feeds(spark, folder), _stored_items(spark, folder)
-    fetched = ingest.fetched_items(V.items(spark, folder), feeds)
+    fetched = ingest.fetched_items(V.items_of(V.texts(spark, folder)), feeds)
     return feeds, fetched, ingest.accept_items(fetched, stored)
 
 
@@ -394,8 +394,9 @@ def content_fallback(spark, folder):
 
 @query
 def ingest_articles(spark, folder):
+    items = V.items_of(V.texts(spark, folder))
     cycle = ingest.ingest_cycle(
-        V.items(spark, folder), V.feeds(spark, folder), _stored_items(spark, folder), _crawled(spark, folder), NOW,
+        items, V.feeds(spark, folder), _stored_items(spark, folder), _crawled(spark, folder), NOW,
     )
     return cycle.articles
 

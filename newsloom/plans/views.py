@@ -37,7 +37,7 @@ def texts(spark: SparkSession, folder: str) -> DataFrame:
 
 def articles_of(documents: DataFrame) -> DataFrame:
     """Documents as articles: the first line is the title, its length sets the day."""
-    title = F.split_part("text", F.lit("\n"), F.lit(1))
+    title = F.substring_index("text", "\n", 1)
     published = _published(title, F.col("doc_id"))
     return documents.select(
         F.col("doc_id").alias("article_id"), title.alias("title"), F.col("text").alias("content"),

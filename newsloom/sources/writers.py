@@ -48,8 +48,11 @@ def read_csv(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("header", True).option("nullValue", "\\N").schema(schemas.TRENDING).csv(path)
 
 
-def write_trending(table: DataFrame, path: str, single_file: bool = True) -> DataFrame:
-    """The whole result: Parquet first, then the CSV and the preview from the stored files."""
+def write_trending(table: DataFrame, path: str, single_file: bool = False) -> DataFrame:
+    """The whole result: Parquet first, then the CSV from the stored files.
+
+    Returns the stored table, so counts and previews do not run the job again.
+    """
     write_result(table, path)
     stored = table.sparkSession.read.parquet(path)
     write_csv(stored, f"{path}_csv", single_file)

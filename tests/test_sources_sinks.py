@@ -143,7 +143,7 @@ def test_result_schema(spark):
 
 def test_sink_roundtrips(spark, tmp_path):
     path = str(tmp_path / "out")
-    stored = writers.write_trending(trending(spark), path)
+    stored = writers.write_trending(trending(spark), path, single_file=True)
     wanted = sorted(map(str, trending(spark).collect()))
     assert sorted(map(str, stored.collect())) == wanted
     assert sorted(map(str, writers.read_csv(spark, path + "_csv").collect())) == wanted
