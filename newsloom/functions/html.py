@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from newsloom.functions import text as T
 
-NOISE = r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>"
+NOISE = r"(?is)<(?:!--.*?-->|script\b.*?</script\s*>|style\b.*?</style\s*>)"
 CHROME = r"(?is)<(nav|footer|header)\b.*?</\1\s*>"
 ARTICLE = r"(?is)<article\b[^>]*>.*?</article\s*>"
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from newsloom.functions import text as T
-from newsloom.functions.html import sanitize
+from newsloom.functions.html import find_body, sanitize
 
 
 def keyword_udf(
@@ -50,6 +50,11 @@ def strip_html_full(text: Column) -> Column:
     return unescape_entities(F.coalesce(F.regexp_replace(text, T.MARKUP, ""), F.lit("")))
 
 
+@F.pandas_udf(StringType())
+def find_body_html(pages: pd.Series) -> pd.Series:
+    return pages.map(find_body, na_action="ignore")
+
+
 @F.pandas_udf(StringType())
 def sanitize_html(fragments: pd.Series, urls: pd.Series) -> pd.Series:
     return pd.Series([sanitize(f, u) for f, u in zip(fragments, urls)], dtype=object)

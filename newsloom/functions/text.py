@@ -32,8 +32,8 @@ WHITESPACE_RUN = "[ \\t\\n\\x0b\\f\\r]+"
 # A comment, or a tag whose quoted attribute values may hold ">". The loop runs
 # once per quoted value, so a long value cannot exhaust the regex stack.
 MARKUP = (
-    "(?s)<!--.*?-->"
-    "|<[a-zA-Z/!?][^'\">]*(?:\"[^\"]*\"[^'\">]*|'[^']*'[^'\">]*)*>"
+    "(?s)<(?:!--.*?-->"
+    "|[a-zA-Z/!?][^'\">]*(?:\"[^\"]*\"[^'\">]*|'[^']*'[^'\">]*)*>)"
 )
 
 

@@ -11,9 +11,9 @@ from pyspark.sql import functions as F
 from newsloom.functions import text as T
 from newsloom.functions.dates import parse_date
 from newsloom.functions.html import (
-    absolute_link, article_html, find_body, has_plain_article, html_text, without_noise,
+    absolute_link, article_html, has_plain_article, html_text, without_noise,
 )
-from newsloom.functions.python_udfs import sanitize_html
+from newsloom.functions.python_udfs import find_body_html, sanitize_html
 from newsloom.operators import quality
 from newsloom.operators.dedup import KEY, with_key
 from newsloom.operators.matching import attach_by_key
@@ -50,18 +50,13 @@ def to_articles(valid: DataFrame) -> DataFrame:
 def extract_bodies(pages: DataFrame, sanitized: bool = False) -> DataFrame:
     """``pages`` with the main element in ``main_html``; null where there is none.
 
-    Pages with one plain article stay native. The others go through a parser in
-    Arrow batches. Sanitising needs the parser for all pages.
+    Pages with one plain article stay native. Only the text of the others goes to a
+    parser, in Arrow batches. Sanitising needs the parser for all pages.
     """
-    native = pages.where(has_plain_article(F.col("html"))).withColumn("main_html", article_html(F.col("html")))
-    schema = pages.withColumn("main_html", F.lit(None).cast("string")).schema
-
-    def parse(batches):
-        for batch in batches:
-            yield batch.assign(main_html=batch["html"].map(find_body))
-
-    parsed = pages.where(~has_plain_article(F.col("html"))).mapInPandas(parse, schema)
-    found = native.unionByName(parsed)
+    html = F.col("html")
+    found = pages.withColumn("_article", F.when(has_plain_article(html), article_html(html)))
+    rest = F.when(F.col("_article").isNull(), html)
+    found = found.withColumn("main_html", F.coalesce("_article", find_body_html(rest))).drop("_article")
     if sanitized:
         found = found.withColumn("main_html", sanitize_html("main_html", "url"))
     return found
