@@ -86,10 +86,10 @@ def with_crawled_body(items: DataFrame, crawled: DataFrame, item_id: str = "item
 
     ``crawled`` holds ``url, content``; when a url was landed twice the longest body counts.
     """
-    bodies = (
-        crawled.where(substantial("content")).groupBy(F.col("url").alias("link"))
-        .agg(F.max_by("content", F.struct(F.length("content"), "content")).alias("_body"))
-    )
+    # The rule sits in the order of the aggregate, which skips nulls. As a filter it
+    # would be pushed down to the pages and extract every body a second time.
+    order = F.when(substantial("content"), F.struct(F.length("content"), "content"))
+    bodies = crawled.groupBy(F.col("url").alias("link")).agg(F.max_by("content", order).alias("_body"))
     joined = attach_by_key(items, bodies, ["link"], item_id)
     return joined.select(*[
         F.coalesce("_body", "content_html").alias("content_html") if n == "content_html" else F.col(n)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import datetime
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,6 +17,7 @@ from newsloom.operators.numbering import assign_ids
 from newsloom.operators.phrases import merge_phrases
 from newsloom.plans import ingest, serving
 from newsloom.plans import views as V
+from newsloom.session import ship_package
 from newsloom.sources import readers
 from newsloom.streaming import pipelines as S
 
@@ -25,7 +27,12 @@ NOW = datetime.fromisoformat(V.BATCH_TIME)
 
 
 def query(function: Query) -> Query:
-    QUERIES[function.__name__] = function
+    @wraps(function)
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        ship_package(spark)
+        return function(spark, folder)
+
+    QUERIES[function.__name__] = run
     return function
 
 

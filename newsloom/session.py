@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
+_shipped: set[str] = set()
+
 
 def build_session(app_name: str = "newsloom", **settings: str) -> SparkSession:
     """Session for spark-submit; the cluster's own settings stay in force.
@@ -46,3 +50,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def work_folder(spark: SparkSession, name: str) -> str:
     """A new folder for the files of one run."""
     return f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in the Python workers, once per application.
+
+    The same as passing it with ``--py-files``, for sessions started without.
+    """
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    package = Path(__file__).parent
+    target = Path(tempfile.mkdtemp(prefix="newsloom-")) / package.name
+    context.addPyFile(shutil.make_archive(str(target), "zip", package.parent, package.name))
+    _shipped.add(context.applicationId)
