@@ -25,14 +25,16 @@ def to_result_schema(table: DataFrame) -> DataFrame:
 def write_result(table: DataFrame, path: str, partition_by: str | None = None) -> None:
     """Result as Parquet, overwritten.
 
-    With ``partition_by`` only the partitions in ``table`` are replaced.
+    With ``partition_by`` only the partitions in ``table`` are replaced. Rows are
+    rebalanced by it first, so that each value is a few files of even size, and a
+    value with most of the rows is split over tasks.
     """
     rows = to_result_schema(table)
     if partition_by is None:
         rows.write.mode("overwrite").parquet(path)
         return
     (
-        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        rows.hint("rebalance", partition_by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy(partition_by).parquet(path)
     )
 
@@ -87,7 +89,7 @@ def land_raw_zone(articles: DataFrame, categories: DataFrame, base: str) -> None
     rows = articles.join(categories.select("category_id", "category"), "category_id")
     (
         rows.select("publish_date", "source", "title", "content", "category")
-        .write.mode("overwrite").partitionBy("category").json(base)
+        .hint("rebalance", "category").write.mode("overwrite").partitionBy("category").json(base)
     )
 
 

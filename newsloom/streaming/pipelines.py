@@ -64,7 +64,7 @@ def dedup_writer(out: str, row_id: str = "article_id", published: str = "publish
             seen = seen.where(F.col("_day").isin(days))
         fresh = firsts.join(seen.select(*KEY), KEY, "left_anti").withColumn("batch_id", F.lit(batch_id))
         (
-            fresh.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            fresh.hint("rebalance", "_day").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
             .partitionBy("_day", "batch_id").parquet(f"{out}/keys")
         )
         stored = spark.read.schema(schema).parquet(f"{out}/keys").where(F.col("batch_id") == batch_id)
