@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsloom.llm import bpe, decontamination, id_files
+from newsloom.llm import bpe, decontamination, id_files, quality_rules, toxicity
+from newsloom.llm.labelled import held_out
 from newsloom.session import work_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -45,3 +46,22 @@ def op3_decontamination(spark, folder):
 @query
 def op4_bpe(spark, folder):
     return bpe.encode(table(spark, folder, "documents"), VOCABULARY)
+
+
+def _scored(scored: DataFrame, held, threshold: float) -> DataFrame:
+    predicted = F.when(F.col("score") >= threshold, 1).otherwise(0)
+    return scored.select("doc_id", held.alias("held_out"), "score", predicted.alias("predicted"))
+
+
+@query
+def op9_toxicity(spark, folder):
+    docs, held = table(spark, folder, "documents"), held_out(4, 2)
+    model = toxicity.train(docs, table(spark, folder, "labels"), held)
+    return _scored(toxicity.score(docs, model, ["doc_id"]), held, 0.3)
+
+
+@query
+def op10_quality_rules(spark, folder):
+    docs, held = table(spark, folder, "documents"), held_out(3, 1)
+    model = quality_rules.train(docs, table(spark, folder, "labels"), held)
+    return _scored(quality_rules.score(docs, model, ["doc_id"]), held, 0.5)
