@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsloom.llm import bpe, decontamination, id_files, quality_rules, toxicity
+from newsloom.llm import bpe, decontamination, id_files, quality_rules, suffix_dedup, toxicity
 from newsloom.llm.labelled import held_out
 from newsloom.session import work_folder
 
@@ -26,6 +26,11 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+@query
+def op1_suffix_dedup(spark, folder):
+    return suffix_dedup.removal_report(table(spark, folder, "documents"))
+
+
 @query
 def op2_id_files(spark, folder):
     target = work_folder(spark, "ids")
