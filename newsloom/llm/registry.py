@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsloom.llm import bpe, decontamination, id_files, quality_rules, suffix_dedup, toxicity
+from newsloom.llm import bpe, decontamination, id_files, minhash, quality_rules, suffix_dedup, toxicity
 from newsloom.llm.labelled import held_out
 from newsloom.session import work_folder
 
@@ -58,6 +58,13 @@ def _scored(scored: DataFrame, held, threshold: float) -> DataFrame:
     return scored.select("doc_id", held.alias("held_out"), "score", predicted.alias("predicted"))
 
 
+@query
+def op7_minhash(spark, folder):
+    """Documents with the class of their near-duplicates; one of each class is kept."""
+    found = minhash.near_duplicates(table(spark, folder, "documents"))
+    return found.select(F.col("doc").alias("doc_id"), "class_id", F.col("stays").alias("kept"))
+
+
 @query
 def op9_toxicity(spark, folder):
     docs, held = table(spark, folder, "documents"), held_out(4, 2)
