@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsloom.llm import bpe, decontamination, id_files, minhash, quality_rules, suffix_dedup, toxicity
+from newsloom.llm import bpe, decontamination, hnsw, id_files, minhash, quality_rules, suffix_dedup, toxicity
 from newsloom.llm.labelled import held_out
 from newsloom.session import work_folder
 
@@ -65,6 +65,11 @@ def op7_minhash(spark, folder):
     return found.select(F.col("doc").alias("doc_id"), "class_id", F.col("stays").alias("kept"))
 
 
+@query
+def op8_hnsw(spark, folder):
+    return hnsw.linked_vectors(table(spark, folder, "embeddings"))
+
+
 @query
 def op9_toxicity(spark, folder):
     docs, held = table(spark, folder, "documents"), held_out(4, 2)
