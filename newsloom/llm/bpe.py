@@ -22,6 +22,7 @@ import heapq
 import json
 import unicodedata
 from pathlib import Path
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -240,9 +241,25 @@ def pieces_of(column: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
     pattern used here ends a pre-token. Apostrophes and the characters of special tokens
     never part a piece. Letters are lowered unless a special token may be there.
     """
-    data, offsets = utf8(column)
+    found = cut_pieces(column)
+    return found.pieces, found.which, found.rows
+
+
+class CutPieces(NamedTuple):
+    pieces: list[str]  # distinct
+    which: np.ndarray  # the piece of each occurrence
+    rows: np.ndarray  # where each row's occurrences begin
+    starts: np.ndarray  # first byte of each occurrence, over all rows
+    offsets: np.ndarray  # first byte of each row
+    data: np.ndarray  # the bytes of all rows
+
+
+def cut_pieces(column: pa.Array) -> CutPieces:
+    """The pieces of ``pieces_of`` with their places."""
+    raw, offsets = utf8(column)
+    data = raw
     if not len(data):
-        return [], np.zeros(0, np.int64), np.zeros(len(offsets), np.int64)
+        return CutPieces([], np.zeros(0, np.int64), np.zeros(len(offsets), np.int64), np.zeros(0, np.int64), offsets, raw)
     if not ((data[:-1] == ord("<")) & (data[1:] == ord("|"))).any():
         data = ASCII_LOWER[data]
     kinds = KINDS[data]
@@ -259,7 +276,7 @@ def pieces_of(column: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
         len(starts), pa.py_buffer(np.append(place[starts], len(text)).astype(np.int64)), pa.py_buffer(text),
     )
     coded = strings.dictionary_encode()
-    return coded.dictionary.to_pylist(), np.asarray(coded.indices), np.searchsorted(starts, offsets)
+    return CutPieces(coded.dictionary.to_pylist(), np.asarray(coded.indices), np.searchsorted(starts, offsets), starts, offsets, raw)
 
 
 def gathered(parts: list[bytes], which: np.ndarray, rows: np.ndarray) -> tuple[memoryview, np.ndarray]:

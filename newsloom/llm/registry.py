@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsloom.llm import bpe, decontamination, hnsw, id_files, minhash, quality_rules, suffix_dedup, toxicity
+from newsloom.llm import bpe, decontamination, hnsw, id_files, minhash, quality_rules, sentence_spans, suffix_dedup, token_counts, toxicity
 from newsloom.llm.labelled import held_out
 from newsloom.session import work_folder
 
@@ -58,6 +58,17 @@ def _scored(scored: DataFrame, held, threshold: float) -> DataFrame:
     return scored.select("doc_id", held.alias("held_out"), "score", predicted.alias("predicted"))
 
 
+@query
+def op5_token_counts(spark, folder):
+    """Token counts before and after private strings are replaced."""
+    return token_counts.count_edits(table(spark, folder, "documents"), VOCABULARY)
+
+
+@query
+def op6_sentence_spans(spark, folder):
+    return sentence_spans.removal_report(table(spark, folder, "documents"))
+
+
 @query
 def op7_minhash(spark, folder):
     """Documents with the class of their near-duplicates; one of each class is kept."""
