@@ -14,32 +14,29 @@ from newsloom.functions import text as T
 from newsloom.functions.html import find_body, sanitize
 
 
-def keyword_udf(
-    tokenizer: Callable[[str], list[str]],
-    stopwords: Iterable[str] = (),
-    min_length: int = 2,
-) -> Callable[[Column], Column]:
-    """Keyword extraction with a custom Python tokeniser; a failing text gives no keywords."""
-    stop = frozenset(stopwords)
-
-    def keywords(text: str | None) -> list[str]:
+def token_udf(tokenizer: Callable[[str], list[str]]) -> Callable[[Column], Column]:
+    """A custom Python tokeniser as a token array; a text it fails on has no tokens."""
+    def tokens(text: str | None) -> list[str]:
         try:
-            tokens = tokenizer(text.lower().strip()) if text else []
+            return list(tokenizer(text)) if text else []
         except Exception:
             return []
-        return [
-            t for t in tokens
-            if t.replace("_", " ") not in stop
-            and len(t.strip()) > 1 and len(t) >= min_length and not t.startswith("http")
-        ]
 
     @F.pandas_udf("array<string>")
     def run(texts: pd.Series) -> pd.Series:
-        return texts.map(keywords)
+        return texts.map(tokens)
 
     return run
 
 
+def keyword_udf(
+    tokenizer: Callable[[str], list[str]], stopwords: Iterable[str] = (), min_length: int = 2,
+) -> Callable[[Column], Column]:
+    """Keywords of the lowered text by a custom tokeniser; the keyword rules stay native."""
+    split, words = token_udf(tokenizer), list(stopwords)
+    return lambda text: F.filter(split(T.trim_space(F.lower(text))), lambda t: T.is_keyword(t, min_length, words))
+
+
 @F.pandas_udf(StringType())
 def unescape_entities(texts: pd.Series) -> pd.Series:
     return texts.map(unescape, na_action="ignore")
@@ -58,46 +55,3 @@ def find_body_html(pages: pd.Series) -> pd.Series:
 @F.pandas_udf(StringType())
 def sanitize_html(fragments: pd.Series, urls: pd.Series) -> pd.Series:
     return pd.Series([sanitize(f, u) for f, u in zip(fragments, urls)], dtype=object)
-
-
-def join_phrase_words(tokens: list[str], phrases: set[str], longest: int) -> str:
-    """Leftmost-longest joining of adjacent tokens that form a known phrase."""
-    out, at = [], 0
-    while at < len(tokens):
-        for size in range(min(longest, len(tokens) - at), 1, -1):
-            if " ".join(tokens[at:at + size]).lower() in phrases:
-                out.append("_".join(tokens[at:at + size]))
-                at += size
-                break
-        else:
-            out.append(tokens[at])
-            at += 1
-    return " ".join(out)
-
-
-def _longest(phrases: Iterable[str]) -> int:
-    return max((p.count(" ") + 1 for p in phrases), default=1)
-
-
-def phrase_joiner(phrases: Iterable[str]) -> Callable[[Column], Column]:
-    """Join the words of every text that match one fixed phrase list."""
-    known = frozenset(phrases)
-    longest = _longest(known)
-
-    @F.pandas_udf(StringType())
-    def run(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: join_phrase_words(t.split(), known, longest), na_action="ignore")
-
-    return run
-
-
-@F.pandas_udf(StringType())
-def join_listed_phrases(texts: pd.Series, lists: pd.Series) -> pd.Series:
-    """Join the words of each text that match the phrases listed beside it."""
-    def one(text, phrases):
-        if text is None:
-            return None
-        known = set(phrases) if phrases is not None else set()
-        return join_phrase_words(text.split(), known, _longest(known))
-
-    return pd.Series([one(t, p) for t, p in zip(texts, lists)], dtype=object)

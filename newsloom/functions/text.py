@@ -203,33 +203,50 @@ def normalize_tone(text: Column) -> Column:
     return replace_all(text, TONE_PAIRS)
 
 
-# Own patterns, tried in order; each must match the whole token.
-TOKEN_CLASSES = (
-    ("date", "[0-9]{1,2}[-/.][0-9]{1,2}[-/.]([0-9]{2}|(19|20)[0-9]{2})"
-             "|(19|20)[0-9]{2}[-/.][0-9]{1,2}[-/.][0-9]{1,2}|[0-9]{1,2}[-/](19|20)[0-9]{2}"),
-    ("year", "(19|20)[0-9]{2}"),
-    ("time", "([01][0-9]|2[0-3]):[0-5][0-9](:[0-5][0-9])?"),
-    ("percent", "([0-9]*[.,])?[0-9]+%"),
-    ("degree", "[-+]?([0-9]*[.,])?[0-9]+°"),
-    ("fraction", "[0-9]+/[0-9]+"),
-    ("number", "[-+]?[0-9]+([.,][0-9]+)*"),
-    ("email", "[A-Za-z0-9_][-._A-Za-z0-9]*@[A-Za-z0-9_][-._A-Za-z0-9]*\\.[A-Za-z]{2,}"),
-    ("tag", "</?[A-Za-z0-9]*>"),
-    ("ellipsis", "\\.\\.\\."),
-    ("punctuation", "[?!.:;,\"'-]+"),
-    ("symbol", "[#&/<=>@$()*+\\[\\]\\\\{}_£|%~^]+"),
-    ("code", "\\p{L}*[0-9]+\\p{L}[\\p{L}0-9]*|\\p{L}+[0-9]+[\\p{L}0-9]*"),
-    ("compound", "[\\p{L}0-9]+([-./_][\\p{L}0-9]+)+"),
-    ("allcaps", "\\p{Lu}{2,}"),
-    ("name", "\\p{Lu}\\p{Ll}*"),
-    ("word", "\\p{L}+"),
-)
+def token_shape(token: Column) -> Column:
+    """The token with every run of small letters as "a", of capitals as "A" and of digits as "9"."""
+    small = F.regexp_replace(token, "[\\p{L}&&[^\\p{Lu}]]+", "a")
+    return F.regexp_replace(F.regexp_replace(small, "\\p{Lu}+", "A"), "\\p{Nd}+", "9")
+
+
+def _is_date(token: Column, shape: Column) -> Column:
+    part = F.split(token, "[-/.]")
+    day = lambda i: part[i].try_cast("int").between(1, 31) & (F.length(part[i]) <= 2)
+    year_last = day(0) & day(1) & F.length(part[2]).isin(2, 4)
+    year_first = (F.length(part[0]) == 4) & day(1) & day(2)
+    return shape.isin("9-9-9", "9/9/9", "9.9.9") & (year_last | year_first)
+
+
+def _is_time(token: Column, shape: Column) -> Column:
+    part = F.split(token, ":")
+    below = lambda i, n: (F.length(part[i]) == 2) & (part[i].try_cast("int") < n)
+    hour = (F.length(part[0]) <= 2) & (part[0].try_cast("int") < 24)
+    return hour & F.when(shape == "9:9", below(1, 60)).when(shape == "9:9:9", below(1, 60) & below(2, 60)).otherwise(False)
 
 
 def token_class(token: Column) -> Column:
-    """Label of the first pattern that matches the whole token, else "other"."""
-    label = None
-    for name, pattern in TOKEN_CLASSES:
-        match = token.rlike(f"^({pattern})$")
-        label = F.when(match, name) if label is None else label.when(match, name)
+    """What a token is, told by its shape; the first class that fits counts.
+
+    email: one "@" with something before it and a dot inside what follows. markup: "<" first,
+    ">" last. date: three numbers with one kind of "-", "/" or "." between, the year of two
+    or four digits last or of four digits first, the others 1 to 31. time: hours below 24
+    and two-digit minutes, perhaps seconds. percent: a number with at most one mark, and "%".
+    number: digits with single marks between, perhaps a sign. punctuation: neither letter nor
+    digit. code: letters and digits, both. compound: parts of letters and digits with single
+    marks between. allcaps, name and word: letters only, by their case; other: the rest.
+    """
+    shape = token_shape(token)
+    mail = F.split(token, "@")
+    is_mail = (F.size(mail) == 2) & (mail[0] != "") & mail[1].rlike("^[^.].*\\.[^.]+$")
+    classes = (
+        ("email", is_mail), ("markup", F.startswith(token, F.lit("<")) & F.endswith(token, F.lit(">"))),
+        ("date", _is_date(token, shape)), ("time", _is_time(token, shape)),
+        ("percent", shape.isin("9%", "9.9%", "9,9%")), ("number", F.ltrim(shape, F.lit("+-")).rlike("^9([.,]9)*$") & ~shape.rlike("^[+-]{2}")),
+        ("punctuation", ~shape.rlike("[aA9]")), ("code", shape.rlike("^[aA9]+$") & shape.contains("9") & shape.rlike("[aA]")),
+        ("compound", shape.rlike("^[aA9]+([-_./'][aA9]+)+$")), ("allcaps", (shape == "A") & (F.length(token) > 1)),
+        ("name", shape.isin("A", "Aa") & ~token.rlike("^\\p{Lu}{2}")), ("word", shape == "a"),
+    )
+    label = F.when(F.lit(False), "")
+    for name, fits in classes:
+        label = label.when(fits, name)
     return label.otherwise("other")

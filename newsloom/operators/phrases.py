@@ -2,45 +2,51 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from newsloom.functions import text as T
-from newsloom.functions.python_udfs import join_listed_phrases, phrase_joiner
-from newsloom.operators.matching import attach_by_key
 
-MAX_SHIPPED = 50_000
 
+def merge_phrases(articles: DataFrame, lexicon: DataFrame, *, row_id: str = "article_id", text: str = "content") -> DataFrame:
+    """Text with leftmost-longest lexicon phrases of two words and more joined.
 
-def merge_phrases(
-    articles: DataFrame, lexicon: DataFrame, *, row_id: str = "article_id", text: str = "content",
-    longest: int = 4, max_shipped: int = MAX_SHIPPED,
-) -> DataFrame:
-    """Text with leftmost-longest lexicon phrases of 2 to ``longest`` words joined.
-
-    A lexicon of at most ``max_shipped`` phrases goes to every task. A larger one
-    is joined with the word sequences of the articles, so each article carries
-    only the phrases it contains. Both give the same text.
+    Pairs of neighbouring words are joined with the first two words of the phrases, so an
+    article carries only the phrases that may begin in it. Spark picks the join by the size of the
+    lexicon; a hot pair is split by its skew join. Which phrases are there and which of
+    them count is then decided inside each article, with array functions.
     """
-    phrase = T.collapse_space(F.lower(F.col(lexicon.columns[0])))
-    words = F.size(F.split(phrase, " "))
-    known = lexicon.select(phrase.alias("phrase")).where(words.between(2, longest)).distinct()
-    sample = known.limit(max_shipped + 1).collect()
-    if len(sample) <= max_shipped:
-        joined = phrase_joiner([r.phrase for r in sample])(F.col(text))
-        return articles.withColumn(text, joined)
-    found = phrases_in(articles, known, row_id, text, longest)
-    listed = articles.join(found, row_id, "left")
-    return listed.withColumn(text, join_listed_phrases(text, "phrases")).select(*articles.columns)
-
-
-def phrases_in(articles: DataFrame, known: DataFrame, row_id: str, text: str, longest: int) -> DataFrame:
-    """The lexicon phrases of each article, as one array per article."""
-    tokens = articles.select(row_id, T.tokenize(F.lower(F.col(text))).alias("t"))
-    starts = tokens.where(F.size("t") > 1).select(row_id, F.explode(
-        F.transform(F.sequence(F.lit(1), F.size("t") - 1), lambda at: F.slice("t", at, longest))
-    ).alias("w"))
-    grams = starts.select(row_id, F.explode(F.sequence(F.lit(2), F.size("w"))).alias("n"), "w")
-    sequences = grams.select(row_id, F.concat_ws(" ", F.slice("w", 1, F.col("n"))).alias("phrase")).distinct()
-    matched = attach_by_key(sequences, known.withColumn("_known", F.lit(True)), ["phrase"], row_id).where("_known")
-    return matched.groupBy(row_id).agg(F.collect_set("phrase").alias("phrases"))
+    phrase = T.tokenize(F.lower(F.col(lexicon.columns[0])))
+    known = lexicon.select(phrase.alias("words")).where(F.size("words") > 1).distinct()
+    heads = known.select(F.array_join(F.slice("words", 1, 2), " ").alias("head"), "words")
+    tokens = T.tokenize(F.col(text))
+    lowered = articles.select(row_id, T.tokenize(F.lower(F.col(text))).alias("t")).where(F.size("t") > 1)
+    pairs = F.transform(F.sequence(F.lit(1), F.size("t") - 1), lambda i: F.array_join(F.slice("t", i, 2), " "))
+    starts = lowered.select(row_id, F.posexplode(pairs).alias("at", "head"))
+    found = starts.join(heads, "head").select(row_id, F.struct((F.col("at") + 1).alias("at"), F.size("words").alias("n"), "words").alias("hit"))
+    listed = articles.join(found.groupBy(row_id).agg(F.collect_list("hit").alias("_hits")), row_id, "left")
+    listed = listed.withColumn("_tokens", tokens).withColumn("_lowered", T.tokenize(F.lower(F.col(text))))
+    real = F.filter("_hits", lambda h: F.slice(F.col("_lowered"), h["at"], h["n"]) == h["words"])
+    # by place, the longest first
+    ordered = F.array_sort(F.transform(real, lambda h: F.struct(h["at"].alias("at"), (-h["n"]).alias("short"))))
+    listed = listed.withColumn("_order", F.coalesce(ordered, F.array().cast("array<struct<at:int,short:int>>")))
+    joined = F.when(F.col(text).isNotNull(), _joined(F.col("_tokens"), F.col("_order")))
+    return listed.withColumn(text, joined).select(*articles.columns)
+
+
+def _joined(tokens: Column, order: Column) -> Column:
+    """The tokens as a text; each hit that begins after the last one taken is joined by "_"."""
+    part = lambda first, count, mark: F.array_join(F.slice(tokens, first, count), mark)
+
+    def take(state: Column, hit: Column) -> Column:
+        n = -hit["short"]
+        before = F.when(hit["at"] > state["next"], F.concat(part(state["next"], hit["at"] - state["next"], " "), F.lit(" "))).otherwise("")
+        taken = F.struct(
+            (hit["at"] + n).cast("int").alias("next"),
+            F.concat(state["text"], before, part(hit["at"], n, "_"), F.lit(" ")).alias("text"),
+        )
+        return F.when(hit["at"] >= state["next"], taken).otherwise(state)
+
+    start = F.struct(F.lit(1).cast("int").alias("next"), F.lit("").alias("text"))
+    rest = lambda s: F.slice(tokens, s["next"], F.greatest(F.size(tokens) - s["next"] + 1, F.lit(0)))
+    return F.aggregate(order, start, take, lambda s: F.rtrim(F.concat(s["text"], F.array_join(rest(s), " "))))

@@ -180,9 +180,33 @@ def _over_trending(body: str) -> str:
     return _articles(f"WITH trending AS ({TRENDING})\n{body}")
 
 
-TOKEN_CASES = " ".join(
-    f"WHEN regexp_full_match(token, {_quoted(pattern)}) THEN '{name}'" for name, pattern in T.TOKEN_CLASSES
-)
+# Written from the definition of each class, apart from the engine's own code.
+_DAY = "(0?[1-9]|[12][0-9]|3[01])"
+_PART = r"[\p{L}\p{Nd}]+"
+TOKEN_PATTERNS = {
+    "email": r"[^@]+@[^.@][^@]*\.[^.@]+",
+    "markup": "(?s)<.*>",
+    "date": "|".join(f"{_DAY}{s}{_DAY}{s}([0-9]{{2}}|[0-9]{{4}})|[0-9]{{4}}{s}{_DAY}{s}{_DAY}" for s in ("-", "/", r"\.")),
+    "time": "([01]?[0-9]|2[0-3]):[0-5][0-9](:[0-5][0-9])?",
+    "percent": r"\p{Nd}+([.,]\p{Nd}+)?%",
+    "number": r"[-+]?\p{Nd}+([.,]\p{Nd}+)*",
+    "punctuation": r"(?s)[^\p{L}\p{Nd}]*",
+    "code": rf"{_PART}",
+    "compound": rf"{_PART}([-_./']{_PART})+",
+    "allcaps": r"\p{Lu}{2,}", "name": r"\p{Lu}[^\p{Lu}]*", "word": r"[^\p{Lu}]+",
+}
+
+
+def _token_case(name: str, pattern: str) -> str:
+    case = f"regexp_full_match(token, {_quoted(pattern)})"
+    if name == "code":
+        case += r" AND regexp_matches(token, '\p{Nd}') AND regexp_matches(token, '\p{L}')"
+    if name in ("name", "word"):
+        case += r" AND regexp_full_match(token, '\p{L}+')"
+    return f"WHEN {case} THEN '{name}'"
+
+
+TOKEN_CASES = " ".join(_token_case(*item) for item in TOKEN_PATTERNS.items())
 VIOLATIONS = ", ".join(
     [f"CASE WHEN length({n}) > {w} THEN '{n}:length' END" for n, w in WIDTHS.items()]
     + [f"CASE WHEN {n} IS NULL THEN '{n}:null' END" for n in REQUIRED]

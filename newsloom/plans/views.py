@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsloom.sources.readers import spread
 
 # Short function words of the languages in the documents.
 STOPWORDS = (
@@ -31,8 +30,8 @@ def articles(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def texts(spark: SparkSession, folder: str) -> DataFrame:
-    """The articles for work on whole texts."""
-    return articles_of(spread(table(spark, folder, "documents"), "doc_id"))
+    """The articles for work on whole texts: the given tables are single files of one row group."""
+    return articles_of(table(spark, folder, "documents").repartition("doc_id"))
 
 
 def articles_of(documents: DataFrame) -> DataFrame:
@@ -42,7 +41,7 @@ def articles_of(documents: DataFrame) -> DataFrame:
     return documents.select(
         F.col("doc_id").alias("article_id"), title.alias("title"), F.col("text").alias("content"),
         "source", F.col("lang").alias("category"), F.col("lang").alias("chu_de"),
-        F.substring("source", 4, 9).cast("int").alias("feed_source_id"),
+        F.expr("substring(source, 4)").cast("int").alias("feed_source_id"),
         published.alias("published_at"), F.date_format(published, "yyyy-MM-dd").alias("publish_date"),
     )
 
@@ -101,7 +100,7 @@ def logs(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def pages(spark: SparkSession, folder: str) -> DataFrame:
-    return spread(table(spark, folder, "pages"), "page_id")
+    return table(spark, folder, "pages").repartition("page_id")
 
 
 def is_stored(rows: DataFrame, spark: SparkSession, folder: str, row_id: str) -> DataFrame:

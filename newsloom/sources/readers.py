@@ -62,16 +62,6 @@ def scan_json_array(
     return clean.withColumn("chu_de", F.col("category")), skipped
 
 
-def spread(scan: DataFrame, key: str) -> DataFrame:
-    """A scan with fewer partitions than cores, spread over the cores by a unique key.
-
-    For CPU-heavy work on few files with large row groups. A scan that already
-    keeps the cores busy, as any large table does, is left alone.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores, key) if scan.rdd.getNumPartitions() < cores else scan
-
-
 def scan_rss_items(spark: SparkSession, base: str) -> DataFrame:
     """Every item of every feed file under ``base/feed_source_id=N/``, as raw strings."""
     rows = spark.read.format("xml").option("rowTag", "item").schema(schemas.RSS_ITEM).load(base)

@@ -12,17 +12,13 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsloom.functions.dates import day_of
 from newsloom.operators import keywords
 from newsloom.operators.dedup import KEY, with_key
 from newsloom.plans import ingest
 from newsloom.plans import views as V
 from newsloom.session import work_folder
-from newsloom.sources.readers import spread
 from newsloom.sources.writers import table_or_empty
 
-MAX_LISTED_DAYS = 1000
-
 
 def file_stream(spark: SparkSession, path: str, schema, fmt: str = "parquet", **options: str) -> DataFrame:
     """New files of a folder as a stream."""
@@ -59,9 +55,8 @@ def dedup_writer(out: str, row_id: str = "article_id", published: str = "publish
         firsts = keyed.groupBy(*KEY).agg(F.min(row_id).alias(row_id))
         schema = firsts.withColumn("batch_id", F.lit(0).cast("int")).schema
         seen = table_or_empty(spark, f"{out}/keys", schema).where(F.col("batch_id") < batch_id)
-        days = [r[0] for r in batch.select(day_of(F.col(published))).distinct().limit(MAX_LISTED_DAYS + 1).collect()]
-        if len(days) <= MAX_LISTED_DAYS:
-            seen = seen.where(F.col("_day").isin(days))
+        # the days of the batch choose the stored partitions that are read
+        seen = seen.join(firsts.select("_day").distinct(), "_day", "left_semi")
         fresh = firsts.join(seen.select(*KEY), KEY, "left_anti").withColumn("batch_id", F.lit(batch_id))
         (
             fresh.hint("rebalance", "_day").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
@@ -143,6 +138,6 @@ def run_ingest_log(spark: SparkSession, folder: str) -> DataFrame:
 def run_trending(spark: SparkSession, folder: str) -> DataFrame:
     """Keyword counts kept as partial counts per batch, merged on reading."""
     out = work_folder(spark, "trending")
-    handle = batch_writer(lambda batch: keywords.trending_words(V.articles_of(spread(batch, "doc_id")), stopwords=V.STOPWORDS), f"{out}/parts")
+    handle = batch_writer(lambda batch: keywords.trending_words(V.articles_of(batch), stopwords=V.STOPWORDS), f"{out}/parts")
     _run(_documents(spark, folder), handle, out)
     return merge_counts(spark.read.parquet(f"{out}/parts"))

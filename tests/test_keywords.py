@@ -4,7 +4,7 @@ from collections import Counter
 from pyspark.sql import functions as F
 
 from newsloom.functions import text as T
-from newsloom.functions.python_udfs import phrase_joiner
+from newsloom.functions.python_udfs import token_udf
 from newsloom.operators import keywords as K
 from newsloom.operators.phrases import merge_phrases
 from newsloom.plans import serving
@@ -61,8 +61,8 @@ def test_counts_sum_to_exploded_tokens(spark):
 
 def test_custom_tokenizer_joins_phrases(spark):
     articles = spark.createDataFrame([("2026-05-26", "s", "c", "Hà Nội", "vào thu hà nội")], SCHEMA)
-    joiner = phrase_joiner(["hà nội"])
-    found = counts_of(K.trending_words(articles, tokenizer=lambda c: T.tokenize(joiner(c)), stopwords=["vào"]))
+    joiner = token_udf(lambda text: text.replace("hà nội", "hà_nội").split())
+    found = counts_of(K.trending_words(articles, tokenizer=joiner, stopwords=["vào"]))
     assert found == {("20260526", "s", "c", "hà_nội"): 2, ("20260526", "s", "c", "thu"): 1}
 
 
@@ -73,14 +73,21 @@ def test_raw_tokens(spark):
                      ("", "s", "c", ""): 1, ("d", "s", "", "x"): 2}
 
 
-def test_phrase_lexicon_shipped_or_joined_gives_the_same_text(spark):
-    texts = [(1, "the New York city of new york"), (2, "york new"), (3, ""), (4, None), (5, "a b c d a b")]
+def test_phrases_are_joined_leftmost_longest(spark):
+    texts = [
+        (1, "the New York city of new york"), (2, "york new"), (3, ""), (4, None), (5, "a b c d a b"),
+        (6, "a b c d e f g"), (7, "new  york\tNEW"), (8, "x a b a b y"), (9, "one"),
+    ]
     articles = spark.createDataFrame(texts, "article_id long, content string")
-    lexicon = spark.createDataFrame([("New  York",), ("new york city",), ("a b",), ("b c d",), ("single",)], "p string")
-    shipped = {r.article_id: r.content for r in merge_phrases(articles, lexicon).collect()}
-    joined = {r.article_id: r.content for r in merge_phrases(articles, lexicon, max_shipped=0).collect()}
-    assert shipped == joined
-    assert shipped == {1: "the New_York_city of new_york", 2: "york new", 3: "", 4: None, 5: "a_b c d a_b"}
+    lexicon = spark.createDataFrame(
+        [("New  York",), ("new york city",), ("a b",), ("b c d",), ("single",), ("c d e f g",), (None,), ("New York",)], "p string",
+    )
+    merged = merge_phrases(articles, lexicon)
+    assert "Python" not in merged._jdf.queryExecution().toString()
+    assert {r.article_id: r.content for r in merged.collect()} == {
+        1: "the New_York_city of new_york", 2: "york new", 3: "", 4: None, 5: "a_b c d a_b", 6: "a_b c_d_e_f_g",
+        7: "new_york NEW", 8: "x a_b a_b y", 9: "one",
+    }
 
 
 def test_serving_queries(spark):
