@@ -42,11 +42,6 @@ def unescape_entities(texts: pd.Series) -> pd.Series:
     return texts.map(unescape, na_action="ignore")
 
 
-def strip_html_full(text: Column) -> Column:
-    """``strip_html`` with the whole HTML entity table."""
-    return unescape_entities(F.coalesce(F.regexp_replace(text, T.MARKUP, ""), F.lit("")))
-
-
 @F.pandas_udf(StringType())
 def find_body_html(pages: pd.Series) -> pd.Series:
     return pages.map(find_body, na_action="ignore")

@@ -23,11 +23,17 @@ TONE_PAIRS = (
 # The entities decoded without Python, "&amp;" last.
 COMMON_ENTITIES = (
     ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"),
-    ("&nbsp;", " "), ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&"),
+    ("&nbsp;", "\xa0"), ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&"),
 )
+# What looks like any other entity
+RARE_ENTITY = "&(?!(?:" + "|".join(name[1:-1] for name, _ in COMMON_ENTITIES) + ");)(?:#[0-9xX]|[A-Za-z])"
 
-WHITESPACE = " \t\n\x0b\f\r"
-WHITESPACE_RUN = "[ \\t\\n\\x0b\\f\\r]+"
+ASCII_SPACE = " \t\n\x0b\f\r"
+ASCII_SPACE_RUN = "[ \\t\\n\\x0b\\f\\r]+"
+# Everything that Unicode counts as white space, and the four ASCII separators
+WHITESPACE = "".join(chr(c) for c in range(0x3001) if chr(c).isspace())
+WHITESPACE_RUN = "[" + "".join(f"\\x{{{ord(c):x}}}" for c in WHITESPACE) + "]+"
+MARKS = "[\u0300-\u036f]"
 
 # A comment, or a tag whose quoted attribute values may hold ">". The loop runs
 # once per quoted value, so a long value cannot exhaust the regex stack.
@@ -43,6 +49,20 @@ def _accented_letters() -> str:
 
 
 ACCENTED = _accented_letters()
+
+
+def _decomposed() -> list[tuple[str, str]]:
+    """Ways to write each accented letter, small or capital, with combining marks; the longest first."""
+    pairs = {}
+    for letter in ACCENTED + ACCENTED.upper():
+        base, *marks = unicodedata.normalize("NFD", letter)
+        for order in {tuple(marks), tuple(reversed(marks))} if marks else ():
+            pairs[base + "".join(order)] = letter
+            pairs[unicodedata.normalize("NFC", base + order[0]) + "".join(order[1:])] = letter
+    return sorted(((a, b) for a, b in pairs.items() if a != b), key=lambda p: -len(p[0]))
+
+
+DECOMPOSED = _decomposed()
 WORD_CHARS = f"a-zA-Z0-9_{ACCENTED}"
 NON_WORD = f"[^{WORD_CHARS}]+"
 
@@ -86,8 +106,18 @@ def replace_all(text: Column, pairs: Iterable[tuple[str, str]]) -> Column:
     return text
 
 
+def compose(text: Column) -> Column:
+    """Vietnamese letters written with combining marks as single letters.
+
+    Only texts that hold such marks are walked through, over a literal array of the pairs.
+    """
+    pairs = F.array(*[F.array(F.lit(a), F.lit(b)) for a, b in DECOMPOSED])
+    composed = F.aggregate(pairs, text, lambda t, p: F.replace(t, p[0], p[1]))
+    return F.when(text.rlike(MARKS), composed).otherwise(text)
+
+
 def trim_space(text: Column) -> Column:
-    """Trim every ASCII whitespace character, not just spaces."""
+    """Trim every white space character, not just spaces."""
     return F.btrim(text, F.lit(WHITESPACE))
 
 
@@ -99,10 +129,10 @@ def full_text(*columns: Column) -> Column:
 def clean_text(text: Column, compat: bool = False) -> Column:
     """Replace every character outside the word class and whitespace by a space.
 
-    The default lowers first, so accented capitals survive. ``compat`` cleans the
-    text as it stands, which turns accented capitals into spaces.
+    The default composes and lowers first, so letters with combining marks and accented
+    capitals survive. ``compat`` cleans the text as it stands, which turns them into spaces.
     """
-    return F.regexp_replace(text if compat else F.lower(text), _non_word_class(WHITESPACE), " ")
+    return F.regexp_replace(text if compat else F.lower(compose(text)), _non_word_class(ASCII_SPACE), " ")
 
 
 def tokenize(text: Column) -> Column:
@@ -118,7 +148,7 @@ def word_tokens(text: Column, compat: bool = False) -> Column:
     them, so splitting on runs of unwanted characters gives the same tokens. The
     array may start or end with an empty string; the keyword filter drops it.
     """
-    return F.split(F.coalesce(text if compat else F.lower(text), F.lit("")), _non_word_class() + "+")
+    return F.split(F.coalesce(text if compat else F.lower(compose(text)), F.lit("")), _non_word_class() + "+")
 
 
 def is_keyword(token: Column, min_length: int = 2, stopwords: Iterable[str] | None = None) -> Column:
@@ -160,14 +190,18 @@ def truncate_text(text: Column, max_length: int = 5000) -> Column:
 
 
 def decode_entities(text: Column) -> Column:
-    return replace_all(text, COMMON_ENTITIES)
+    """All HTML entities; only texts with other than the common ones go to Python, in Arrow batches."""
+    from newsloom.functions.python_udfs import unescape_entities
+
+    rare = text.rlike(RARE_ENTITY)
+    return F.coalesce(unescape_entities(F.when(rare, text)), replace_all(text, COMMON_ENTITIES))
 
 
 def create_slug(title: Column, max_length: int = 500) -> Column:
     """ASCII slug, cut at a word boundary; a title without letters gives "article"."""
     text = F.lower(decode_entities(title))
     text = F.translate(replace_all(text, LATIN_DIGRAPHS), LATIN_MARKED, LATIN_ASCII)
-    text = F.translate(text, "‘’", "")
+    text = F.translate(F.regexp_replace(text, MARKS, ""), "‘’", "")
     text = F.regexp_replace(text, "(?<=[0-9]),(?=[0-9])", "")
     slug = F.btrim(F.regexp_replace(text, f"[^{string.ascii_lowercase}{string.digits}]+", "-"), F.lit("-"))
     whole_words = f"^(?:(.{{0,{max_length}}})(?:-.*)?|(.{{{max_length}}}).*)$"
@@ -181,7 +215,7 @@ def link_tail(link: Column, max_length: int = 500) -> Column:
 
 
 def strip_html(text: Column) -> Column:
-    """Text without tags and comments, common entities decoded."""
+    """Text without tags and comments, entities decoded."""
     return F.coalesce(decode_entities(F.regexp_replace(text, MARKUP, "")), F.lit(""))
 
 

@@ -2,20 +2,31 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from newsloom.functions.dates import day_of
 from newsloom.functions.text import normalize_title
 from newsloom.operators.matching import attach_by_key, keep_first
 
-KEY = ["feed_source_id", "_day", "_title"]
+KEY = ["_feed", "_day", "_title"]
+NONE = "none"
+
+
+def _or_none(value: Column) -> Column:
+    return F.coalesce(value.cast("string"), F.lit(NONE))
 
 
 def with_key(articles: DataFrame, published: str = "published_at") -> DataFrame:
-    return articles.withColumn("_day", day_of(F.col(published))).withColumn(
-        "_title", normalize_title(F.col("title"))
-    )
+    """The articles with their key columns, which are never null.
+
+    A missing feed or day is a value like any other, in grouping and in joins alike:
+    undated copies of one feed and title are duplicates of each other.
+    """
+    return articles.withColumns({
+        "_feed": _or_none(F.col("feed_source_id")), "_day": _or_none(day_of(F.col(published))),
+        "_title": normalize_title(F.col("title")),
+    })
 
 
 def first_wins(articles: DataFrame, article_id: str = "article_id", published: str = "published_at") -> DataFrame:
@@ -71,23 +82,23 @@ def same_day_candidates(
 
     Each stored article comes once; comparing pairs is left to the title key.
     """
-    keys = ["feed_source_id", "_day"]
-    days = items.select("feed_source_id", day_of(F.col(published)).alias("_day")).distinct()
-    keyed = stored.withColumn("_day", day_of(F.col(published)))
+    keys = ["_feed", "_day"]
+    days = with_key(items, published).select(*keys).distinct()
+    keyed = with_key(stored, published)
     found = attach_by_key(keyed, days.withColumn("_found", F.lit(True)), keys, stored_id)
     return found.where("_found").select(*stored.columns)
 
 
-def unique_links(items: DataFrame, item_id: str = "item_id") -> DataFrame:
-    """First item of every link, then of every non-null guid.
+def own_key(name: str, row_id: str) -> Column:
+    """A column as a key in which a null stands for itself, so such rows spread by id instead of meeting."""
+    return F.coalesce(F.concat(F.lit("="), name), F.concat(F.lit("#"), F.col(row_id).cast("string")))
 
-    A null guid stands for itself, so those rows spread by id instead of meeting.
-    """
-    by_link = keep_first(items, ["link"], item_id)
-    guid_key = F.when(F.col("guid").isNull(), F.concat(F.lit("#"), F.col(item_id))).otherwise(
-        F.concat(F.lit("="), F.col("guid"))
-    )
-    return keep_first(by_link.withColumn("_guid", guid_key), ["_guid"], item_id).select(*items.columns)
+
+def unique_links(items: DataFrame, item_id: str = "item_id") -> DataFrame:
+    """First item of every link, then of every guid; a null link or guid matches no other."""
+    by_link = keep_first(items.withColumn("_link", own_key("link", item_id)), ["_link"], item_id)
+    by_guid = by_link.withColumn("_guid", own_key("guid", item_id))
+    return keep_first(by_guid, ["_guid"], item_id).select(*items.columns)
 
 
 def duplicate_pairs(marked: DataFrame, article_id: str = "article_id") -> DataFrame:

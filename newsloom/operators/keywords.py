@@ -77,7 +77,7 @@ def trending_tokens_raw(articles: DataFrame, *, tokenizer: Callable[[Column], Co
     """
     blank = F.lit("")
     column = lambda name: F.coalesce(F.col(name), blank)
-    tokens = F.split(column("content"), T.WHITESPACE_RUN) if tokenizer is None else tokenizer(column("content"))
+    tokens = F.split(column("content"), T.ASCII_SPACE_RUN) if tokenizer is None else tokenizer(column("content"))
     rows = articles.where(column("content") != "").select(
         column("publish_date").alias("ngay"), column("source").alias("nguon"),
         column("chu_de").alias("chu_de"), F.explode(tokens).alias("tu_khoa"),

@@ -15,7 +15,7 @@ from newsloom.functions.html import (
 )
 from newsloom.functions.python_udfs import find_body_html, sanitize_html
 from newsloom.operators import quality
-from newsloom.operators.dedup import KEY, with_key
+from newsloom.operators.dedup import KEY, own_key, with_key
 from newsloom.operators.matching import attach_by_key
 from newsloom.operators.numbering import assign_ids
 from newsloom.session import ensure_checkpoint_dir
@@ -101,26 +101,27 @@ def accept_items(items: DataFrame, stored: DataFrame) -> DataFrame:
     """Ids of the items to store, with their feed.
 
     First of each (feed, day, title), then of each link, then of each guid, where
-    what ``stored`` has comes before any item. Each level is one aggregation over
-    key columns only, so copies of one article collapse map-side.
+    what ``stored`` has comes before any item. Each level is one hash aggregation of numbers
+    over the key columns, so copies of one article collapse map-side; the other
+    columns join back on the unique id.
     """
-    keys = with_key(items, "published_date").select("item_id", *KEY, "link", "guid")
+    keys = with_key(items, "published_date").select("item_id", "feed_source_id", *KEY, "link", "guid")
     known = with_key(stored, "published_date").select(*KEY, "link", "guid")
-    by_title = _first_unclaimed(keys, known, KEY, ["link", "guid"])
-    by_link = _first_unclaimed(by_title, known, ["link"], ["feed_source_id", "guid"])
-    own = F.concat(F.lit("#"), F.col("item_id").cast("string"))
-    named = by_link.withColumn("_guid", F.coalesce(F.concat(F.lit("="), "guid"), own))
-    taken = known.where("guid is not null").select(F.concat(F.lit("="), "guid").alias("_guid"))
-    return _first_unclaimed(named, taken, ["_guid"], ["feed_source_id"]).select("item_id", "feed_source_id")
+    left = _first_unclaimed(keys, known, KEY)
+    for name in ("link", "guid"):
+        rows = left.withColumn("_own", own_key(name, "item_id"))
+        claimed = known.where(F.col(name).isNotNull()).select(F.concat(F.lit("="), name).alias("_own"))
+        left = _first_unclaimed(rows, claimed, ["_own"])
+    return left.select("item_id", "feed_source_id")
 
 
-def _first_unclaimed(rows: DataFrame, claimed: DataFrame, keys: list[str], others: list[str]) -> DataFrame:
+def _first_unclaimed(rows: DataFrame, claimed: DataFrame, keys: list[str]) -> DataFrame:
     """The row with the lowest ``item_id`` of each key that ``claimed`` does not have."""
-    both = rows.withColumn("_new", F.lit(True)).unionByName(
-        claimed.select(*keys, F.lit(False).alias("_new")), allowMissingColumns=True
+    both = rows.select(*keys, "item_id", F.lit(0).alias("_claimed")).unionByName(
+        claimed.select(*keys, F.lit(1).alias("_claimed")), allowMissingColumns=True
     )
-    lowest = both.groupBy(*keys).agg(F.min(F.struct("_new", "item_id", *others)).alias("_first"))
-    return lowest.where("_first._new").select(*keys, *[f"_first.{n}" for n in ("item_id", *others)])
+    lowest = both.groupBy(*keys).agg(F.min("item_id").alias("item_id"), F.max("_claimed").alias("_claimed"))
+    return rows.join(lowest.where("_claimed = 0 and item_id is not null").select("item_id"), "item_id", "left_semi")
 
 
 @dataclass

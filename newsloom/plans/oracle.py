@@ -8,8 +8,11 @@ from newsloom.operators.quality import REQUIRED, WIDTHS
 from newsloom.plans.views import BATCH_TIME, LANGUAGES, STOPWORDS, with_views
 
 NOW = f"TIMESTAMP '{BATCH_TIME}'"
-SPACES = r"'[ \t\n\x0b\f\r]+'"
-TRIMMED = r"E' \n\t\r\x0b\f'"
+# White space after the Unicode standard, apart from the engine's own list
+SPACE_CODES = (9, 10, 11, 12, 13, 28, 29, 30, 31, 32, 133, 160, 5760, *range(8192, 8203), 8232, 8233, 8239, 8287, 12288)
+SPACES = "'[" + "".join(rf"\x{{{c:x}}}" for c in SPACE_CODES) + "]+'"
+TRIMMED = " || ".join(f"chr({c})" for c in SPACE_CODES)
+ASCII_SPACES = r"'[ \t\n\x0b\f\r]+'"
 
 
 def _quoted(text: str) -> str:
@@ -52,18 +55,25 @@ def _counts(words: str, keyword: str, token: str = "tu_khoa") -> str:
 
 
 FULL = "concat_ws(' ', title, content)"
-TRENDING = _counts(_words(f"lower({FULL})"), _keyword("tu_khoa"))
+TRENDING = _counts(_words(f"lower(nfc_normalize({FULL}))"), _keyword("tu_khoa"))
+
+
+# The entities of the given data and of the views, in the order in which they may be decoded
+ENTITIES = (
+    ("&#7879;", "ệ"), ("&agrave;", "à"), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"),
+    ("&nbsp;", "\xa0"), ("&amp;", "&"),
+)
 
 
 def _strip(html: str) -> str:
-    bare = f"regexp_replace({html}, {_quoted(T.MARKUP)}, '', 'g')"
-    return f"coalesce({_replaced(bare, T.COMMON_ENTITIES)}, '')"
+    bare = f"regexp_replace({html}, '(?s)<!--.*?-->|</?[A-Za-z][^>]*>', '', 'g')"
+    return f"coalesce({_replaced(bare, ENTITIES)}, '')"
 
 
 def _slug(title: str) -> str:
-    text = f"lower({_replaced(title, T.COMMON_ENTITIES)})"
-    text = f"translate({_replaced(text, T.LATIN_DIGRAPHS)}, '{T.LATIN_MARKED}', '{T.LATIN_ASCII}')"
-    text = f"translate({text}, '‘’', '')"
+    """Letters lose their marks; the letters that have none to lose are written out."""
+    text = _replaced(f"lower({title})", (("&amp;", "&"), ("ß", "ss"), ("æ", "ae"), ("œ", "oe"), ("đ", "d"), ("ø", "o")))
+    text = f"translate(strip_accents({text}), '‘’', '')"
     for _ in range(2):
         text = f"regexp_replace({text}, '([0-9]),([0-9])', '\\1\\2', 'g')"
     return f"trim(regexp_replace({text}, '[^a-z0-9]+', '-', 'g'), '-')"
@@ -222,7 +232,7 @@ ORACLE: dict[str, str] = {
     "trending_tokens_raw": _articles(f"""
         SELECT publish_date AS ngay, source AS nguon, chu_de, trim(replace(token, '_', ' ')) AS tu_khoa,
                count(*) AS so_lan_xuat_hien
-        FROM (SELECT *, unnest(string_split_regex(content, {SPACES})) AS token FROM articles)
+        FROM (SELECT *, unnest(string_split_regex(content, {ASCII_SPACES})) AS token FROM articles)
         WHERE token <> '' GROUP BY ALL"""),
     "project_articles": _articles("""
         SELECT strftime(CAST(publish_date AS DATE), '%Y%m%d') AS ngay, source AS nguon, chu_de, title, content
@@ -239,14 +249,14 @@ ORACLE: dict[str, str] = {
         SELECT article_id, coalesce(source, '') AS source, coalesce(content, '') AS content
         FROM articles WHERE coalesce(content, '') <> ''"""),
     "clean_text": _articles(f"""
-        SELECT article_id, regexp_replace(lower({FULL}), '[^{T.WORD_CHARS}\\s]', ' ', 'g') AS full_text
+        SELECT article_id, regexp_replace(lower(nfc_normalize({FULL})), '[^{T.WORD_CHARS}\\s]', ' ', 'g') AS full_text
         FROM articles"""),
     "tokenize": _articles(f"""
         SELECT article_id, CAST(len(t) AS INTEGER) AS n_tokens, array_to_string(t, ' ') AS tokens
         FROM (SELECT article_id, {_tokens('content')} AS t FROM articles)"""),
     "extract_keywords": _articles(f"""
         SELECT article_id, CAST(len(k) AS INTEGER) AS n_keywords, array_to_string(k, ' ') AS keywords
-        FROM (SELECT article_id, [t for t in {_words('lower(content)')} if {_keyword('t', 3)}] AS k
+        FROM (SELECT article_id, [t for t in {_words('lower(nfc_normalize(content))')} if {_keyword('t', 3)}] AS k
               FROM articles)"""),
     "explode_tokens": _articles(f"""
         SELECT article_id, CAST(unnest(range(len(t))) AS INTEGER) AS position, unnest(t) AS token
@@ -333,7 +343,8 @@ ORACLE: dict[str, str] = {
     # Duplicates
     "dedup_first_wins": _articles(f"SELECT * EXCLUDE first_id FROM ({FIRST_IDS}) WHERE article_id = first_id"),
     "dedup_by_link": with_views("""
-        WITH linked AS (SELECT * FROM items QUALIFY row_number() OVER (PARTITION BY link ORDER BY item_id) = 1)
+        WITH linked AS (SELECT * FROM items
+            QUALIFY link IS NULL OR row_number() OVER (PARTITION BY link ORDER BY item_id) = 1)
         SELECT item_id, link, guid, title FROM linked
         QUALIFY guid IS NULL OR row_number() OVER (PARTITION BY guid ORDER BY item_id) = 1""", "items"),
     "mark_duplicates": _articles(f"""

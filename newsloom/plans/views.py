@@ -35,7 +35,12 @@ def texts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def articles_of(documents: DataFrame) -> DataFrame:
-    """Documents as articles: the first line is the title, its length sets the day."""
+    """Documents as articles: the first line is the title, its length sets the day.
+
+    Every seventh has its é in two characters, as text from other systems may.
+    """
+    text = F.when(F.col("doc_id") % 7 == 0, F.replace("text", F.lit("é"), F.lit("e\u0301"))).otherwise(F.col("text"))
+    documents = documents.withColumn("text", text)
     title = F.substring_index("text", "\n", 1)
     published = _published(title, F.col("doc_id"))
     return documents.select(
@@ -51,15 +56,22 @@ def items(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def items_of(news: DataFrame) -> DataFrame:
-    """The articles as raw feed items, with date strings in several forms."""
+    """The articles as raw feed items, with date strings in several forms.
+
+    Some titles hold no-break spaces, some descriptions entities by number and name, and some
+    items have no link.
+    """
     at, doc = F.col("published_at"), F.col("article_id")
     forms = "E, d MMM yyyy HH:mm:ss +0700|yyyy-MM-dd'T'HH:mm:ss'Z'|yyyyMMdd|yyyy-MM-dd"
     form = F.split_part(F.date_format(at, forms), F.lit("|"), (doc % 4 + 1).cast("int"))
     dates = F.when(doc % 50 == 49, "not a date").otherwise(form)
     body = F.concat(F.lit('<p class="lead">'), F.replace("content", F.lit("\n"), F.lit("<br/>")), F.lit("</p>"))
+    title = F.when(doc % 9 == 4, F.concat(F.lit("\u3000"), F.replace("title", F.lit(" "), F.lit("\xa0 ")))).otherwise(F.col("title"))
+    body = F.when(doc % 8 == 5, F.concat(F.lit("Vi&#7879;t&nbsp;&agrave; &amp;lt; "), body)).otherwise(body)
+    link = F.concat(F.lit("https://example.com/"), "source", F.lit("/"), F.md5("title"))
     return news.select(
-        doc.alias("item_id"), "feed_source_id", "title",
-        F.concat(F.lit("https://example.com/"), "source", F.lit("/"), F.md5("title")).alias("link"),
+        doc.alias("item_id"), "feed_source_id", title.alias("title"),
+        F.when(doc % 31 != 30, link).alias("link"),
         F.when(doc % 17 != 0, body).alias("description"),
         F.when(doc % 3 != 0, F.md5("content")).alias("guid"),
         F.concat(F.lit(" Desk "), "category").alias("author"),
@@ -112,6 +124,8 @@ def is_stored(rows: DataFrame, spark: SparkSession, folder: str, row_id: str) ->
 # The same views as SQL. Each names the views it is built on.
 SQL_VIEWS = {
     "articles": ((), """
+        WITH documents AS (SELECT * REPLACE (CASE WHEN doc_id % 7 = 0 THEN replace(text, 'é', 'e' || chr(769))
+                                                  ELSE text END AS text) FROM documents)
         SELECT doc_id AS article_id, split_part(text, chr(10), 1) AS title, text AS content, source,
                lang AS category, lang AS chu_de, CAST(substr(source, 4) AS INTEGER) AS feed_source_id,
                TIMESTAMP '2024-01-01 00:00:00'
@@ -122,10 +136,13 @@ SQL_VIEWS = {
                  + to_seconds(CAST(doc_id % 86400 AS INTEGER)), '%Y-%m-%d') AS publish_date
         FROM documents"""),
     "items": (("articles",), """
-        SELECT article_id AS item_id, feed_source_id, title,
-               'https://example.com/' || source || '/' || md5(title) AS link,
+        SELECT article_id AS item_id, feed_source_id,
+               CASE WHEN article_id % 9 = 4 THEN chr(12288) || replace(title, ' ', chr(160) || ' ')
+                    ELSE title END AS title,
+               CASE WHEN article_id % 31 <> 30
+                    THEN 'https://example.com/' || source || '/' || md5(articles.title) END AS link,
                CASE WHEN article_id % 17 <> 0
-                    THEN '<p class="lead">' || replace(content, chr(10), '<br/>') || '</p>' END AS description,
+                    THEN CASE WHEN article_id % 8 = 5 THEN 'Vi&#7879;t&nbsp;&agrave; &amp;lt; ' ELSE '' END || '<p class="lead">' || replace(content, chr(10), '<br/>') || '</p>' END AS description,
                CASE WHEN article_id % 3 <> 0 THEN md5(content) END AS guid,
                ' Desk ' || category AS author,
                CASE WHEN article_id % 50 = 49 THEN 'not a date'
@@ -143,7 +160,7 @@ SQL_VIEWS = {
                         try_strptime(pub_date, '%Y-%m-%d')) AS iso
         FROM items"""),
     "parsed": (("dated",), f"""
-        SELECT item_id, feed_source_id, nullif(trim(title, E' \\n\\t\\r'), '') AS title, link,
+        SELECT item_id, feed_source_id, nullif(trim(title, chr(12288) || chr(160) || E' \\n\\t\\r'), '') AS title, link,
                nullif(trim(description, E' \\n\\t\\r'), '') AS description, guid, trim(author) AS author,
                coalesce(rfc, iso) AS published_date, coalesce(TRY_CAST(comments AS INTEGER), 0) AS comment_count
         FROM dated"""),

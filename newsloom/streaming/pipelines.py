@@ -73,7 +73,7 @@ def dedup_within(stream: DataFrame, horizon: str, published: str = "published_at
     """Bounded state instead: a copy that comes more than ``horizon`` later passes."""
     keyed = with_key(stream, published).withColumn("_event", F.col(published).cast("timestamp"))
     kept = keyed.withWatermark("_event", horizon).dropDuplicatesWithinWatermark(KEY)
-    return kept.drop("_day", "_title", "_event")
+    return kept.drop(*KEY, "_event")
 
 
 def daily_counts(stream: DataFrame, published: str = "published_at", late: str | None = None) -> DataFrame:
