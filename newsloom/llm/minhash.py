@@ -12,13 +12,14 @@ Improved consistent weighted sampling (Ioffe) draws ``SAMPLES`` samples of each
 whose ``ROWS`` samples of a band agree are candidates. Candidates are verified by exact
 weighted Jaccard similarity of at least ``SIMILARITY``, and components are united.
 
-Equal texts are one node from the sketches on. In a bucket, texts are compared with a few
-hubs and not with each other: after each round the components found are united,
-and only buckets that still hold several components go on, with four times as many
-hubs, until every pair of different components in every bucket is decided. A large
-group of near copies is thus united after members times hubs comparisons. A pair
-whose samples agree too seldom for the similarity (``DOUBT``, six standard deviations below) is
-decided without its texts.
+Equal texts are one node from the sketches on. In a bucket, texts are first compared with
+``HUBS`` hubs and not with each other, and the components found are united: a large
+group of near copies falls together after members times hubs comparisons. Buckets
+that still hold several components are then decided whole, in pairs of blocks of bounded
+size: a task holds two blocks, bounds all similarities between them by a product of
+matrices, verifies what may reach the limit, and returns only the links that unite different
+components. So every pair of texts that share a bucket is decided, and no list of pairs
+is ever written.
 
 Edge cases: a null text is empty; texts without words match only their equals; the class id is
 the smallest document id of the class, null ids last; repeated rows are in one class; an
@@ -46,8 +47,9 @@ BANDS, ROWS = 16, 4
 SAMPLES = BANDS * ROWS
 RARE = 0.01
 CELLS = 1 << 20
-DOUBT = 0.5
 MAX_COMMON = 1 << 20
+HUBS = 2
+BLOCK_ROWS, BLOCK_BYTES = 512, 2 << 20
 DRAWS = 16  # bits
 
 
@@ -163,7 +165,7 @@ def samples(row: np.ndarray, hashes: np.ndarray, weights: np.ndarray, rows: int,
 
 
 def sketches(docs: DataFrame, idf: Idf) -> DataFrame:
-    """doc, key, name (of the text), bands and short samples; a text without words has no bands."""
+    """doc, key, name (of the text) and bands; a text without words has no bands."""
     sent = docs.sparkSession.sparkContext.broadcast(idf)
 
     def work(batch: pa.RecordBatch) -> dict:
@@ -178,13 +180,9 @@ def sketches(docs: DataFrame, idf: Idf) -> DataFrame:
         lists = pa.ListArray.from_arrays(
             pa.array(np.concatenate([[0], np.cumsum(full * BANDS)]), pa.int32()), pa.array(band[full].view(np.int64).reshape(-1)),
         )
-        short = mix(drawn.view(np.uint64)).astype(np.uint32)
-        return {
-            "doc": batch.column("doc"), "key": batch.column("key"), "name": batch.column("name"), "bands": lists,
-            "sample": pa.array([s.tobytes() for s in short], pa.binary()),
-        }
+        return {"doc": batch.column("doc"), "key": batch.column("key"), "name": batch.column("name"), "bands": lists}
 
-    return map_batches(docs, work, "doc long, key long, name string, bands array<long>, sample binary")
+    return map_batches(docs, work, "doc long, key long, name string, bands array<long>")
 
 
 def verified(pairs: DataFrame, idf: Idf, similarity: float = SIMILARITY) -> DataFrame:
@@ -206,58 +204,102 @@ def verified(pairs: DataFrame, idf: Idf, similarity: float = SIMILARITY) -> Data
     return map_batches(pairs.select("a", "b", "text_a", "text_b"), work, "a long, b long")
 
 
-def _agreeing(pairs: DataFrame) -> DataFrame:
-    """Pairs whose samples agree often enough for the similarity to be possible."""
+def block_links(nodes: list[int], component: list[int], texts: list[str], first: int, idf: Idf, similarity: float) -> list[tuple[int, int]]:
+    """Links that unite the components of some texts; two texts at or after ``first`` are not compared.
+
+    ``first`` is the number of texts for one block, or where the second block begins.
+    """
+    n = len(nodes)
+    row, hashes, counts = bags(pa.array(texts, pa.large_string()))
+    weight = counts * idf(hashes)
+    total = np.bincount(row, weight, n)
+    _, column, times = np.unique(hashes, return_inverse=True, return_counts=True)
+    shared = times[column] > 1
+    row_s, column_s, weight_s = row[shared], np.unique(column[shared], return_inverse=True)[1], weight[shared]
+    bound = np.zeros((n, n), np.float32)
+    order = np.argsort(column_s, kind="stable")
+    row_s, column_s, root = row_s[order], column_s[order], np.sqrt(weight_s[order])
+    for start in range(0, int(column_s[-1]) + 1 if len(column_s) else 0, 4096):
+        a, b = np.searchsorted(column_s, [start, start + 4096])
+        part = np.zeros((n, min(4096, int(column_s[-1]) + 1 - start)), np.float32)
+        part[row_s[a:b], column_s[a:b] - start] = root[a:b]
+        bound += part @ part.T  # the sum of the smaller weights is at most that of the geometric means
+    label = {c: c for c in component}
+
+    def find(c: int) -> int:
+        while label[c] != c:
+            label[c] = label[label[c]]
+            c = label[c]
+        return c
+
+    places, out = np.searchsorted(row, np.arange(n + 1)), []
+    for i in range(min(first, n)):
+        near = bound[i] >= similarity * (total[i] + total - bound[i]) * (1 - 1e-4)
+        near[: i + 1] = False
+        for j in np.flatnonzero(near).tolist():
+            u, v = find(component[i]), find(component[j])
+            if u == v or not total[j]:
+                continue
+            _, x, y = np.intersect1d(hashes[places[i] : places[i + 1]], hashes[places[j] : places[j + 1]], True, True)
+            least = np.minimum(weight[places[i] + x], weight[places[j] + y]).sum()
+            if least >= similarity * (total[i] + total[j] - least) * (1 - 1e-12):
+                label[max(u, v)] = min(u, v)
+                out.append((nodes[i], nodes[j]))
+    return out
+
+
+def linked_blocks(live: DataFrame, bodies: DataFrame, idf: Idf, similarity: float) -> DataFrame:
+    """a, b: links between components of a bucket; ``live`` has bucket, node and component."""
+    sent = live.sparkSession.sparkContext.broadcast(idf)
+    members = live.join(bodies, "node")
+    size = F.greatest(F.count("*") / BLOCK_ROWS, F.sum(F.octet_length("text")) / BLOCK_BYTES)
+    blocks = members.groupBy("bucket").agg(F.ceil(size).cast("int").alias("blocks"))
+    member = F.struct("node", "component", "text")
+    placed = members.join(blocks, "bucket").withColumn("block", F.pmod(F.xxhash64("node", F.lit(7)), "blocks").cast("int"))
+    packed = written(placed.groupBy("bucket", "block").agg(F.collect_list(member).alias("members")), live.sparkSession, "blocks")
+    pairs = blocks.withColumn("a", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    pairs = pairs.withColumn("b", F.explode(F.sequence("a", F.col("blocks") - 1))).select("bucket", "a", "b")
+    side = lambda s: packed.select("bucket", F.col("block").alias(s), F.col("members").alias(f"members_{s}"))
+    rows = pairs.join(side("a"), ["bucket", "a"]).join(side("b"), ["bucket", "b"]).select(
+        "members_a", F.when(F.col("a") != F.col("b"), F.col("members_b")).alias("members_b"),
+    )
 
     def work(batch: pa.RecordBatch) -> dict:
-        a, b = (np.frombuffer(utf8(batch.column(c))[0], np.uint32).reshape(-1, SAMPLES) for c in ("sample_a", "sample_b"))
-        near = pa.array((a == b).mean(1) >= DOUBT)
-        return {"a": batch.column("a").filter(near), "b": batch.column("b").filter(near)}
+        links = []
+        for a, b in zip(batch.column("members_a").to_pylist(), batch.column("members_b").to_pylist()):
+            every = a + (b or [])
+            column = lambda name: [m[name] for m in every]  # noqa: B023, E731
+            links += block_links(column("node"), column("component"), column("text"), len(a), sent.value, similarity)
+        return {"a": [x for x, _ in links], "b": [x for _, x in links]}
 
-    return map_batches(pairs, work, "a long, b long")
+    return map_batches(rows, work, "a long, b long")
 
 
 def near_links(texts: DataFrame, bodies_of, idf: Idf, similarity: float = SIMILARITY) -> DataFrame:
     """node, component of the texts that are near another.
 
-    ``texts`` has node, bands and sample; ``bodies_of`` gives node and text of some of its rows.
+    ``texts`` has node and bands; ``bodies_of`` gives node and text of some of its rows.
     """
     spark = texts.sparkSession
     buckets = texts.select("node", F.explode("bands").alias("bucket"))
-    shared = buckets.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket")
+    shared = buckets.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
     buckets = written(buckets.join(shared, "bucket"), spark, "buckets")
-    used = written(texts.join(buckets.select("node").distinct(), "node"), spark, "used")
+    used = texts.join(buckets.select("node").distinct(), "node")
     bodies = written(bodies_of(used), spark, "bodies")
-    links, united, tested, hubs = None, used.select("node", F.col("node").alias("component")), None, 1
-    while True:
-        live = buckets.join(united, "node", "left").select("bucket", "node", F.coalesce("component", "node").alias("component"))
-        several = live.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n"))
-        live = written(live.join(several.where("low <> high").select("bucket", "n"), "bucket"), spark, "live")
-        most = live.agg(F.max("n")).first()[0]
-        if most is None:
-            break
-        # hubs are the texts with the lowest hashes; a first cut by hash keeps the window small
-        order = F.pmod(F.xxhash64("node", "bucket"), F.lit(1 << 30))
-        likely = live.where(order <= F.lit(8.0 * (hubs + 8) * (1 << 30)) / F.col("n"))
-        place = F.row_number().over(Window.partitionBy("bucket").orderBy(order, "node"))
-        chosen = likely.withColumn("place", place).where(F.col("place") <= hubs)
-        chosen = chosen.select("bucket", F.col("node").alias("hub"), F.col("component").alias("hub_component"))
-        met = live.join(chosen, "bucket").where("component <> hub_component")
-        pairs = met.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = written(pairs, spark, "pairs")
-        sample = lambda s: used.select(F.col("node").alias(s), F.col("sample").alias(f"sample_{s}"))
-        body = lambda s: bodies.select(F.col("node").alias(s), F.col("text").alias(f"text_{s}"))
-        close = _agreeing(pairs.join(sample("a"), "a").join(sample("b"), "b").select("a", "b", "sample_a", "sample_b"))
-        found = verified(close.join(body("a"), "a").join(body("b"), "b"), idf, similarity)
-        links = written(found if links is None else links.unionByName(found), spark, "near")
-        united = components(links)
-        if hubs >= most:
-            break
-        tested = pairs if tested is None else written(tested.unionByName(pairs), spark, "tested")
-        hubs *= 4
-    return united
+    # hubs are the texts with the lowest hashes; a first cut by hash keeps the window small
+    order = F.pmod(F.xxhash64("node", "bucket"), F.lit(1 << 30))
+    likely = buckets.where(order <= F.lit(64.0 * (1 << 30)) / F.col("n"))
+    place = F.row_number().over(Window.partitionBy("bucket").orderBy(order, "node"))
+    hubs = likely.withColumn("place", place).where(F.col("place") <= HUBS).select("bucket", F.col("node").alias("hub"))
+    met = buckets.join(hubs, "bucket").where("node <> hub")
+    pairs = met.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
+    body = lambda s: bodies.select(F.col("node").alias(s), F.col("text").alias(f"text_{s}"))
+    links = written(verified(pairs.join(body("a"), "a").join(body("b"), "b"), idf, similarity), spark, "near")
+    united = components(links)
+    live = buckets.join(united, "node", "left").select("bucket", "node", F.coalesce("component", "node").alias("component"))
+    several = live.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
+    live = written(live.join(several.select("bucket"), "bucket"), spark, "live")
+    return components(links.unionByName(linked_blocks(live, bodies, idf, similarity)))
 
 
 def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
@@ -272,14 +314,14 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
     idf = common_runs(texts.select("text"))
     drawn = written(sketches(texts, idf), spark, "sketches")
     best = F.min(F.struct(F.col("doc").isNull(), "doc", "key")).alias("best")
-    distinct = drawn.groupBy("name").agg(best, F.any_value("bands").alias("bands"), F.any_value("sample").alias("sample"))
-    distinct = distinct.select(F.xxhash64("name").alias("node"), "name", "best.doc", "best.key", "bands", "sample")
+    distinct = drawn.groupBy("name").agg(best, F.any_value("bands").alias("bands"))
+    distinct = distinct.select(F.xxhash64("name").alias("node"), "name", "best.doc", "best.key", "bands")
     distinct = written(distinct, spark, "texts")
 
     def bodies_of(some: DataFrame) -> DataFrame:
         return texts.select("key", "text").join(some.select("node", "key"), "key").select("node", "text").dropDuplicates(["node"])
 
-    united = near_links(distinct.select("node", "key", "bands", "sample"), bodies_of, idf, similarity)
+    united = near_links(distinct.select("node", "key", "bands"), bodies_of, idf, similarity)
     placed = distinct.join(united, "node", "left").withColumn("component", F.coalesce("component", "node"))
     best = F.min(F.struct(F.col("doc").isNull(), "doc", "key")).alias("best")
     smallest = placed.groupBy("component").agg(best).select("component", "best.doc", "best.key")

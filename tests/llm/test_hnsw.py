@@ -76,9 +76,10 @@ def test_graph_search(n):
     assert (np.abs(true - found) < 1e-5).mean() > 0.95
 
 
-def test_components(spark):
+@pytest.mark.parametrize("task_edges", [1 << 20, 25])
+def test_components(spark, task_edges):
     pairs = [(i, i + 1) for i in range(0, 60)] + [(100, i) for i in range(101, 160)] + [(7, 7), (200, 201), (201, 202), (202, 200)]
-    got = {r.node: r.component for r in components(spark.createDataFrame(pairs, "a long, b long")).collect()}
+    got = {r.node: r.component for r in components(spark.createDataFrame(pairs, "a long, b long").repartition(6), task_edges).collect()}
     assert {got[i] for i in range(61)} == {0} and {got[i] for i in range(100, 160)} == {100} and got[202] == 200
 
 
