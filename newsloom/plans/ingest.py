@@ -5,11 +5,13 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
+from newsloom import schemas
 from newsloom.functions import text as T
-from newsloom.functions.dates import parse_date
+from newsloom.functions.dates import elapsed_ms, parse_date
 from newsloom.functions.html import (
     absolute_link, article_html, has_plain_article, html_text, without_noise,
 )
@@ -19,8 +21,10 @@ from newsloom.operators.dedup import KEY, own_key, with_key
 from newsloom.operators.matching import attach_by_key
 from newsloom.operators.numbering import assign_ids
 from newsloom.session import ensure_checkpoint_dir
+from newsloom.sources.writers import table_or_empty
 
 MIN_BODY = 50
+# Fixed value: the message of a feed without items.
 EMPTY_FEED = "Failed to fetch feed"
 
 
@@ -84,7 +88,7 @@ def substantial(body: str) -> Column:
 def with_crawled_body(items: DataFrame, crawled: DataFrame, item_id: str = "item_id") -> DataFrame:
     """Replace the feed's description by the crawled body of the same link, if it has one.
 
-    ``crawled`` holds ``url, content``; when a url was landed twice the longest body counts.
+    The body is sanitised HTML, and its length counts with its tags. ``crawled`` holds ``url, content``; when a url was landed twice the longest body counts.
     """
     # The rule sits in the order of the aggregate, which skips nulls. As a filter it
     # would be pushed down to the pages and extract every body a second time.
@@ -138,17 +142,47 @@ def ingest_cycle(
     """New articles with ids, the log and the updated feeds of one cycle.
 
     The accepted ids are checkpointed: articles and log must agree on them, and
-    neither then repeats the joins.
+    neither then repeats the joins. Numbers are given to the ids alone, so no text is sorted.
     """
     ensure_checkpoint_dir(items.sparkSession)
     fetched = fetched_items(items, feeds, compat)
     accepted = accept_items(fetched, stored).checkpoint()
-    articles = to_articles(fetched.join(accepted.select("item_id"), "item_id", "left_semi"))
-    articles = quality.apply_defaults(with_crawled_body(articles, crawled), now)
-    last_id = stored.agg(F.max("id"))
-    numbered = assign_ids(articles, ["item_id"], start=last_id).drop("item_id")
+    numbers = assign_ids(accepted.select("item_id"), ["item_id"], start=stored.agg(F.max("id")))
+    articles = to_articles(fetched.join(numbers, "item_id"))
+    articles = quality.apply_defaults(with_crawled_body(articles, crawled), now).drop("item_id")
     log = ingestion_log(fetched, accepted, feeds, now)
-    return Cycle(numbered, log, update_last_fetched(feeds, log, now))
+    return Cycle(articles, log, update_last_fetched(feeds, log, now))
+
+
+def commit_cycle(cycle: Cycle, base: str, cycle_id: int, started: datetime) -> None:
+    """Store a cycle's articles and log, then its feeds, as ``cycle_id=N`` under ``base``.
+
+    Each table overwrites its own folder, so a cycle that is run again replaces itself,
+    and nothing else. The feeds come last: a cycle without feeds is not committed. Log
+    ids hold the cycle and the feed, so they are the same in every run.
+    """
+    start = F.lit(started.isoformat(sep=" ")).cast("timestamp_ntz")
+    log = cycle.log.withColumns({
+        "id": F.shiftleft(F.lit(cycle_id).cast("long"), 32) + F.col("feed_source_id"),
+        "started_at": start, "execution_time_ms": elapsed_ms(start, F.col("completed_at")),
+    })
+    fit = lambda rows, schema: rows.select(*[F.col(f.name).cast(f.dataType) for f in schema])
+    for name, rows in (("articles", fit(cycle.articles, schemas.ARTICLE)), ("logs", fit(log, schemas.INGESTION_LOG)), ("feeds", cycle.feeds)):
+        rows.write.mode("overwrite").parquet(f"{base}/{name}/cycle_id={cycle_id}")
+
+
+def stored_articles(spark: SparkSession, base: str, before: int) -> DataFrame:
+    """Articles of the cycles before ``before``."""
+    schema = StructType([*schemas.ARTICLE.fields, StructField("cycle_id", IntegerType())])
+    return table_or_empty(spark, f"{base}/articles", schema).where(F.col("cycle_id") < before).drop("cycle_id")
+
+
+def latest_feeds(spark: SparkSession, base: str, before: int, seed: DataFrame) -> DataFrame:
+    """The feeds as the last cycle before ``before`` left them, else ``seed``."""
+    schema = StructType([*seed.schema.fields, StructField("cycle_id", IntegerType())])
+    known = table_or_empty(spark, f"{base}/feeds", schema).where(F.col("cycle_id") < before)
+    last = known.agg(F.max("cycle_id")).first()[0]
+    return seed if last is None else known.where(F.col("cycle_id") == last).drop("cycle_id")
 
 
 def fetched_items(items: DataFrame, feeds: DataFrame, compat: bool = False) -> DataFrame:

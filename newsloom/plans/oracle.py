@@ -137,8 +137,8 @@ RECORD = f"""
 
 CRAWLED = f"""
     SELECT link, body FROM (
-        SELECT i.link, {PAGE_TEXT} AS body FROM pages p JOIN items i ON i.item_id = p.page_id)
-    WHERE length(trim(body, {TRIMMED})) > 50
+        SELECT i.link, s.main_html AS body FROM ({SANITIZED}) s JOIN items i ON i.item_id = s.page_id)
+    WHERE length(trim(body, {TRIMMED})) > 50 AND link IS NOT NULL
     QUALIFY row_number() OVER (PARTITION BY link ORDER BY length(body) DESC, body DESC) = 1"""
 
 ITEM_KEY = f"feed_source_id, CAST(published_date AS DATE), {_norm('title')}"
@@ -170,6 +170,18 @@ def _cycle(stored: str) -> str:
             WHERE f.is_active)"""
 
 
+def _stored_by(last_id: str) -> str:
+    """The articles that a cycle stores, numbered after ``last_id``."""
+    return f"""
+        , records AS ({RECORD}), crawled AS ({CRAWLED})
+        SELECT {last_id} + row_number() OVER (ORDER BY r.item_id) AS id,
+               r.* EXCLUDE (item_id, content_html), a.category_id,
+               coalesce(c.body, r.content_html) AS content_html, {NOW} AS fetched_date,
+               false AS is_duplicate, CAST(NULL AS BIGINT) AS duplicate_of_id,
+               {NOW} AS created_at, {NOW} AS updated_at
+        FROM records r JOIN accepted a ON a.item_id = r.item_id LEFT JOIN crawled c ON c.link = r.link"""
+
+
 CYCLE = _cycle(f"SELECT * FROM parsed WHERE {VALID} AND item_id IN (SELECT doc_id FROM labels)")
 FIRST_CYCLE = _cycle("SELECT * FROM parsed WHERE false")
 
@@ -377,14 +389,7 @@ ORACLE: dict[str, str] = {
         WITH records AS ({RECORD}), crawled AS ({CRAWLED})
         SELECT item_id, r.link, coalesce(body, content_html) AS content_html
         FROM records r LEFT JOIN crawled c ON c.link = r.link""", "parsed"),
-    "ingest_articles": _cycled(f"""
-        , records AS ({RECORD}), crawled AS ({CRAWLED})
-        SELECT (SELECT max(item_id) FROM stored) + row_number() OVER (ORDER BY r.item_id) AS id,
-               r.* EXCLUDE (item_id, content_html), a.category_id,
-               coalesce(c.body, r.content_html) AS content_html, {NOW} AS fetched_date,
-               false AS is_duplicate, CAST(NULL AS BIGINT) AS duplicate_of_id,
-               {NOW} AS created_at, {NOW} AS updated_at
-        FROM records r JOIN accepted a ON a.item_id = r.item_id LEFT JOIN crawled c ON c.link = r.link"""),
+    "ingest_articles": _cycled(_stored_by("(SELECT max(item_id) FROM stored)")),
     "ingestion_log": _cycled("SELECT * FROM log"),
     "ingestion_totals": _cycled("""
         SELECT CAST(sum(articles_fetched) AS BIGINT) AS total_fetched,
@@ -410,6 +415,7 @@ ORACLE: dict[str, str] = {
     # Streams: the end state equals the batch query
     "stream_ingest": with_views("SELECT * FROM parsed", "parsed"),
     "stream_dedup": _articles(f"SELECT * EXCLUDE first_id FROM ({FIRST_IDS}) WHERE article_id = first_id"),
+    "stream_ingest_cycle": _cycled(_stored_by("0"), FIRST_CYCLE),
     "stream_ingest_log": _cycled("SELECT *, 0 AS batch_id FROM log", FIRST_CYCLE),
     "stream_trending": _articles(TRENDING),
 }

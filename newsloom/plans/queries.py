@@ -60,8 +60,8 @@ def _stored_items(spark, folder) -> DataFrame:
 def _crawled(spark, folder) -> DataFrame:
     """The landed pages under the links of the items with the same number."""
     links = V.items_of(V.texts(spark, folder)).select(F.col("item_id").alias("page_id"), F.col("link").alias("url"))
-    text = ingest.page_text(V.pages(spark, folder)).select("page_id", F.col("page_text").alias("content"))
-    return text.join(links, "page_id").select("url", "content")
+    bodies = ingest.extract_bodies(V.pages(spark, folder), sanitized=True)
+    return bodies.select("page_id", F.col("main_html").alias("content")).join(links, "page_id").select("url", "content")
 
 
 def _cycle_inputs(spark, folder):
@@ -478,6 +478,12 @@ def stream_ingest_log(spark, folder):
     return S.run_ingest_log(spark, folder)
 
 
+@query
+def stream_ingest_cycle(spark, folder):
+    """Articles that the ingest cycle stored batch by batch, each against those stored before."""
+    return S.run_cycles(spark, folder, _crawled(spark, folder))
+
+
 @query
 def stream_trending(spark, folder):
     return S.run_trending(spark, folder)

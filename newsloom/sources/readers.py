@@ -28,7 +28,9 @@ def _scan_folders(read, base: str, folders: dict[str, str]) -> tuple[DataFrame,
     for folder, name in folders.items():
         try:
             frames[name] = read(f"{base.rstrip('/')}/{folder}")
-        except AnalysisException:
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
             skipped.append(folder)
     if not frames:
         raise FileNotFoundError(f"no category folder could be read under {base}")
@@ -36,11 +38,18 @@ def _scan_folders(read, base: str, folders: dict[str, str]) -> tuple[DataFrame,
 
 
 def scan_json_lines(
-    spark: SparkSession, base: str, folders: dict[str, str] | None = None
+    spark: SparkSession, base: str, folders: dict[str, str] | None = None, keep_corrupt: bool = False
 ) -> tuple[DataFrame, list[str]]:
-    """Articles of all readable category folders, and the folders that were skipped."""
-    reader = spark.read.schema(schemas.RAW_ARTICLE)
-    return _scan_folders(reader.json, base, folders or FOLDERS)
+    """Articles of all readable category folders, and the folders that were skipped.
+
+    ``keep_corrupt`` returns the unreadable lines, in ``_corrupt_record``, instead of the articles.
+    """
+    schema = StructType([*schemas.RAW_ARTICLE.fields, StructField(CORRUPT, StringType())])
+    reader = spark.read.schema(schema).option("columnNameOfCorruptRecord", CORRUPT)
+    rows, skipped = _scan_folders(reader.json, base, folders or FOLDERS)
+    if keep_corrupt:
+        return rows.where(F.col(CORRUPT).isNotNull()), skipped
+    return rows.where(F.col(CORRUPT).isNull()).drop(CORRUPT), skipped
 
 
 def scan_json_array(
@@ -63,16 +72,25 @@ def scan_json_array(
 
 
 def scan_rss_items(spark: SparkSession, base: str) -> DataFrame:
-    """Every item of every feed file under ``base/feed_source_id=N/``, as raw strings."""
+    """Every item of every feed file under ``base/feed_source_id=N/``, as raw strings.
+
+    ``item_id`` is a hash of feed and content, the same however often the files are read;
+    equal items of one feed share it and count as one.
+    """
     rows = spark.read.format("xml").option("rowTag", "item").schema(schemas.RSS_ITEM).load(base)
-    return rows.withColumnsRenamed({"pubDate": "pub_date", "slash:comments": "comments"})
+    rows = rows.withColumnsRenamed({"pubDate": "pub_date", "slash:comments": "comments"})
+    feed = [c for c in rows.columns if c == "feed_source_id"]
+    content = [F.coalesce(c, F.lit("\0")) for c in ("title", "link", "description", "guid", "pub_date", "author", "comments")]
+    return rows.withColumn("item_id", F.xxhash64(*feed, *content)).dropDuplicates(["item_id"])
 
 
 def load_stopwords(spark: SparkSession, path: str) -> DataFrame:
     """Distinct trimmed lines of a word list; a missing file gives no words."""
     try:
         lines = spark.read.text(path)
-    except AnalysisException:
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
         return spark.createDataFrame([], "word string")
     return lines.select(T.trim_space(F.col("value")).alias("word")).where("word <> ''").distinct()
 

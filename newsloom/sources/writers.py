@@ -67,9 +67,12 @@ def append(rows: DataFrame, path: str) -> None:
 
 
 def table_or_empty(spark: SparkSession, path: str, schema) -> DataFrame:
+    """The table, empty where the path does not exist; any other failure is raised."""
     try:
         return spark.read.schema(schema).parquet(path)
-    except AnalysisException:
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
         return spark.createDataFrame([], schema)
 
 
@@ -81,15 +84,17 @@ def seed_if_empty(rows: DataFrame, path: str, reset: bool = False) -> bool:
     return True
 
 
-def land_raw_zone(articles: DataFrame, categories: DataFrame, base: str) -> None:
+def land_raw_zone(articles: DataFrame, categories: DataFrame, base: str, rejects: str = "_unknown") -> None:
     """Articles as one JSON Lines folder per category, ``category=<folder>/``.
 
-    ``categories`` maps ``category_id`` to the folder name.
+    ``categories`` maps ``category_id`` to the folder name; articles of no known
+    category go to ``rejects``. Only the folders that receive articles are replaced.
     """
-    rows = articles.join(categories.select("category_id", "category"), "category_id")
+    rows = articles.join(categories.select("category_id", "category"), "category_id", "left")
     (
-        rows.select("publish_date", "source", "title", "content", "category")
-        .hint("rebalance", "category").write.mode("overwrite").partitionBy("category").json(base)
+        rows.select("publish_date", "source", "title", "content", F.coalesce("category", F.lit(rejects)).alias("category"))
+        .hint("rebalance", "category").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .partitionBy("category").json(base)
     )
 
 

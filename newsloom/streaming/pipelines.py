@@ -43,28 +43,33 @@ def batch_writer(transform: Callable[[DataFrame], DataFrame], out: str) -> Calla
     return handle
 
 
-def dedup_writer(out: str, row_id: str = "article_id", published: str = "published_at") -> Callable[[DataFrame, int], None]:
+def dedup_writer(
+    out: str, row_id: str = "article_id", published: str = "published_at", run: str = "first",
+) -> Callable[[DataFrame, int], None]:
     """Keep the first article of every key, within the batch and against all earlier batches.
 
     Exact, without a horizon. Accepted keys are stored by day, so a batch reads
-    the stored keys of its own days only.
+    the stored keys of its own days only. A stream that starts again without its checkpoint
+    counts its batches from 0; with another name in ``run`` it replaces nothing and
+    still sees the keys of the runs before.
     """
     def handle(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         keyed = with_key(batch, published)
         firsts = keyed.groupBy(*KEY).agg(F.min(row_id).alias(row_id))
-        schema = firsts.withColumn("batch_id", F.lit(0).cast("int")).schema
-        seen = table_or_empty(spark, f"{out}/keys", schema).where(F.col("batch_id") < batch_id)
+        schema = firsts.withColumn("run", F.lit(run)).withColumn("batch_id", F.lit(0).cast("int")).schema
+        own = F.col("run") == run
+        seen = table_or_empty(spark, f"{out}/keys", schema).where(~own | (F.col("batch_id") < batch_id))
         # the days of the batch choose the stored partitions that are read
         seen = seen.join(firsts.select("_day").distinct(), "_day", "left_semi")
-        fresh = firsts.join(seen.select(*KEY), KEY, "left_anti").withColumn("batch_id", F.lit(batch_id))
+        fresh = firsts.join(seen.select(*KEY), KEY, "left_anti").withColumns({"run": F.lit(run), "batch_id": F.lit(batch_id)})
         (
             fresh.hint("rebalance", "_day").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-            .partitionBy("_day", "batch_id").parquet(f"{out}/keys")
+            .partitionBy("_day", "run", "batch_id").parquet(f"{out}/keys")
         )
-        stored = spark.read.schema(schema).parquet(f"{out}/keys").where(F.col("batch_id") == batch_id)
+        stored = spark.read.schema(schema).parquet(f"{out}/keys").where(own & (F.col("batch_id") == batch_id))
         accepted = batch.join(stored.select(row_id), row_id, "left_semi")
-        accepted.write.mode("overwrite").parquet(f"{out}/articles/batch_id={batch_id}")
+        accepted.write.mode("overwrite").parquet(f"{out}/articles/run={run}/batch_id={batch_id}")
 
     return handle
 
@@ -118,21 +123,39 @@ def run_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """First article of every key, over all batches."""
     out = work_folder(spark, "dedup")
     _run(V.articles_of(_documents(spark, folder)), dedup_writer(out), out)
-    return spark.read.parquet(f"{out}/articles").drop("batch_id")
+    return spark.read.parquet(f"{out}/articles").drop("run", "batch_id")
 
 
-def run_ingest_log(spark: SparkSession, folder: str) -> DataFrame:
-    """One log row per active feed and batch."""
-    out = work_folder(spark, "log")
-    feeds, now = V.feeds(spark, folder), datetime.fromisoformat(V.BATCH_TIME)
+def cycle_writer(
+    feeds: DataFrame, crawled: DataFrame, out: str, now: datetime, parse: Callable[[DataFrame], DataFrame],
+) -> Callable[[DataFrame, int], None]:
+    """One ingest cycle per micro-batch against all earlier ones, committed under ``out``."""
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        known = ingest.stored_articles(spark, out, batch_id)
+        current = ingest.latest_feeds(spark, out, batch_id, feeds)
+        ingest.commit_cycle(ingest.ingest_cycle(parse(batch), current, known, crawled, now), out, batch_id, now)
+
+    return handle
 
-    def log(batch: DataFrame) -> DataFrame:
-        fetched = ingest.fetched_items(V.items_of(V.articles_of(batch)), feeds)
-        nothing = fetched.where(F.lit(False)).withColumn("id", F.col("item_id"))
-        return ingest.ingestion_log(fetched, ingest.accept_items(fetched, nothing), feeds, now)
 
-    _run(_documents(spark, folder), batch_writer(log, f"{out}/log"), out)
-    return spark.read.parquet(f"{out}/log")
+def _run_cycles(spark: SparkSession, folder: str, crawled: DataFrame) -> str:
+    out, now = work_folder(spark, "cycles"), datetime.fromisoformat(V.BATCH_TIME)
+    parse = lambda batch: V.items_of(V.articles_of(batch))
+    _run(_documents(spark, folder), cycle_writer(V.feeds(spark, folder), crawled, out, now, parse), out)
+    return out
+
+
+def run_cycles(spark: SparkSession, folder: str, crawled: DataFrame) -> DataFrame:
+    """The stored articles after all cycles."""
+    return ingest.stored_articles(spark, _run_cycles(spark, folder, crawled), 1 << 30)
+
+
+def run_ingest_log(spark: SparkSession, folder: str) -> DataFrame:
+    """One log row per active feed and cycle."""
+    nothing = spark.createDataFrame([], "url string, content string")
+    logs = spark.read.parquet(f"{_run_cycles(spark, folder, nothing)}/logs")
+    return logs.drop("id", "started_at", "execution_time_ms").withColumnRenamed("cycle_id", "batch_id")
 
 
 def run_trending(spark: SparkSession, folder: str) -> DataFrame:

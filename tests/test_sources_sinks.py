@@ -91,9 +91,16 @@ def test_ingest_cycle_over_feed_files(spark, tmp_path):
     totals = ingest.cycle_totals(cycle.log).first()
     assert tuple(totals) == (3, 1, 2)
     # The next cycle finds everything stored.
-    path = str(tmp_path / "articles")
-    writers.append(cycle.articles.select([f.name for f in schemas.ARTICLE]), path)
-    again = ingest.ingest_cycle(items, feeds, writers.table_or_empty(spark, path, schemas.ARTICLE), crawled, now)
+    base = str(tmp_path / "base")
+    for _ in range(2):  # a cycle that runs again replaces itself
+        ingest.commit_cycle(cycle, base, 0, datetime(2026, 5, 27, 23, 59, 59))
+    stored = ingest.stored_articles(spark, base, 1)
+    assert stored.count() == 1 and ingest.stored_articles(spark, base, 0).count() == 0
+    logs = spark.read.parquet(base + "/logs").where("feed_source_id = 1").first()
+    assert (logs.execution_time_ms, logs.articles_saved) == (1000, 1)
+    left = ingest.latest_feeds(spark, base, 1, feeds)
+    assert {r.id: r.last_fetched_at for r in left.collect()}[1] == now
+    again = ingest.ingest_cycle(items, left, stored, crawled, now)
     assert again.articles.count() == 0
 
 
@@ -172,6 +179,13 @@ def test_land_raw_zone_and_read_back(spark, tmp_path):
     assert skipped == ["category=suc_khoe"]
     assert {(r.chu_de, r.title) for r in landed.collect()} == {("GiaiTri", "A"), ("CongNghe", "B")}
     assert K.trending_words(landed).count() == 3
+    more = articles.where("category_id = 1").unionByName(articles.where("category_id = 1").withColumn("category_id", F.lit(9)))
+    writers.land_raw_zone(more, folders, str(tmp_path / "raw"))  # leaves the other folders alone
+    put(tmp_path, "raw/category=cong_nghe/bad.json", "{not json\n")
+    landed, _ = readers.scan_json_lines(spark, str(tmp_path / "raw"), names | {"category=_unknown": "none"})
+    assert sorted((r.chu_de, r.title) for r in landed.collect()) == [("CongNghe", "B"), ("GiaiTri", "A"), ("none", "A")]
+    corrupt, _ = readers.scan_json_lines(spark, str(tmp_path / "raw"), names, keep_corrupt=True)
+    assert [r._corrupt_record for r in corrupt.collect()] == ["{not json"]
 
 
 def test_serving_table(spark):

@@ -108,3 +108,38 @@ def test_restart_takes_only_new_files(spark, landed, tmp_path):
     spark.createDataFrame([article(9, "Tin D", 3)], SCHEMA).coalesce(1).write.mode("append").parquet(landed)
     finish(S.run_batches(stream(spark, landed), handle, out + "/checkpoint"))
     assert sorted(r.article_id for r in spark.read.parquet(out + "/rows").collect()) == list(range(1, 10))
+
+
+def test_cycles_over_three_batches_store_what_one_batch_stores(spark, landed, tmp_path):
+    from newsloom.plans import ingest
+
+    def items(rows):
+        return rows.select(
+            F.col("article_id").alias("item_id"), "feed_source_id", "title", F.concat(F.lit("http://x/"), "article_id").alias("link"),
+            F.col("content").alias("description"), F.lit(None).cast("string").alias("guid"), F.lit("a").alias("author"),
+            F.col("publish_date").alias("pub_date"), F.lit("0").alias("comments"),
+        )
+
+    feeds = spark.createDataFrame([(0, 1, True), (1, 1, True)], "id int, category_id int, is_active boolean")
+    feeds = feeds.withColumn("last_fetched_at", F.lit(None).cast("timestamp_ntz"))
+    crawled = spark.createDataFrame([], "url string, content string")
+    now, out = datetime(2026, 6, 1), str(tmp_path / "out")
+    finish(S.run_batches(stream(spark, landed), S.cycle_writer(feeds, crawled, out, now, items), out + "/checkpoint"))
+    stored = ingest.stored_articles(spark, out, 99)
+    nothing = stored.limit(0)
+    whole = ingest.ingest_cycle(items(spark.read.parquet(landed)), feeds, nothing, crawled, now)
+    assert {r.link for r in stored.collect()} == {r.link for r in whole.articles.collect()}
+    assert sorted(r.id for r in stored.collect()) == list(range(1, stored.count() + 1))
+    total = lambda log: log.agg(F.sum("articles_fetched"), F.sum("articles_saved"), F.sum("duplicates_found")).first()
+    assert total(spark.read.parquet(out + "/logs")) == total(whole.log)
+    assert ingest.latest_feeds(spark, out, 99, feeds).where("last_fetched_at is not null").count() == 2
+
+
+def test_a_lost_checkpoint_overwrites_nothing(spark, tmp_path):
+    out = str(tmp_path / "out")
+    frames = [spark.createDataFrame(rows, SCHEMA) for rows in FILES]
+    for run, batches in (("first", (0, 1)), ("second", (0, 1, 2))):
+        handle = S.dedup_writer(out, run=run)
+        for batch_id in batches:
+            handle(frames[batch_id], batch_id)
+    assert sorted(r.article_id for r in spark.read.parquet(out + "/articles").collect()) == [1, 2, 6, 7]
