@@ -412,6 +412,18 @@ ORACLE: dict[str, str] = {
                regexp_extract(url, '^[a-z]+://[^/?#]*') || unnest(hrefs) AS link
         FROM (SELECT *, regexp_extract_all(regexp_replace(html, '{NOISE}', '', 'g'),
                                            '<a href="([^"]*)"', 1) AS hrefs FROM pages)""",
+    # Sources and sinks
+    "landed_articles": _articles("""
+        SELECT publish_date, source, title, content, CASE WHEN chu_de = 'fr' THEN '_unknown' ELSE chu_de END AS chu_de
+        FROM articles"""),
+    "feed_files": with_views("""
+        SELECT DISTINCT feed_source_id, title, link, guid, author, published_date FROM (
+            SELECT p.*, i.pub_date FROM parsed p JOIN items i ON i.item_id = p.item_id)""", "parsed", "items"),
+    "result_files": _articles(TRENDING),
+    "seeded_categories": with_views("SELECT * FROM categories", "categories"),
+    "word_list": f"SELECT DISTINCT unnest({_tokens('lower(text)')}) AS word FROM benchmark",
+    "lexicon_file": f"""
+        SELECT word, 'n' || length(word) AS kind FROM (SELECT DISTINCT unnest({_tokens('lower(text)')}) AS word FROM benchmark)""",
     # Streams: the end state equals the batch query
     "stream_ingest": with_views("SELECT * FROM parsed", "parsed"),
     "stream_dedup": _articles(f"SELECT * EXCLUDE first_id FROM ({FIRST_IDS}) WHERE article_id = first_id"),

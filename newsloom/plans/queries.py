@@ -17,8 +17,8 @@ from newsloom.operators.numbering import assign_ids
 from newsloom.operators.phrases import merge_phrases
 from newsloom.plans import ingest, serving
 from newsloom.plans import views as V
-from newsloom.session import ship_package
-from newsloom.sources import readers
+from newsloom.session import ship_package, work_folder
+from newsloom.sources import readers, writers
 from newsloom.streaming import pipelines as S
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -461,6 +461,65 @@ def page_links(spark, folder):
     return ingest.page_links(V.pages(spark, folder))
 
 
+# Sources and sinks: the given tables through files and back
+
+@query
+def landed_articles(spark, folder):
+    """Articles landed per category, one of them unknown, and scanned again."""
+    base = work_folder(spark, "raw")
+    known = spark.createDataFrame([(1, "de"), (2, "en"), (3, "es")], "category_id int, category string")
+    articles = V.texts(spark, folder)
+    articles = articles.join(known, "category", "left").select("publish_date", "source", "title", "content", "category_id")
+    writers.land_raw_zone(articles, known, base)
+    return readers.scan_json_lines(spark, base, {f"category={c}": c for c in ("de", "en", "es", "_unknown")})[0]
+
+
+@query
+def feed_files(spark, folder):
+    """Items written as feed files, one folder per feed, and scanned again."""
+    base = work_folder(spark, "feeds")
+    items = V.items(spark, folder).select("feed_source_id", "title", "link", "guid", "author", F.col("pub_date").alias("pubDate"))
+    items.write.format("xml").option("rootTag", "channel").option("rowTag", "item").partitionBy("feed_source_id").save(base)
+    scanned = ingest.parse_items(readers.scan_rss_items(spark, base))
+    return scanned.select("feed_source_id", "title", "link", "guid", "author", "published_date")
+
+
+@query
+def result_files(spark, folder):
+    """The result as Parquet, then as CSV from the stored files, and read again."""
+    path = work_folder(spark, "result")
+    writers.write_trending(_trending(spark, folder), path)
+    return writers.read_csv(spark, f"{path}_csv")
+
+
+@query
+def seeded_categories(spark, folder):
+    """Seed rows are written where there are none and left alone after that."""
+    path = work_folder(spark, "categories")
+    rows = V.categories(spark, folder)
+    writers.seed_if_empty(rows, path)
+    writers.seed_if_empty(rows.limit(1), path)
+    return spark.read.parquet(path)
+
+
+@query
+def word_list(spark, folder):
+    """The distinct words of the benchmark as lines of a stopword file."""
+    path = work_folder(spark, "words")
+    words = V.table(spark, folder, "benchmark").select(F.explode(T.tokenize(F.lower("text"))).alias("word"))
+    words.select(F.concat(F.lit("  "), "word", F.lit(" "))).write.text(path)
+    return readers.load_stopwords(spark, path)
+
+
+@query
+def lexicon_file(spark, folder):
+    """The distinct words of the benchmark as an XML lexicon."""
+    path = work_folder(spark, "lexicon")
+    words = V.table(spark, folder, "benchmark").select(F.explode(T.tokenize(F.lower("text"))).alias("_VALUE")).distinct()
+    words.withColumn("_msd", F.concat(F.lit("n"), F.length("_VALUE"))).write.format("xml").options(rootTag="body", rowTag="w").save(path)
+    return readers.load_lexicon(spark, path)
+
+
 # Streams
 
 @query
