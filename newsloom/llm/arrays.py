@@ -9,6 +9,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import DataType, StructField, StructType
 
 from newsloom.session import ship_package, work_folder
 
@@ -27,13 +29,16 @@ def text_of(name: str = "text") -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
 
 
-def map_batches(df: DataFrame, work: Callable[[pa.RecordBatch], dict | None], schema: str) -> DataFrame:
+def schema_of(columns: str, **more: DataType) -> StructType:
+    """Columns of given types, whatever the names inside them, then those of a schema text."""
+    return StructType([*(StructField(n, t) for n, t in more.items()), *StructType.fromDDL(columns).fields])
+
+
+def map_batches(df: DataFrame, work: Callable[[pa.RecordBatch], dict | None], schema: str | StructType) -> DataFrame:
     """``mapInArrow`` of a function from a batch to columns by name; large batches come in slices."""
     ship_package(df.sparkSession)
-    from pyspark.sql.types import _parse_datatype_string
-    from pyspark.sql.pandas.types import to_arrow_schema
-
-    target = to_arrow_schema(_parse_datatype_string(schema))
+    schema = schema_of(schema) if isinstance(schema, str) else schema
+    target = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

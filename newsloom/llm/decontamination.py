@@ -118,9 +118,8 @@ def scan(
         kept, text_of().alias("text"), F.lit(0).alias("n_words"), none.alias("hit_words"), none.alias("hit_bytes"),
         F.array().cast("array<string>").alias("items"),
     )
-    schema = df.schema.simpleString()[7:-1]
     for data in _slices(benchmark, slice_bytes) or [pickle.dumps([])]:
-        df = map_batches(df, _scanner(context.broadcast(data), size), schema)
+        df = map_batches(df, _scanner(context.broadcast(data), size), df.schema)
     return df.select("kept.*", "n_words", "hit_words", "hit_bytes", "items")
 
 

@@ -338,6 +338,6 @@ def key_of(docs: DataFrame):
 
 def kept_documents(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """One document of each class, with all its columns; of rows equal in id and text one stays."""
-    keys = near_duplicates(docs, similarity).where("stays").select(F.col("key").alias("_key")).distinct()
-    kept = docs.withColumn("_key", key_of(docs)).join(keys, "_key").dropDuplicates(["_key"])
-    return kept.select(*[F.col(f"`{c}`") for c in docs.columns])
+    keys = near_duplicates(docs, similarity).where("stays").select("key").distinct()
+    rows = docs.select(key_of(docs).alias("key"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    return rows.join(keys, "key").dropDuplicates(["key"]).select("row.*")

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from newsloom.llm.arrays import BYTE_CODES, Rolling, Words, map_batches, sums, text_of, utf8
+from newsloom.llm.arrays import BYTE_CODES, Rolling, Words, map_batches, schema_of, sums, text_of, utf8
 from newsloom.llm.labelled import training_rows
 
 STATISTICS = (
@@ -96,8 +96,7 @@ def with_statistics(docs: DataFrame, keep: list[str]) -> DataFrame:
         found = statistics(batch.column("text"))
         return {"kept": batch.column("kept")} | {name: found[:, i] for i, name in enumerate(STATISTICS)}
 
-    kept = df.schema["kept"].dataType.simpleString()
-    return map_batches(df, work, f"kept {kept}, " + ", ".join(f"{s} double" for s in STATISTICS))
+    return map_batches(df, work, schema_of(", ".join(f"{s} double" for s in STATISTICS), kept=df.schema["kept"].dataType))
 
 
 Bound = tuple[int, bool, float]  # number of the statistic, whether above, the bound

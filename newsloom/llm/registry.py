@@ -10,10 +10,11 @@ from pyspark.sql import functions as F
 
 from newsloom.llm import bpe, decontamination, hnsw, id_files, minhash, quality_rules, sentence_spans, suffix_dedup, token_counts, toxicity
 from newsloom.llm.labelled import held_out
+from newsloom.llm.oracle import ORACLE as SQL
 from newsloom.session import work_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = dict(SQL)
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 
 

@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from newsloom.llm.arrays import BYTE_CODES, Rolling, binary, map_batches, mix, ranges, text_of, utf8, written
+from newsloom.llm.arrays import BYTE_CODES, Rolling, binary, map_batches, mix, ranges, schema_of, text_of, utf8, written
 
 LENGTH = 400
 FIRST = 64
@@ -247,6 +247,6 @@ def deduplicated(docs: DataFrame, length: int = LENGTH) -> DataFrame:
         return {"kept": batch.column("kept"), "text": [kept.decode(errors="ignore") for *_, kept in _cut(batch, length)]}
 
     columns = docs.columns
-    found = with_windows(docs, F.struct(F.lit(0).alias("none"), *[F.col(f"`{c}`") for c in columns if c != "text"]), length)
-    done = map_batches(found, work, f"kept {found.schema['kept'].dataType.simpleString()}, text string")
-    return done.select(*[F.col("text") if c == "text" else F.col("kept")[c].alias(c) for c in columns])
+    found = with_windows(docs, F.struct(*[F.col(f"`{c}`") for c in columns if c != "text"]), length)
+    done = map_batches(found, work, schema_of("text string", kept=found.schema["kept"].dataType))
+    return done.select(*[F.col("text") if c == "text" else F.col("kept").getField(c).alias(c) for c in columns])

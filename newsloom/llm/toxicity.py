@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from newsloom.llm.arrays import LOWER, map_batches, mix, text_of, utf8, written
+from newsloom.llm.arrays import LOWER, map_batches, mix, schema_of, text_of, utf8, written
 from newsloom.llm.labelled import training_rows
 
 DECAY = 0.7
@@ -330,8 +330,8 @@ def features(docs: DataFrame, model: ToxicityModel, keep: list[str]) -> DataFram
         p = 1 / (1 + np.exp(-np.clip(x @ np.array(sent.value.curve[1:]) + sent.value.curve[0], -40, 40)))
         return {"kept": batch.column("kept"), "best": x[:, 0], "second": x[:, 1], "many": x[:, 2], "length": x[:, 3], "score": p}
 
-    kept = df.schema["kept"].dataType.simpleString()
-    return map_batches(df, work, f"kept {kept}, best double, second double, many double, length double, score double")
+    columns = "best double, second double, many double, length double, score double"
+    return map_batches(df, work, schema_of(columns, kept=df.schema["kept"].dataType))
 
 
 def score(docs: DataFrame, model: ToxicityModel, keep: list[str]) -> DataFrame:

@@ -1,12 +1,14 @@
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
 from newsloom.llm import quality_rules
 from newsloom.llm.labelled import held_out
 from tests.llm import test_decontamination, test_minhash, test_tokens
+from tests.llm.cases import ODD_TEXTS, documents, save
 
 SF = "/root/testdata/sf0.001"
 
@@ -53,6 +55,21 @@ def test_stages_keep_the_columns(spark):
         assert stage(spark, docs, SF).columns == columns
 
 
+def test_stages_on_clashing_columns_and_odd_rows(spark, tmp_path):
+    names = ("key", "row", "kept", "_doc", "score", "doc", "windows", "n_words", "items", "label", "a.b")
+    docs = documents(spark, [*ODD_TEXTS, ODD_TEXTS[0], "one"]).drop("n_tokens", "score").withColumns({n: F.lit(n) for n in names})
+    docs = docs.unionByName(docs.limit(3)).unionByName(docs.limit(2).withColumn("doc_id", F.lit(None).cast("long")))
+    save(spark.createDataFrame([(1, "x y z")], "item_id long, text string"), tmp_path, "benchmark")
+    save(spark.createDataFrame([], "doc_id long, quality int, toxic int"), tmp_path, "labels")
+    for frame in (docs, docs.limit(0)):
+        for name, stage in corpus_pipeline.STAGES[:-1]:
+            out = stage(spark, frame, str(tmp_path))
+            assert out.columns == docs.columns, name
+            rows = out.collect()
+            assert all(r["a.b"] == "a.b" and r.kept == "kept" for r in rows)
+            assert bool(rows) == (frame is docs)
+
+
 def test_entry_lists_the_queries():
     import __spark_entry__
 
