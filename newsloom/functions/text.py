@@ -232,9 +232,9 @@ def comment_count(text: Column) -> Column:
     return F.coalesce(trim_space(text).try_cast("int"), F.lit(0))
 
 
-def normalize_tone(text: Column) -> Column:
-    """Move tone marks from the old-style to the new-style vowel."""
-    return replace_all(text, TONE_PAIRS)
+def normalize_tone(text: Column, pairs: Iterable[tuple[str, str]] = TONE_PAIRS) -> Column:
+    """Move tone marks from the old-style to the new-style vowel, by the given spelling pairs."""
+    return replace_all(text, pairs)
 
 
 def token_shape(token: Column) -> Column:

@@ -303,6 +303,12 @@ ORACLE: dict[str, str] = {
         SELECT *, (SELECT count(*) FROM logs WHERE status = 'failed') AS total FROM logs
         WHERE status = 'failed' ORDER BY started_at DESC, log_id DESC LIMIT 50 OFFSET 100"""),
     "latest_log": _logs("SELECT * FROM logs ORDER BY started_at DESC, log_id DESC LIMIT 1"),
+    "logs_with_feeds": with_views("""
+        SELECT l.log_id, l.feed_source_id, l.status, f.name AS feed_name
+        FROM logs l LEFT JOIN (SELECT * FROM feeds WHERE is_active) f ON f.id = l.feed_source_id""", "logs", "feeds"),
+    "log_defaults": _logs(f"""
+        SELECT log_id, status, articles_fetched, CAST(0 AS BIGINT) AS articles_saved,
+               CAST(0 AS BIGINT) AS duplicates_found, {NOW} AS started_at FROM logs"""),
     "log_duration": _logs("""
         SELECT log_id, (epoch_us(completed_at) - epoch_us(started_at)) // 1000 AS execution_time_ms FROM logs"""),
     "list_feeds": with_views("SELECT * FROM feeds", "feeds"),
@@ -349,6 +355,13 @@ ORACLE: dict[str, str] = {
             SELECT item_id, concat_ws(',', {VIOLATIONS}) AS violations
             FROM (SELECT *, {_cut_slug('s')} AS slug FROM (SELECT *, {_slug('title')} AS s FROM parsed)))
         WHERE violations <> ''""", "parsed"),
+    "result_check": _over_trending("""
+        SELECT tu_khoa, concat_ws(',', CASE WHEN length(ngay) > 8 THEN 'ngay:length' END,
+            CASE WHEN length(nguon) > 100 THEN 'nguon:length' END, CASE WHEN length(chu_de) > 100 THEN 'chu_de:length' END,
+            CASE WHEN length(tu_khoa) > 255 THEN 'tu_khoa:length' END, CASE WHEN ngay IS NULL THEN 'ngay:null' END,
+            CASE WHEN nguon IS NULL THEN 'nguon:null' END, CASE WHEN chu_de IS NULL THEN 'chu_de:null' END) AS violations
+        FROM trending WHERE length(ngay) > 8 OR length(nguon) > 100 OR length(chu_de) > 100 OR length(tu_khoa) > 255
+            OR ngay IS NULL OR nguon IS NULL OR chu_de IS NULL"""),
     "assign_ids": _articles("""
         SELECT (SELECT max(doc_id) FROM labels) + row_number() OVER (ORDER BY published_at, article_id) AS id,
                article_id, published_at FROM articles"""),

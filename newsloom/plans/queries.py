@@ -224,6 +224,20 @@ def latest_log(spark, folder):
     return serving.latest_log(V.logs(spark, folder))
 
 
+@query
+def logs_with_feeds(spark, folder):
+    """Log rows with feed names; those of the inactive feeds find none."""
+    logs = V.logs(spark, folder).select("log_id", "feed_source_id", "status")
+    return serving.logs_with_feeds(logs, ingest.active_feeds(V.feeds(spark, folder)))
+
+
+@query
+def log_defaults(spark, folder):
+    """Log rows of failed fetches, which come without counters."""
+    logs = V.logs(spark, folder).select("log_id", "status", F.nullif("articles_fetched", F.lit(0)).alias("articles_fetched"))
+    return quality.log_defaults(logs, NOW)
+
+
 @query
 def log_duration(spark, folder):
     return V.logs(spark, folder).select("log_id", D.elapsed_ms(F.col("started_at"), F.col("completed_at")).alias("execution_time_ms"))
@@ -336,6 +350,13 @@ def constraint_check(spark, folder):
     return records.select("item_id", quality.violations().alias("violations")).where("violations <> ''")
 
 
+@query
+def result_check(spark, folder):
+    """Result rows that do not fit the serving table."""
+    broken = quality.violations(quality.RESULT_WIDTHS, tuple(quality.RESULT_WIDTHS))
+    return _trending(spark, folder).select("tu_khoa", broken.alias("violations")).where("violations <> ''")
+
+
 @query
 def assign_ids_query(spark, folder):
     """Ids after the last labelled document, in the order of publication."""

@@ -63,6 +63,12 @@ def latest_log(logs: DataFrame) -> DataFrame:
     return logs.orderBy(F.desc("started_at"), F.desc("log_id")).limit(1)
 
 
+def logs_with_feeds(logs: DataFrame, feeds: DataFrame) -> DataFrame:
+    """Log rows with the name of their feed; rows without a known feed stay."""
+    names = feeds.select(F.col("id").alias("feed_source_id"), F.col("name").alias("feed_name"))
+    return logs.join(names, "feed_source_id", "left")
+
+
 def enrich_articles(articles: DataFrame, feeds: DataFrame, categories: DataFrame) -> DataFrame:
     """Articles with the names of their feed and its category."""
     named = feeds.join(
