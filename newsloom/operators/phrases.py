@@ -27,26 +27,35 @@ def merge_phrases(articles: DataFrame, lexicon: DataFrame, *, row_id: str = "art
     listed = articles.join(found.groupBy(row_id).agg(F.collect_list("hit").alias("_hits")), row_id, "left")
     listed = listed.withColumn("_tokens", tokens).withColumn("_lowered", T.tokenize(F.lower(F.col(text))))
     real = F.filter("_hits", lambda h: F.slice(F.col("_lowered"), h["at"], h["n"]) == h["words"])
+    # named twice, so that Spark does not move the splitting of the text into the function above
+    real = F.when(F.size("_lowered") > 0, real)
     # by place, the longest first
     ordered = F.array_sort(F.transform(real, lambda h: F.struct(h["at"].alias("at"), (-h["n"]).alias("short"))))
     listed = listed.withColumn("_order", F.coalesce(ordered, F.array().cast("array<struct<at:int,short:int>>")))
-    joined = F.when(F.col(text).isNotNull(), _joined(F.col("_tokens"), F.col("_order")))
+    listed = listed.withColumn("_taken", _taken(F.col("_order")))
+    joined = F.when(F.col(text).isNotNull(), _joined(F.col("_tokens"), F.col("_taken")))
     return listed.withColumn(text, joined).select(*articles.columns)
 
 
-def _joined(tokens: Column, order: Column) -> Column:
-    """The tokens as a text; each hit that begins after the last one taken is joined by "_"."""
-    part = lambda first, count, mark: F.array_join(F.slice(tokens, first, count), mark)
+def _taken(order: Column) -> Column:
+    """The hits that begin after the last one taken, as (at, end) with the end not included."""
+    empty = F.array().cast("array<struct<at:int,end:int>>")
 
     def take(state: Column, hit: Column) -> Column:
-        n = -hit["short"]
-        before = F.when(hit["at"] > state["next"], F.concat(part(state["next"], hit["at"] - state["next"], " "), F.lit(" "))).otherwise("")
-        taken = F.struct(
-            (hit["at"] + n).cast("int").alias("next"),
-            F.concat(state["text"], before, part(hit["at"], n, "_"), F.lit(" ")).alias("text"),
-        )
+        end = (hit["at"] - hit["short"]).cast("int")
+        taken = F.struct(end.alias("next"), F.array_append(state["taken"], F.struct(hit["at"].alias("at"), end.alias("end"))).alias("taken"))
         return F.when(hit["at"] >= state["next"], taken).otherwise(state)
 
-    start = F.struct(F.lit(1).cast("int").alias("next"), F.lit("").alias("text"))
-    rest = lambda s: F.slice(tokens, s["next"], F.greatest(F.size(tokens) - s["next"] + 1, F.lit(0)))
-    return F.aggregate(order, start, take, lambda s: F.rtrim(F.concat(s["text"], F.array_join(rest(s), " "))))
+    start = F.struct(F.lit(1).cast("int").alias("next"), empty.alias("taken"))
+    return F.aggregate(order, start, take, lambda s: s["taken"])
+
+
+def _joined(tokens: Column, taken: Column) -> Column:
+    """The tokens as a text, those of a taken hit joined by "_"; each token is copied once."""
+    part = lambda first, end, mark: F.array_join(F.slice(tokens, first, end - first), mark)
+    ends = F.concat(F.array(F.lit(1)), F.transform(taken, lambda t: t["end"]))
+    starts = F.concat(F.transform(taken, lambda t: t["at"]), F.array(F.size(tokens) + 1))
+    plain = F.transform(F.arrays_zip(ends.alias("a"), starts.alias("b")), lambda z: part(z["a"], z["b"], " "))
+    phrases = F.transform(taken, lambda t: part(t["at"], t["end"], "_"))
+    both = F.transform(F.arrays_zip(plain.alias("p"), phrases.alias("q")), lambda z: F.concat_ws(" ", F.nullif(z["p"], F.lit("")), z["q"]))
+    return F.array_join(F.filter(both, lambda x: x != ""), " ")
