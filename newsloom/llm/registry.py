@@ -70,6 +70,12 @@ def op6_sentence_spans(spark, folder):
     return sentence_spans.removal_report(table(spark, folder, "documents"))
 
 
+@query
+def op6_passages(spark, folder):
+    """Operator 6 with clauses: passages that repeat inside sentences go as well."""
+    return sentence_spans.removal_report(table(spark, folder, "documents"), clauses=True)
+
+
 @query
 def op7_minhash(spark, folder):
     """Documents with the class of their near-duplicates; one of each class is kept."""
