@@ -1,12 +1,12 @@
 """Operator 7: near-duplicates by consistent weighted sampling over TF-IDF shingles.
 
 A text is the bag of its runs of five words (a shorter text is one run). A run weighs its
-count times ``1 + ln(1 / max(share of documents that hold it, RARE))``. Only runs in at
-least a share ``RARE`` of all documents need a document count, and there are at most
-(mean distinct runs a document) / ``RARE`` of them, whatever the size of the corpus; their
-exact counts go to all tasks. They are found in two passes: runs are hashed to ``CELLS``
-cells, a cell is live if any task sees it in its share of documents (which must be so
-somewhere for a common run), and the runs of live cells are counted exactly.
+count times ``1 + ln(documents / documents that hold it)``, where one document counts as two; the
+documents of every run are counted, however rare it is. Documents are dealt by key to slices; a slice sends each of its different runs
+once, with the number of its documents that hold it, to the part of the runs' hashes it falls
+in, packed in one row for slice and part, and gets the sums back in the same order. So a
+hot run is one number a slice, and the counts stay beside the sketches for the exact comparison.
+Runs are counted by the upper 56 bits of their hashes.
 
 Improved consistent weighted sampling (Ioffe) draws ``SAMPLES`` samples of each bag; texts
 whose ``ROWS`` samples of a band agree are candidates. Candidates are verified by exact
@@ -45,12 +45,14 @@ SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 16, 4
 SAMPLES = BANDS * ROWS
-RARE = 0.01
+RARE = 0.01  # only for ``common_runs``
 CELLS = 1 << 20
 MAX_COMMON = 1 << 20
 HUBS = 2
 BLOCK_ROWS, BLOCK_BYTES = 512, 2 << 20
 DRAWS = 16  # bits
+SLICE_BYTES, PART_BYTES = 4 << 20, 32 << 20
+SLICES, PARTS = 256, 64  # at least
 
 
 def bags(column: pa.Array, size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -74,7 +76,7 @@ def bags(column: pa.Array, size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray,
 
 
 class Idf:
-    """Weights of runs: exact for the common ones, the same for all others."""
+    """Weights of runs where only the common ones are known: the same for all others. Not used by the operator."""
 
     def __init__(self, hashes: np.ndarray, share: np.ndarray):
         order = np.argsort(hashes)
@@ -164,35 +166,108 @@ def samples(row: np.ndarray, hashes: np.ndarray, weights: np.ndarray, rows: int,
     return out
 
 
-def sketches(docs: DataFrame, idf: Idf) -> DataFrame:
-    """doc, key, name (of the text) and bands; a text without words has no bands."""
-    sent = docs.sparkSession.sparkContext.broadcast(idf)
+def _planes(values: np.ndarray) -> bytes:
+    """64-bit numbers by bytes of equal place, which compress."""
+    return np.ascontiguousarray(values.view(np.uint8).reshape(-1, 8).T).tobytes()
 
-    def work(batch: pa.RecordBatch) -> dict:
-        idf = sent.value
-        row, hashes, counts = bags(batch.column("text"))
-        drawn = samples(row, hashes, counts * idf(hashes), batch.num_rows, idf.rare)
-        full = np.bincount(row, minlength=batch.num_rows) > 0
-        band = np.zeros((batch.num_rows, BANDS), np.uint64)
+
+def _numbers(planes: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(8, -1).T).view(np.uint64)[:, 0]
+
+
+def _held(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The different runs of a slice in order, their documents, and each given run's place among them."""
+    runs, place, n = np.unique(hashes >> np.uint64(8), return_inverse=True, return_counts=True)
+    return runs, n, place
+
+
+def document_counts(dealt: DataFrame, parts: int) -> DataFrame:
+    """slice, part and held: how many documents hold each run of a slice; ``dealt`` has slice, key and text."""
+    ship_package(dealt.sparkSession)
+
+    def ask(slice_: pa.Table) -> pa.Table:
+        _, hashes, _ = bags(slice_.column("text").combine_chunks())
+        runs, n, _ = _held(hashes)
+        part = ((runs >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(24)
+        cuts = np.append(np.flatnonzero(np.append(True, part[1:] != part[:-1])), len(runs)) if len(runs) else np.zeros(1, int)
+        own = [slice(i, j) for i, j in zip(cuts, cuts[1:])]
+        return pa.table({
+            "slice": pa.array([slice_.column("slice")[0].as_py()] * len(own), pa.int32()),
+            "part": pa.array(part[cuts[:-1]].astype(np.int32)),
+            "runs": pa.array([_planes(np.diff(runs[i], prepend=np.uint64(0))) for i in own], pa.binary()),
+            "held": pa.array([_planes(n[i].astype(np.uint64)) for i in own], pa.binary()),
+        })
+
+    def answer(part: pa.Table) -> pa.Table:
+        runs = [np.cumsum(_numbers(x), dtype=np.uint64) for x in part.column("runs").to_pylist()]
+        held = np.concatenate([_numbers(x) for x in part.column("held").to_pylist()]).astype(np.int64)
+        every = np.concatenate(runs)
+        order = np.argsort(every, kind="stable")
+        ranked = every[order]
+        first = np.flatnonzero(np.append(True, ranked[1:] != ranked[:-1]))
+        total = np.empty(len(every), np.uint64)
+        total[order] = np.repeat(np.add.reduceat(held[order], first), np.diff(np.append(first, len(every)))).astype(np.uint64)
+        cuts = np.cumsum([0, *map(len, runs)])
+        found = pa.array([_planes(total[i:j]) for i, j in zip(cuts, cuts[1:])], pa.binary())
+        return pa.table({"slice": part.column("slice"), "part": part.column("part"), "held": found})
+
+    asked = dealt.groupBy("slice").applyInArrow(ask, "slice int, part int, runs binary, held binary")
+    return asked.groupBy("part").applyInArrow(answer, "slice int, part int, held binary")
+
+
+def idf(held: np.ndarray, documents: int) -> np.ndarray:
+    """The weight of runs that so many documents hold; one counts as two."""
+    return 1 + np.log(documents / np.maximum(held, 2))
+
+
+def _weights(counts: np.ndarray, held: pa.Array | list, documents: int) -> np.ndarray:
+    """The weights of the bags of texts, from each bag's document counts in the order of the bag."""
+    texts = held.to_pylist() if isinstance(held, pa.Array) else held
+    return counts * idf(np.concatenate([np.zeros(0, np.uint64), *map(_numbers, texts)]), documents)
+
+
+def sketches(docs: DataFrame, documents: int, size: int) -> DataFrame:
+    """doc, key, name (of the text), bands and held; a text without words has no bands.
+
+    ``held`` are the document counts of the text's runs, in the order of ``bags``; the texts
+    are ``documents`` of ``size`` bytes together.
+    """
+    slices, parts = max(SLICES, math.ceil(size / SLICE_BYTES)), max(PARTS, math.ceil(size / PART_BYTES))
+    dealt = docs.withColumn("slice", F.pmod(F.xxhash64("key", F.lit(3)), F.lit(slices)).cast("int"))
+
+    def work(texts: pa.Table, counted: pa.Table) -> pa.Table:
+        rows = texts.num_rows
+        row, hashes, counts = bags(texts.column("text").combine_chunks())
+        _, _, place = _held(hashes)
+        answers = sorted(zip(counted.column("part").to_pylist(), counted.column("held").to_pylist()))
+        held = np.concatenate([np.zeros(0, np.uint64), *(_numbers(x) for _, x in answers)])[place]
+        drawn = samples(row, hashes, counts * idf(held, documents), rows, float(idf(np.ones(1), documents)[0]))
+        full = np.bincount(row, minlength=rows) > 0
+        band = np.zeros((rows, BANDS), np.uint64)
         for k in range(ROWS):
             band = mix(band + drawn.reshape(-1, BANDS, ROWS)[:, :, k].view(np.uint64))
         band = mix(band + np.arange(BANDS, dtype=np.uint64)[None, :])
         lists = pa.ListArray.from_arrays(
             pa.array(np.concatenate([[0], np.cumsum(full * BANDS)]), pa.int32()), pa.array(band[full].view(np.int64).reshape(-1)),
         )
-        return {"doc": batch.column("doc"), "key": batch.column("key"), "name": batch.column("name"), "bands": lists}
+        cuts = np.searchsorted(row, np.arange(rows + 1))
+        each = pa.array([_planes(held[i:j]) for i, j in zip(cuts, cuts[1:])], pa.binary())
+        own = {c: texts.column(c) for c in ("doc", "key", "name")}
+        return pa.table(own | {"bands": lists, "held": each})
 
-    return map_batches(docs, work, "doc long, key long, name string, bands array<long>")
+    both = dealt.groupBy("slice").cogroup(document_counts(dealt, parts).groupBy("slice"))
+    return both.applyInArrow(work, "doc long, key long, name string, bands array<long>, held binary")
 
 
-def verified(pairs: DataFrame, idf: Idf, similarity: float = SIMILARITY) -> DataFrame:
+def verified(pairs: DataFrame, documents: int, similarity: float = SIMILARITY) -> DataFrame:
     """The pairs a, b of texts whose weighted Jaccard similarity reaches ``similarity``."""
-    sent = pairs.sparkSession.sparkContext.broadcast(idf)
 
     def work(batch: pa.RecordBatch) -> dict:
-        idf, n = sent.value, batch.num_rows
-        sides = [bags(batch.column(c)) for c in ("text_a", "text_b")]
-        row, hashes, weight = (np.concatenate(x) for x in zip(*((r, h, c * idf(h)) for r, h, c in sides)))
+        n, sides = batch.num_rows, []
+        for side in "ab":
+            r, h, c = bags(batch.column(f"text_{side}"))
+            sides.append((r, h, _weights(c, batch.column(f"held_{side}"), documents)))
+        row, hashes, weight = (np.concatenate(x) for x in zip(*sides))
         order = np.lexsort((hashes, row))
         row, hashes, weight = row[order], hashes[order], weight[order]
         twice = np.flatnonzero((row[1:] == row[:-1]) & (hashes[1:] == hashes[:-1])) if len(row) else np.zeros(0, int)
@@ -201,17 +276,19 @@ def verified(pairs: DataFrame, idf: Idf, similarity: float = SIMILARITY) -> Data
         alike = (whole > 0) & (shared >= similarity * whole * (1 - 1e-12))
         return {"a": batch.column("a").filter(pa.array(alike)), "b": batch.column("b").filter(pa.array(alike))}
 
-    return map_batches(pairs.select("a", "b", "text_a", "text_b"), work, "a long, b long")
+    return map_batches(pairs.select("a", "b", "text_a", "held_a", "text_b", "held_b"), work, "a long, b long")
 
 
-def block_links(nodes: list[int], component: list[int], texts: list[str], first: int, idf: Idf, similarity: float) -> list[tuple[int, int]]:
+def block_links(
+    nodes: list[int], component: list[int], texts: list[str], held: list[bytes], first: int, documents: int, similarity: float,
+) -> list[tuple[int, int]]:
     """Links that unite the components of some texts; two texts at or after ``first`` are not compared.
 
     ``first`` is the number of texts for one block, or where the second block begins.
     """
     n = len(nodes)
     row, hashes, counts = bags(pa.array(texts, pa.large_string()))
-    weight = counts * idf(hashes)
+    weight = _weights(counts, held, documents)
     total = np.bincount(row, weight, n)
     _, column, times = np.unique(hashes, return_inverse=True, return_counts=True)
     shared = times[column] > 1
@@ -248,13 +325,12 @@ def block_links(nodes: list[int], component: list[int], texts: list[str], first:
     return out
 
 
-def linked_blocks(live: DataFrame, bodies: DataFrame, idf: Idf, similarity: float) -> DataFrame:
+def linked_blocks(live: DataFrame, bodies: DataFrame, documents: int, similarity: float) -> DataFrame:
     """a, b: links between components of a bucket; ``live`` has bucket, node and component."""
-    sent = live.sparkSession.sparkContext.broadcast(idf)
     members = live.join(bodies, "node")
     size = F.greatest(F.count("*") / BLOCK_ROWS, F.sum(F.octet_length("text")) / BLOCK_BYTES)
     blocks = members.groupBy("bucket").agg(F.ceil(size).cast("int").alias("blocks"))
-    member = F.struct("node", "component", "text")
+    member = F.struct("node", "component", "text", "held")
     placed = members.join(blocks, "bucket").withColumn("block", F.pmod(F.xxhash64("node", F.lit(7)), "blocks").cast("int"))
     packed = written(placed.groupBy("bucket", "block").agg(F.collect_list(member).alias("members")), live.sparkSession, "blocks")
     pairs = blocks.withColumn("a", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
@@ -269,16 +345,16 @@ def linked_blocks(live: DataFrame, bodies: DataFrame, idf: Idf, similarity: floa
         for a, b in zip(batch.column("members_a").to_pylist(), batch.column("members_b").to_pylist()):
             every = a + (b or [])
             column = lambda name: [m[name] for m in every]  # noqa: B023, E731
-            links += block_links(column("node"), column("component"), column("text"), len(a), sent.value, similarity)
+            links += block_links(column("node"), column("component"), column("text"), column("held"), len(a), documents, similarity)
         return {"a": [x for x, _ in links], "b": [x for _, x in links]}
 
     return map_batches(rows, work, "a long, b long")
 
 
-def near_links(texts: DataFrame, bodies_of, idf: Idf, similarity: float = SIMILARITY) -> DataFrame:
+def near_links(texts: DataFrame, bodies_of, documents: int, similarity: float = SIMILARITY) -> DataFrame:
     """node, component of the texts that are near another.
 
-    ``texts`` has node and bands; ``bodies_of`` gives node and text of some of its rows.
+    ``texts`` has node and bands; ``bodies_of`` gives node, text and held of some of its rows.
     """
     spark = texts.sparkSession
     buckets = texts.select("node", F.explode("bands").alias("bucket"))
@@ -293,13 +369,13 @@ def near_links(texts: DataFrame, bodies_of, idf: Idf, similarity: float = SIMILA
     hubs = likely.withColumn("place", place).where(F.col("place") <= HUBS).select("bucket", F.col("node").alias("hub"))
     met = buckets.join(hubs, "bucket").where("node <> hub")
     pairs = met.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
-    body = lambda s: bodies.select(F.col("node").alias(s), F.col("text").alias(f"text_{s}"))
-    links = written(verified(pairs.join(body("a"), "a").join(body("b"), "b"), idf, similarity), spark, "near")
+    body = lambda s: bodies.select(F.col("node").alias(s), F.col("text").alias(f"text_{s}"), F.col("held").alias(f"held_{s}"))
+    links = written(verified(pairs.join(body("a"), "a").join(body("b"), "b"), documents, similarity), spark, "near")
     united = components(links)
     live = buckets.join(united, "node", "left").select("bucket", "node", F.coalesce("component", "node").alias("component"))
     several = live.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
     live = written(live.join(several.select("bucket"), "bucket"), spark, "live")
-    return components(links.unionByName(linked_blocks(live, bodies, idf, similarity)))
+    return components(links.unionByName(linked_blocks(live, bodies, documents, similarity)))
 
 
 def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
@@ -311,17 +387,17 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
     spark = docs.sparkSession
     doc, text = F.col("doc_id").cast("long"), text_of()
     texts = docs.select(doc.alias("doc"), text.alias("text"), F.md5(text).alias("name"), key_of(docs).alias("key"))
-    idf = common_runs(texts.select("text"))
-    drawn = written(sketches(texts, idf), spark, "sketches")
+    documents, size = texts.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
+    drawn = written(sketches(texts, documents, size), spark, "sketches")
     best = F.min(F.struct(F.col("doc").isNull(), "doc", "key")).alias("best")
-    distinct = drawn.groupBy("name").agg(best, F.any_value("bands").alias("bands"))
-    distinct = distinct.select(F.xxhash64("name").alias("node"), "name", "best.doc", "best.key", "bands")
+    distinct = drawn.groupBy("name").agg(best, F.any_value("bands").alias("bands"), F.any_value("held").alias("held"))
+    distinct = distinct.select(F.xxhash64("name").alias("node"), "name", "best.doc", "best.key", "bands", "held")
     distinct = written(distinct, spark, "texts")
 
     def bodies_of(some: DataFrame) -> DataFrame:
-        return texts.select("key", "text").join(some.select("node", "key"), "key").select("node", "text").dropDuplicates(["node"])
+        return texts.select("key", "text").join(some.select("node", "key", "held"), "key").select("node", "text", "held").dropDuplicates(["node"])
 
-    united = near_links(distinct.select("node", "key", "bands"), bodies_of, idf, similarity)
+    united = near_links(distinct.select("node", "key", "bands", "held"), bodies_of, documents, similarity)
     placed = distinct.join(united, "node", "left").withColumn("component", F.coalesce("component", "node"))
     best = F.min(F.struct(F.col("doc").isNull(), "doc", "key")).alias("best")
     smallest = placed.groupBy("component").agg(best).select("component", "best.doc", "best.key")

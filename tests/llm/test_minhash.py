@@ -117,3 +117,30 @@ def test_common_runs_are_counted_exactly(spark):
 def test_empty_table(spark, tmp_path):
     save(documents(spark, []), tmp_path, "documents")
     assert registry.op7_minhash(spark, str(tmp_path)).collect() == []
+
+
+def test_rare_runs_weigh_by_their_documents(spark):
+    """A footer that fewer than 1 % of the documents share: alike by count, not by weight."""
+    rng = random.Random(11)
+    prose = lambda n: " ".join("".join(rng.choice("abcdefghij") for _ in range(6)) for _ in range(n))
+    footer = prose(104)
+    texts = [f"{prose(10)} {footer}" for _ in range(40)] + [prose(6) for _ in range(8000)]
+    texts += [(pair := prose(60)), pair + " " + prose(1)]
+    df = documents(spark, texts).repartition(5)
+    got = {r.doc: r.class_id for r in minhash.near_duplicates(df).collect()}
+    bags_ = [bag(t) for t in texts]
+    held = Counter(r for b in bags_ for r in b)
+    weight = lambda b: {r: c * (1 + log(len(texts) / max(2, held[r]))) for r, c in b.items()}
+    x, y = weight(bags_[0]), weight(bags_[1])
+    shared = sum(min(v, y[r]) for r, v in x.items() if r in y)
+    assert shared < 0.8 * (sum(x.values()) + sum(y.values()) - shared)
+    assert got == {i: i if i < len(texts) - 1 else i - 1 for i in range(len(texts))}
+
+
+def test_document_counts_of_all_runs(spark):
+    texts = ["one two three four five six"] * 30 + [f"w{i // 2} x{i} y z v u" for i in range(70)] + ODD_TEXTS
+    held = Counter(r for t in texts for r in bag(t))
+    df = documents(spark, texts).selectExpr("doc_id AS doc", "doc_id AS key", "coalesce(text, '') AS text", "'' AS name").repartition(3)
+    for r in minhash.sketches(df, len(texts), 40 << 20).collect():
+        own = sorted(held[run] for run in bag(texts[r.doc]))
+        assert sorted(minhash._numbers(r.held).tolist()) == own
