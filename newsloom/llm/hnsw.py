@@ -4,7 +4,8 @@ Vectors of one label (and length) are dealt by hash to shards of about ``SHARD``
 shard gets a hierarchical small-world graph, and the vectors of every shard of the
 label are searched in every graph of the label, in blocks of one shard against one graph. Beams
 are as wide as they must be: a query whose beam is full of links is searched again with
-a wider one, and in every block a sample of queries is compared with all vectors of the shard; the
+a wider one, and in every block a sample of queries is compared with all vectors of the shard. The sample
+grows until it has seen ``SEEN`` true links; where all queries have too few, all are compared. The
 block is searched again with wider beams until the sample's recall reaches ``RECALL``, at last
 over all vectors. Candidates are verified by their cosine in double precision.
 
@@ -32,6 +33,7 @@ SHARD = 2048
 DEGREE = 16
 BEAM = 32
 AUDITED = 64
+SEEN = 200  # true links, so that the sample tells a recall of RECALL
 RECALL = 0.99
 EXPANDED = 4
 QUERIES = 1024
@@ -186,10 +188,15 @@ def links_between(graph: Graph, own: np.ndarray, other: np.ndarray, similarity:
     queries = _unit(own)
     slack = similarity - 1e-4
     found: list[tuple[np.ndarray, np.ndarray]] = []
-    sample = np.argsort(mix(np.arange(len(queries), dtype=np.uint64) + np.uint64(len(other))))[:AUDITED]
-    truth = queries[sample] @ graph.unit.T >= slack
-    beam, recall = BEAM, 0.0
-    while True:
+    order = np.argsort(mix(np.arange(len(queries), dtype=np.uint64) + np.uint64(len(other))))
+    sample, truth = order[:0], np.zeros((0, len(other)), bool)
+    while len(sample) < len(queries) and truth.sum() < SEEN:
+        more = order[len(sample) : max(AUDITED, 2 * len(sample))]
+        sample, truth = np.append(sample, more), np.concatenate([truth, queries[more] @ graph.unit.T >= slack])
+    beam, recall = BEAM, 1.0
+    q, node = np.nonzero(truth)
+    q = sample[q]  # of all queries, if links are few
+    while len(sample) < len(queries):
         beam = min(beam, len(other))
         pending, found = np.arange(len(queries)), []
         width = beam
@@ -211,11 +218,11 @@ def links_between(graph: Graph, own: np.ndarray, other: np.ndarray, similarity:
         got = np.zeros((len(queries), len(other)), bool) if len(queries) * len(other) < 1 << 27 else None
         if got is not None:
             got[q, node] = True
-            recall = (got[sample] & truth).sum() / truth.sum() if truth.any() else 1.0
+            recall = (got[sample] & truth).sum() / truth.sum()
         else:
             pairs = set(zip(q.tolist(), node.tolist()))
             recall = sum((int(sample[i]), int(j)) in pairs for i, j in zip(*np.nonzero(truth))) / max(1, truth.sum())
-        if recall >= RECALL or beam * SCAN >= len(other) or not truth.any():
+        if recall >= RECALL or beam * SCAN >= len(other):
             break
         beam *= 2
     a, b = own[q].astype(np.float64), other[node].astype(np.float64)

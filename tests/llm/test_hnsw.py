@@ -86,3 +86,27 @@ def test_components(spark, task_edges):
 def test_empty_table(spark, tmp_path):
     save(spark.createDataFrame([], "vec_id long, embedding array<float>, label int"), tmp_path, "embeddings")
     assert run(spark, str(tmp_path)) == {}
+
+
+def test_sparse_pairs_over_graphs(spark):
+    rng = np.random.default_rng(8)
+    points = rng.normal(size=(4000, 64))
+    points[3800:] = points[:200] + 0.3 * rng.normal(size=(200, 64))
+    df = spark.createDataFrame([(i, v, 1) for i, v in enumerate(points.tolist())], "vec_id long, embedding array<double>, label int")
+    got = {r.vec_id: r.n_links for r in hnsw.linked_vectors(df, shard_size=1000).collect()}
+    unit = points / np.linalg.norm(points, axis=1, keepdims=True)
+    expected = (unit @ unit.T >= 0.93).sum(1) - 1
+    assert expected.sum() > 300
+    assert got == dict(enumerate(expected.tolist()))
+
+
+def test_links_that_the_graph_misses_are_found():
+    class Blind(hnsw.Graph):
+        def search(self, queries, beam):
+            return np.full((len(queries), beam), -1), np.full((len(queries), beam), -2.0, np.float32)
+
+    rng = np.random.default_rng(9)
+    other, own = rng.normal(size=(1000, 64)), rng.normal(size=(1000, 64))
+    own[::400] = other[::400] + 0.1
+    q, node, recall = hnsw.links_between(Blind(hnsw._unit(other), []), own, other, 0.93)
+    assert sorted(zip(q.tolist(), node.tolist())) == [(0, 0), (400, 400), (800, 800)] and recall == 1
