@@ -63,4 +63,37 @@ NEAR_VECTORS = """
     FROM vectors JOIN (SELECT a, min(b) AS smallest FROM reached GROUP BY a) r ON r.a = vec_id
     LEFT JOIN (SELECT a, count(*) AS n FROM links GROUP BY a) l ON l.a = vec_id"""
 
-ORACLE = {"op3_decontamination": DECONTAMINATION, "op6_sentence_spans": SENTENCE_SPANS, "op8_hnsw": NEAR_VECTORS}
+HOST_RULES = r"""
+    WITH texts AS (
+        SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t,
+               nullif(regexp_replace(regexp_replace(regexp_replace(lower(trim(source)), '^[a-z][a-z0-9+.-]*://', ''), '[/?#].*$', ''),
+                                     '^([^@]*@)?(www\.)?|:[0-9]+$', '', 'g'), '') AS host,
+               regexp_extract_all(coalesce(text, ''), '[^ 	-
+]+') AS w FROM documents),
+    places AS (SELECT r, unnest(range(1, len(w) - 3)) AS i,
+                      unnest([array_to_string(w[i:i + 4], ' ') FOR i IN range(1, len(w) - 3)]) AS g FROM texts WHERE len(w) >= 5),
+    windows AS (SELECT r, i, count(*) OVER (PARTITION BY r, g) AS times FROM places),
+    covered AS (SELECT r, count(DISTINCT p) AS n
+                FROM (SELECT r, unnest(range(i, i + 5)) AS p FROM windows WHERE times > 1) GROUP BY r),
+    counts AS (
+        SELECT r, doc_id, host, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
+               CAST(length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+               [x FOR x IN string_split(t, chr(10)) IF len(regexp_extract_all(x, '[^ 	-
+]+')) > 0] AS lines,
+               coalesce(n, 0) AS n_repeat_words
+        FROM texts LEFT JOIN covered USING (r)),
+    stats AS (SELECT *, CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
+                     n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM counts),
+    hosts AS (
+        SELECT host, count(*) AS n, sum(CAST(base_failed OR word_chars NOT BETWEEN 3 * n_words AND 10 * n_words
+                                             OR 10 * n_symbols > n_words OR 10 * n_dup_lines > 3 * len(lines) AS INT)) AS failed
+        FROM stats WHERE host IS NOT NULL GROUP BY host),
+    moments AS (SELECT avg(failed / n) AS m, var_pop(failed / n) AS v, avg(1 / n) AS e FROM hosts),
+    prior AS (SELECT m, CASE WHEN v > m * (1 - m) * e AND m * (1 - m) > v THEN (m * (1 - m) - v) / (v - m * (1 - m) * e) END AS k
+              FROM moments),
+    rejected AS (SELECT host FROM hosts, prior WHERE CASE WHEN k IS NULL THEN m ELSE (failed + m * k) / (n + k) END > 0.5)
+    SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+           NOT base_failed AND (host IS NULL OR host NOT IN (SELECT host FROM rejected)) AS kept
+    FROM stats"""
+
+ORACLE = {"op13_host_rules": HOST_RULES, "op3_decontamination": DECONTAMINATION, "op6_sentence_spans": SENTENCE_SPANS, "op8_hnsw": NEAR_VECTORS}

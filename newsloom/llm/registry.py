@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsloom.llm import bpe, decontamination, hnsw, id_files, minhash, quality_rules, sentence_spans, suffix_dedup, token_counts, toxicity
+from newsloom.llm import (
+    bpe, decontamination, hnsw, host_rules, id_files, minhash, quality_rules, sentence_spans, suffix_dedup, token_counts, toxicity,
+)
 from newsloom.llm.labelled import held_out
 from newsloom.llm.oracle import ORACLE as SQL
 from newsloom.session import work_folder
@@ -100,3 +102,8 @@ def op10_quality_rules(spark, folder):
     docs, held = table(spark, folder, "documents"), held_out(3, 1)
     model = quality_rules.train(docs, table(spark, folder, "labels"), held)
     return _scored(quality_rules.score(docs, model, ["doc_id"]), held, 0.5)
+
+
+@query
+def op13_host_rules(spark, folder):
+    return host_rules.host_report(table(spark, folder, "documents"))
