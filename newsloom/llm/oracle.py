@@ -96,4 +96,38 @@ HOST_RULES = r"""
            NOT base_failed AND (host IS NULL OR host NOT IN (SELECT host FROM rejected)) AS kept
     FROM stats"""
 
-ORACLE = {"op13_host_rules": HOST_RULES, "op3_decontamination": DECONTAMINATION, "op6_sentence_spans": SENTENCE_SPANS, "op8_hnsw": NEAR_VECTORS}
+# crc32 of the decimal digits of a whole number, bit by bit
+def _crc32(value: str) -> str:
+    bits = "CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END"
+    step = f"list_reduce(list_concat([xor(a, b)], [CAST(0 AS BIGINT) FOR i IN range(8)]), lambda x, zero: {bits})"
+    digits = f"[CAST(ord(c) AS BIGINT) FOR c IN string_split(CAST({value} AS VARCHAR), '')]"
+    return f"xor(list_reduce(list_concat([CAST(4294967295 AS BIGINT)], {digits}), lambda a, b: {step}), 4294967295)"
+
+
+PERIODIC_RUNS = rf"""
+    WITH given AS (SELECT doc_id, {_crc32("doc_id")} AS h,
+                          regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+    cut AS (SELECT *, len(w) AS n, (h // 10) % greatest(len(w), 1) AS a FROM given),
+    planted AS (SELECT *, 1 + (n - a) // (3 + (h // 10) % 8) AS p FROM cut),
+    words AS (SELECT doc_id, n, i, CASE WHEN h % 10 = 0 AND i >= a THEN w[1 + a + (i - a) % p] ELSE w[1 + i] END AS word
+              FROM (SELECT *, unnest(range(n)) AS i FROM planted)),
+    -- a text against itself: places i where the words i and i + q are the same
+    alike AS (SELECT x.doc_id, y.i - x.i AS q, x.i AS i FROM words x JOIN words y
+              ON x.doc_id = y.doc_id AND x.word = y.word AND y.i > x.i AND 3 * (y.i - x.i) <= x.n),
+    islands AS (SELECT doc_id, q, i, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS island FROM alike),
+    spans AS (SELECT doc_id, q, min(i) AS s, count(*) + q AS n FROM islands GROUP BY doc_id, q, island
+              HAVING count(*) + q >= greatest(24, 3 * q)),
+    runs AS (SELECT * FROM spans x WHERE NOT EXISTS (
+        SELECT 1 FROM spans y WHERE y.doc_id = x.doc_id AND y.q < x.q AND y.s <= x.s AND y.s + y.n >= x.s + x.n)),
+    best AS (SELECT * FROM runs x WHERE NOT EXISTS (
+        SELECT 1 FROM runs y WHERE y.doc_id = x.doc_id AND (y.n * x.q > x.n * y.q
+            OR y.n * x.q = x.n * y.q AND (y.s < x.s OR y.s = x.s AND y.q < x.q)))),
+    listed AS (SELECT doc_id, count(*) AS n, string_agg(s || ',' || n || ',' || q || chr(10), '' ORDER BY s, q) AS t FROM runs GROUP BY doc_id),
+    gone AS (SELECT DISTINCT doc_id, unnest(range(s + q, s + n)) AS i FROM runs),
+    kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS t FROM words ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id)
+    SELECT doc_id, coalesce(listed.n, 0) AS n_runs, best.s AS start, best.n AS length, best.q AS period,
+           1000 * best.n // best.q AS exponent_milli, sha256(coalesce(listed.t, '')) AS runs_sha256,
+           sha256(coalesce(kept.t, '')) AS collapsed_sha256
+    FROM documents LEFT JOIN best USING (doc_id) LEFT JOIN listed USING (doc_id) LEFT JOIN kept USING (doc_id)"""
+
+ORACLE = {"op12_periodic_runs": PERIODIC_RUNS, "op13_host_rules": HOST_RULES, "op3_decontamination": DECONTAMINATION, "op6_sentence_spans": SENTENCE_SPANS, "op8_hnsw": NEAR_VECTORS}

@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from newsloom.llm import (
-    bpe, decontamination, hnsw, host_rules, id_files, minhash, quality_rules, sentence_spans, suffix_dedup, token_counts, toxicity,
+    bpe, decontamination, hnsw, host_rules, id_files, minhash, periodic_runs, quality_rules, sentence_spans, suffix_dedup, token_counts,
+    toxicity,
 )
 from newsloom.llm.labelled import held_out
 from newsloom.llm.oracle import ORACLE as SQL
@@ -104,6 +105,11 @@ def op10_quality_rules(spark, folder):
     return _scored(quality_rules.score(docs, model, ["doc_id"]), held, 0.5)
 
 
+@query
+def op12_periodic_runs(spark, folder):
+    return periodic_runs.run_report(periodic_runs.with_planted_runs(table(spark, folder, "documents")))
+
+
 @query
 def op13_host_rules(spark, folder):
     return host_rules.host_report(table(spark, folder, "documents"))
