@@ -130,4 +130,28 @@ PERIODIC_RUNS = rf"""
            sha256(coalesce(kept.t, '')) AS collapsed_sha256
     FROM documents LEFT JOIN best USING (doc_id) LEFT JOIN listed USING (doc_id) LEFT JOIN kept USING (doc_id)"""
 
-ORACLE = {"op12_periodic_runs": PERIODIC_RUNS, "op13_host_rules": HOST_RULES, "op3_decontamination": DECONTAMINATION, "op6_sentence_spans": SENTENCE_SPANS, "op8_hnsw": NEAR_VECTORS}
+PREFIX_TRIE = f"""
+    WITH given AS (SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text,
+                          row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) AS i
+                   FROM conversations WHERE conv_id IS NOT NULL),
+    convs AS (SELECT c, count(*) AS n, {_crc32("c")} % 9 AS h, c - c % 5 AS base FROM given GROUP BY c),
+    begun AS (SELECT a.*, least(a.h, coalesce(b.n, 0)) AS taken FROM convs a LEFT JOIN convs b ON b.c = a.base),
+    turns AS (SELECT b.c, g.i, role, text FROM begun b JOIN given g ON g.c = b.base AND g.i <= b.taken
+              UNION ALL SELECT b.c, g.i - b.h + b.taken, role, text FROM begun b JOIN given g ON g.c = b.c AND g.i > b.h),
+    steps AS (SELECT c, i, strlen(text) AS bytes,
+                     md5(string_agg(md5(role || chr(1) || text), '') OVER (PARTITION BY c ORDER BY i)) AS k FROM turns
+              UNION ALL SELECT c, 0, 0, '' FROM convs),
+    linked AS (SELECT *, lag(k) OVER (PARTITION BY c ORDER BY i) AS parent, i = max(i) OVER (PARTITION BY c) AS ending FROM steps),
+    nodes AS (SELECT k, any_value(parent) AS parent, min(c) AS conv_id, any_value(i) AS depth, count(*) AS n,
+                     (count(*) - 1) * any_value(bytes) AS saved,
+                     sha256(coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (ending), '')) AS ends_sha256
+              FROM linked GROUP BY k),
+    children AS (SELECT parent AS k, count(*) AS n FROM nodes GROUP BY parent),
+    below AS (SELECT s.k, count(*) FILTER (children.n IS NULL) AS leaves, sum(w.saved) AS saved
+              FROM nodes w LEFT JOIN children ON children.k = w.k
+              JOIN steps s ON s.c = w.conv_id AND s.i <= w.depth GROUP BY s.k)
+    SELECT x.conv_id, CAST(x.depth AS BIGINT) AS depth, p.conv_id AS parent_conv_id, x.n AS n_convs, coalesce(children.n, 0) AS n_children,
+           below.leaves AS n_leaves, CAST(below.saved AS BIGINT) AS saved_tokens, x.ends_sha256
+    FROM nodes x LEFT JOIN nodes p ON p.k = x.parent LEFT JOIN children ON children.k = x.k JOIN below ON below.k = x.k"""
+
+ORACLE = {"op11_prefix_trie": PREFIX_TRIE, "op12_periodic_runs": PERIODIC_RUNS, "op13_host_rules": HOST_RULES, "op3_decontamination": DECONTAMINATION, "op6_sentence_spans": SENTENCE_SPANS, "op8_hnsw": NEAR_VECTORS}

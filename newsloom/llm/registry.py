@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from newsloom.llm import (
-    bpe, decontamination, hnsw, host_rules, id_files, minhash, periodic_runs, quality_rules, sentence_spans, suffix_dedup, token_counts,
+    bpe, decontamination, hnsw, host_rules, id_files, minhash, periodic_runs, prefix_trie, quality_rules, sentence_spans, suffix_dedup, token_counts,
     toxicity,
 )
 from newsloom.llm.labelled import held_out
@@ -105,6 +105,11 @@ def op10_quality_rules(spark, folder):
     return _scored(quality_rules.score(docs, model, ["doc_id"]), held, 0.5)
 
 
+@query
+def op11_prefix_trie(spark, folder):
+    return prefix_trie.trie_report(table(spark, folder, "conversations"))
+
+
 @query
 def op12_periodic_runs(spark, folder):
     return periodic_runs.run_report(periodic_runs.with_planted_runs(table(spark, folder, "documents")))
