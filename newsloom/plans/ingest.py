@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
-from datetime import datetime
+from datetime import datetime, timezone
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StructField, StructType
+from pyspark.sql.types import LongType, StructField, StructType
 
 from newsloom import schemas
 from newsloom.functions import text as T
@@ -16,12 +17,12 @@ from newsloom.functions.html import (
     absolute_link, article_html, has_plain_article, html_text, without_noise,
 )
 from newsloom.functions.python_udfs import find_body_html, sanitize_html
-from newsloom.operators import quality
-from newsloom.operators.dedup import KEY, own_key, with_key
+from newsloom.operators import history, quality
+from newsloom.operators.dedup import KEY, with_key
 from newsloom.operators.matching import attach_by_key
 from newsloom.operators.numbering import assign_ids
 from newsloom.session import ensure_checkpoint_dir
-from newsloom.sources.writers import table_or_empty
+from newsloom.sources.parts import FAN, Parts, Table
 
 MIN_BODY = 50
 # Fixed value: the message of a feed without items.
@@ -101,31 +102,64 @@ def with_crawled_body(items: DataFrame, crawled: DataFrame, item_id: str = "item
     ])
 
 
-def accept_items(items: DataFrame, stored: DataFrame) -> DataFrame:
-    """Ids of the items to store, with their feed.
+def narrow_items(items: DataFrame, feeds: DataFrame, compat: bool = False) -> DataFrame:
+    """item_id, feed_source_id, category_id, ``valid`` and the digests of its three keys, for the items of active feeds.
 
-    First of each (feed, day, title), then of each link, then of each guid, where
-    what ``stored`` has comes before any item. Each level is one hash aggregation of numbers
-    over the key columns, so copies of one article collapse map-side; the other
-    columns join back on the unique id.
+    All that accepting and counting need, so that the texts are parsed once for both.
     """
-    keys = with_key(items, "published_date").select("item_id", "feed_source_id", *KEY, "link", "guid")
-    known = with_key(stored, "published_date").select(*KEY, "link", "guid")
-    left = _first_unclaimed(keys, known, KEY)
-    for name in ("link", "guid"):
-        rows = left.withColumn("_own", own_key(name, "item_id"))
-        claimed = known.where(F.col(name).isNotNull()).select(F.concat(F.lit("="), name).alias("_own"))
-        left = _first_unclaimed(rows, claimed, ["_own"])
-    return left.select("item_id", "feed_source_id")
-
-
-def _first_unclaimed(rows: DataFrame, claimed: DataFrame, keys: list[str]) -> DataFrame:
-    """The row with the lowest ``item_id`` of each key that ``claimed`` does not have."""
-    both = rows.select(*keys, "item_id", F.lit(0).alias("_claimed")).unionByName(
-        claimed.select(*keys, F.lit(1).alias("_claimed")), allowMissingColumns=True
+    active = active_feeds(feeds).select(F.col("id").alias("feed_source_id"), "category_id")
+    parsed = with_key(parse_items(items).join(active, "feed_source_id"), "published_date")
+    return parsed.select(
+        "item_id", "feed_source_id", "category_id", quality.reject_reason(compat).isNull().alias("valid"), *_digests(),
     )
-    lowest = both.groupBy(*keys).agg(F.min("item_id").alias("item_id"), F.max("_claimed").alias("_claimed"))
-    return rows.join(lowest.where("_claimed = 0 and item_id is not null").select("item_id"), "item_id", "left_semi")
+
+
+def _digests() -> list[Column]:
+    """The digests of the title key, the link and the guid; rows come from ``with_key``."""
+    return [
+        history.digest("title", *map(F.col, KEY)).alias("title_key"), history.digest("link", F.col("link")).alias("link_key"),
+        history.digest("guid", F.col("guid")).alias("guid_key"),
+    ]
+
+
+ITEM_KEYS = ["title_key", "link_key", "guid_key"]
+
+
+def all_digests(rows: DataFrame) -> DataFrame:
+    """The three digests of each row as rows, without nulls and copies."""
+    every = rows.select(F.explode(F.array(*ITEM_KEYS)).alias("digest"))
+    return every.where("digest is not null").distinct()
+
+
+def stored_digests(stored: DataFrame) -> DataFrame:
+    return all_digests(with_key(stored, "published_date").select(*_digests()))
+
+
+def decide(narrow: DataFrame, known: DataFrame) -> DataFrame:
+    """item_id, feed_source_id and ``outcome``: dropped, duplicate or saved.
+
+    Saved is the first of each (feed, day, title), then of each link, then of each guid, where a key whose
+    digest is in ``known`` counts as taken. Each level is one hash aggregation of digests and ids, so copies of one
+    article collapse map-side. A missing link or guid stands for itself.
+    """
+    left = narrow.where("valid").select("item_id", *ITEM_KEYS)
+    for name in ITEM_KEYS:
+        own = F.coalesce(name, F.col("item_id").cast("string").cast("binary"))
+        firsts = left.groupBy(own.alias("digest")).agg(F.min("item_id").alias("item_id"))
+        free = firsts.join(known, "digest", "left_anti").select("item_id")
+        left = left.join(free, "item_id", "left_semi")
+    saved = left.select("item_id", F.lit(True).alias("_saved"))
+    outcome = F.when(~F.col("valid"), "dropped").when(F.col("_saved"), "saved").otherwise("duplicate")
+    return narrow.join(saved, "item_id", "left").select("item_id", "feed_source_id", outcome.alias("outcome"))
+
+
+OUTCOMES = ("saved", "duplicate", "dropped")
+
+
+def cycle_stats(decided: DataFrame) -> DataFrame:
+    """Counts of each outcome by feed and over all (``feed_source_id`` null), in one pass."""
+    counts = [F.count_if(F.col("outcome") == name).alias(name) for name in OUTCOMES]
+    return decided.rollup("feed_source_id").agg(*counts, F.grouping("feed_source_id").alias("whole"))
 
 
 @dataclass
@@ -133,89 +167,116 @@ class Cycle:
     articles: DataFrame
     log: DataFrame
     feeds: DataFrame
+    narrow: DataFrame
+    decided: DataFrame
+    metrics: dict
+
+
+def checked_items(
+    items: DataFrame, feeds: DataFrame, known: Callable[[DataFrame], DataFrame], compat: bool = False,
+) -> tuple[DataFrame, DataFrame, dict]:
+    """The narrow items, what becomes of each, and the totals of all outcomes.
+
+    All are checkpointed, the known digests too: articles, log and index must agree on them, and none then
+    repeats the parsing or the joins. The totals are observed while the outcomes are stored.
+    """
+    ensure_checkpoint_dir(items.sparkSession)
+    narrow, seen = narrow_items(items, feeds, compat).checkpoint(), Observation("cycle")
+    decided = decide(narrow, known(narrow).checkpoint())
+    decided = decided.observe(seen, *[F.count_if(F.col("outcome") == name).alias(name) for name in OUTCOMES]).checkpoint()
+    return narrow, decided, seen.get
 
 
 def ingest_cycle(
-    items: DataFrame, feeds: DataFrame, stored: DataFrame, crawled: DataFrame, now: datetime,
-    *, compat: bool = False,
+    items: DataFrame, feeds: DataFrame, stored: DataFrame | None, crawled: DataFrame, now: datetime,
+    *, compat: bool = False, known: Callable[[DataFrame], DataFrame] | None = None, last: int | None = None,
 ) -> Cycle:
     """New articles with ids, the log and the updated feeds of one cycle.
 
-    The accepted ids are checkpointed: articles and log must agree on them, and
-    neither then repeats the joins. Numbers are given to the ids alone, so no text is sorted.
+    What is stored comes as a table, or as ``known``, which gives those digests of the narrow items that are
+    stored, and the ``last`` id. Numbers are given to the ids alone, so no text is sorted.
     """
-    ensure_checkpoint_dir(items.sparkSession)
-    fetched = fetched_items(items, feeds, compat)
-    accepted = accept_items(fetched, stored).checkpoint()
-    numbers = assign_ids(accepted.select("item_id"), ["item_id"], start=stored.agg(F.max("id")))
-    articles = to_articles(fetched.join(numbers, "item_id"))
+    narrow, decided, metrics = checked_items(items, feeds, known or (lambda _: stored_digests(stored)), compat)
+    accepted = decided.where("outcome = 'saved'").select("item_id")
+    start = stored.agg(F.max("id")) if last is None else last
+    numbers = assign_ids(accepted, ["item_id"], start=start)
+    category = narrow.select("item_id", "category_id")
+    articles = to_articles(parse_items(items).join(numbers.join(category, "item_id"), "item_id"))
     articles = quality.apply_defaults(with_crawled_body(articles, crawled), now).drop("item_id")
-    log = ingestion_log(fetched, accepted, feeds, now)
-    return Cycle(articles, log, update_last_fetched(feeds, log, now))
-
+    log = ingestion_log(cycle_stats(decided), feeds, now)
+    return Cycle(articles, log, update_last_fetched(feeds, log, now), narrow, decided, metrics)
 
-def commit_cycle(cycle: Cycle, base: str, cycle_id: int, started: datetime) -> None:
-    """Store a cycle's articles and log, then its feeds, as ``cycle_id=N`` under ``base``.
 
-    Each table overwrites its own folder, so a cycle that is run again replaces itself,
-    and nothing else. The feeds come last: a cycle without feeds is not committed. Log
-    ids hold the cycle and the feed, so they are the same in every run.
-    """
-    start = F.lit(started.isoformat(sep=" ")).cast("timestamp_ntz")
-    log = cycle.log.withColumns({
-        "id": F.shiftleft(F.lit(cycle_id).cast("long"), 32) + F.col("feed_source_id"),
-        "started_at": start, "execution_time_ms": elapsed_ms(start, F.col("completed_at")),
-    })
-    fit = lambda rows, schema: rows.select(*[F.col(f.name).cast(f.dataType) for f in schema])
-    for name, rows in (("articles", fit(cycle.articles, schemas.ARTICLE)), ("logs", fit(log, schemas.INGESTION_LOG)), ("feeds", cycle.feeds)):
-        rows.write.mode("overwrite").parquet(f"{base}/{name}/cycle_id={cycle_id}")
+def store_of(spark: SparkSession, base: str, feeds: DataFrame, fan: int = FAN) -> Parts:
+    """The tables of a store: articles, logs, feeds as they are, and the index of stored keys."""
+    cycle = StructField("cycle_id", LongType())
+    return Parts(spark, base, history.TABLES | {
+        "articles": Table(schemas.ARTICLE), "logs": Table(StructType([*schemas.INGESTION_LOG.fields, cycle])),
+        "feeds": Table(feeds.schema, replaced=True),
+    }, fan)
 
 
-def stored_articles(spark: SparkSession, base: str, before: int) -> DataFrame:
-    """Articles of the cycles before ``before``."""
-    schema = StructType([*schemas.ARTICLE.fields, StructField("cycle_id", IntegerType())])
-    return table_or_empty(spark, f"{base}/articles", schema).where(F.col("cycle_id") < before).drop("cycle_id")
+def utc_now() -> datetime:
+    return datetime.now(timezone.utc).replace(tzinfo=None)
 
 
-def latest_feeds(spark: SparkSession, base: str, before: int, seed: DataFrame) -> DataFrame:
-    """The feeds as the last cycle before ``before`` left them, else ``seed``."""
-    schema = StructType([*seed.schema.fields, StructField("cycle_id", IntegerType())])
-    known = table_or_empty(spark, f"{base}/feeds", schema).where(F.col("cycle_id") < before)
-    last = known.agg(F.max("cycle_id")).first()[0]
-    return seed if last is None else known.where(F.col("cycle_id") == last).drop("cycle_id")
+def store_cycle(
+    store: Parts, items: DataFrame, feeds: DataFrame, crawled: DataFrame, run: str, cycle_id: int,
+    *, clock: Callable[[], datetime] = utc_now, compat: bool = False,
+) -> dict:
+    """Run a cycle against all that is stored and commit it; gives the totals of its outcomes.
 
+    Articles, log, feeds and index are written one after the other and become visible together. A cycle that
+    was committed before is not run again. ``feeds`` count until a cycle has stored them. Only buckets of
+    the index are read that hold a key of the items. Log ids hold the number of the commit and the feed.
+    """
+    started, version = clock(), store.version()
+    if store.done(run, cycle_id, version):
+        return {}
+    if any(p.table == "feeds" for p in version.parts):
+        feeds = store.read("feeds", version)
+    known = lambda narrow: history.known_digests(all_digests(narrow.where("valid")), store, version)
+    cycle = ingest_cycle(items, feeds, None, crawled, started, compat=compat, known=known, last=version.last)
+    name = f"{run}-{cycle_id}"
+    parts = [store.write("articles", cycle.articles, name)]
+    saved = cycle.narrow.join(cycle.decided.where("outcome = 'saved'").select("item_id"), "item_id", "left_semi")
+    parts += [store.write(table, rows, name) for table, rows in history.index_tables(all_digests(saved)).items()]
+    completed, number = clock(), version.number + 1
+    log = ingestion_log(cycle_stats(cycle.decided), feeds, completed, started).withColumns({
+        "id": F.shiftleft(F.lit(number).cast("long"), 32) + F.col("feed_source_id"), "cycle_id": F.lit(cycle_id),
+    })
+    parts += [store.write("logs", log, name), store.write("feeds", cycle.feeds, name)]
+    store.publish(run, cycle_id, parts, last=version.last + cycle.metrics["saved"])
+    return cycle.metrics
 
-def fetched_items(items: DataFrame, feeds: DataFrame, compat: bool = False) -> DataFrame:
-    """Valid items of the active feeds."""
-    active = active_feeds(feeds).select(F.col("id").alias("feed_source_id"), "category_id")
-    return quality.valid_items(parse_items(items), compat).join(active, "feed_source_id")
 
+def ingestion_log(stats: DataFrame, feeds: DataFrame, completed: datetime, started: datetime | None = None) -> DataFrame:
+    """One row per active feed, from ``cycle_stats``; a feed without items is failed and took no time.
 
-def ingestion_log(fetched: DataFrame, accepted: DataFrame, feeds: DataFrame, now: datetime) -> DataFrame:
-    """One row per active feed; a feed without items is failed."""
-    got = fetched.groupBy("feed_source_id").agg(F.count("*").alias("got"))
-    kept = accepted.groupBy("feed_source_id").agg(F.count("*").alias("kept"))
-    stamp = F.lit(now.isoformat(sep=" ")).cast("timestamp_ntz")
+    ``dropped`` are items without title, link or date, which count as neither fetched nor duplicate.
+    """
+    stamp = lambda at: F.lit(at.isoformat(sep=" ")).cast("timestamp_ntz")
     count = lambda name: F.coalesce(F.col(name), F.lit(0)).cast("long")
-    return (
-        active_feeds(feeds).select(F.col("id").alias("feed_source_id"))
-        .join(got, "feed_source_id", "left").join(kept, "feed_source_id", "left")
-        .select(
-            "feed_source_id",
-            F.when(count("got") > 0, "success").otherwise("failed").alias("status"),
-            count("got").alias("articles_fetched"), count("kept").alias("articles_saved"),
-            (count("got") - count("kept")).alias("duplicates_found"),
-            F.when(count("got") == 0, EMPTY_FEED).alias("error_message"),
-            stamp.alias("completed_at"),
-        )
+    got = count("saved") + count("duplicate")
+    rows = active_feeds(feeds).select(F.col("id").alias("feed_source_id")).join(stats.where("whole = 0"), "feed_source_id", "left")
+    log = rows.select(
+        "feed_source_id", F.when(got > 0, "success").otherwise("failed").alias("status"),
+        got.alias("articles_fetched"), count("saved").alias("articles_saved"), count("duplicate").alias("duplicates_found"),
+        count("dropped").alias("dropped"), F.when(got == 0, EMPTY_FEED).alias("error_message"), stamp(completed).alias("completed_at"),
+    )
+    if started is None:
+        return log
+    took = F.when(F.col("status") == "success", elapsed_ms(stamp(started), F.col("completed_at"))).otherwise(0)
+    return log.withColumns({"started_at": stamp(started), "execution_time_ms": took.cast("long")})
+
+
+def cycle_totals(stats: DataFrame) -> DataFrame:
+    """The totals of a cycle: the row over all feeds of ``cycle_stats``."""
+    total = lambda *names: sum(F.coalesce(F.col(n), F.lit(0)) for n in names).cast("long")
+    return stats.where("whole = 1").select(
+        total("saved", "duplicate").alias("total_fetched"), total("saved").alias("total_saved"),
+        total("duplicate").alias("total_found"), total("dropped").alias("total_dropped"),
     )
-
-
-def cycle_totals(log: DataFrame) -> DataFrame:
-    return log.agg(*[
-        F.sum(name).alias(f"total_{name.split('_')[1]}")
-        for name in ("articles_fetched", "articles_saved", "duplicates_found")
-    ])
 
 
 def update_last_fetched(feeds: DataFrame, log: DataFrame, now: datetime) -> DataFrame:

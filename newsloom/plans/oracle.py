@@ -161,12 +161,13 @@ def _cycle(stored: str) -> str:
     log AS (SELECT f.id AS feed_source_id,
                    CASE WHEN coalesce(g.n, 0) > 0 THEN 'success' ELSE 'failed' END AS status,
                    coalesce(g.n, 0) AS articles_fetched, coalesce(a.n, 0) AS articles_saved,
-                   coalesce(g.n, 0) - coalesce(a.n, 0) AS duplicates_found,
+                   coalesce(g.n, 0) - coalesce(a.n, 0) AS duplicates_found, coalesce(x.n, 0) AS dropped,
                    CASE WHEN coalesce(g.n, 0) = 0 THEN 'Failed to fetch feed' END AS error_message,
                    {NOW} AS completed_at
             FROM feeds f
             LEFT JOIN (SELECT feed_source_id, count(*) AS n FROM fetched GROUP BY 1) g ON g.feed_source_id = f.id
             LEFT JOIN (SELECT feed_source_id, count(*) AS n FROM accepted GROUP BY 1) a ON a.feed_source_id = f.id
+            LEFT JOIN (SELECT feed_source_id, count(*) AS n FROM parsed WHERE NOT ({VALID}) GROUP BY 1) x ON x.feed_source_id = f.id
             WHERE f.is_active)"""
 
 
@@ -186,6 +187,25 @@ CYCLE = _cycle(f"SELECT * FROM parsed WHERE {VALID} AND item_id IN (SELECT doc_i
 FIRST_CYCLE = _cycle("SELECT * FROM parsed WHERE false")
 
 
+def _first_of_two(table: str) -> str:
+    """A table of the cycle over the labelled items alone."""
+    return f"""(WITH parsed AS (SELECT * FROM labelled),
+        {_cycle("SELECT * FROM labelled WHERE false")[5:]} SELECT * FROM {table})"""
+
+
+TWO_CYCLES = f"""
+    WITH labelled AS (SELECT * FROM parsed WHERE item_id IN (SELECT doc_id FROM labels)),
+    one AS {_first_of_two("accepted")}, one_log AS {_first_of_two("log")},
+    {_cycle("SELECT * FROM one")[5:]},
+    saved AS (SELECT feed_source_id, count(*) AS n_stored, max(id) AS last_id FROM (
+        SELECT feed_source_id, row_number() OVER (ORDER BY item_id) AS id FROM one
+        UNION ALL SELECT feed_source_id, (SELECT count(*) FROM one) + row_number() OVER (ORDER BY item_id) FROM accepted)
+        GROUP BY 1)
+    SELECT CAST(cycle_id AS BIGINT) AS cycle_id, feed_source_id, articles_fetched, articles_saved, duplicates_found, dropped,
+           n_stored, last_id
+    FROM (SELECT 0 AS cycle_id, * FROM one_log UNION ALL SELECT 1, * FROM log) LEFT JOIN saved USING (feed_source_id)"""
+
+
 def _logs(body: str) -> str:
     return with_views(body, "logs")
 
@@ -403,11 +423,12 @@ ORACLE: dict[str, str] = {
         SELECT item_id, r.link, coalesce(body, content_html) AS content_html
         FROM records r LEFT JOIN crawled c ON c.link = r.link""", "parsed"),
     "ingest_articles": _cycled(_stored_by("(SELECT max(item_id) FROM stored)")),
+    "ingest_over_history": with_views(TWO_CYCLES, "parsed", "feeds"),
     "ingestion_log": _cycled("SELECT * FROM log"),
     "ingestion_totals": _cycled("""
         SELECT CAST(sum(articles_fetched) AS BIGINT) AS total_fetched,
                CAST(sum(articles_saved) AS BIGINT) AS total_saved,
-               CAST(sum(duplicates_found) AS BIGINT) AS total_found FROM log"""),
+               CAST(sum(duplicates_found) AS BIGINT) AS total_found, CAST(sum(dropped) AS BIGINT) AS total_dropped FROM log"""),
     "feed_status": _cycled("SELECT feed_source_id, status FROM log"),
     "feed_last_fetched": _cycled(f"""
         SELECT f.* REPLACE (CASE WHEN l.status = 'success' THEN {NOW} ELSE f.last_fetched_at END AS last_fetched_at)

@@ -64,15 +64,14 @@ def _crawled(spark, folder) -> DataFrame:
     return bodies.select("page_id", F.col("main_html").alias("content")).join(links, "page_id").select("url", "content")
 
 
-def _cycle_inputs(spark, folder):
-    feeds, stored = V.feeds(spark, folder), _stored_items(spark, folder)
-    fetched = ingest.fetched_items(V.items_of(V.texts(spark, folder)), feeds)
-    return feeds, fetched, ingest.accept_items(fetched, stored)
+def _stats(spark, folder) -> DataFrame:
+    """The counts of a cycle after the stored items; the items are parsed once."""
+    known = lambda _: ingest.stored_digests(_stored_items(spark, folder))
+    return ingest.cycle_stats(ingest.checked_items(V.items_of(V.texts(spark, folder)), V.feeds(spark, folder), known)[1])
 
 
 def _log(spark, folder) -> DataFrame:
-    feeds, fetched, accepted = _cycle_inputs(spark, folder)
-    return ingest.ingestion_log(fetched, accepted, feeds, NOW)
+    return ingest.ingestion_log(_stats(spark, folder), V.feeds(spark, folder), NOW)
 
 
 # Keyword counting
@@ -429,6 +428,19 @@ def ingest_articles(spark, folder):
     return cycle.articles
 
 
+@query
+def ingest_over_history(spark, folder):
+    """Two committed cycles: the labelled items first, then all of them against the index of the first."""
+    feeds, base = V.feeds(spark, folder), work_folder(spark, "history")
+    store, nothing = ingest.store_of(spark, base, feeds), spark.createDataFrame([], "url string, content string")
+    items = V.items_of(V.texts(spark, folder))
+    for cycle_id, rows in enumerate((V.is_stored(items, spark, folder, "item_id"), items)):
+        ingest.store_cycle(store, rows, feeds, nothing, "given", cycle_id, clock=lambda: NOW)
+    logs = store.read("logs").select("cycle_id", "feed_source_id", *[f"{n}" for n in ("articles_fetched", "articles_saved", "duplicates_found", "dropped")])
+    saved = store.read("articles").groupBy("feed_source_id").agg(F.count("*").alias("n_stored"), F.max("id").alias("last_id"))
+    return logs.join(saved, "feed_source_id", "left")
+
+
 @query
 def ingestion_log(spark, folder):
     return _log(spark, folder)
@@ -436,7 +448,7 @@ def ingestion_log(spark, folder):
 
 @query
 def ingestion_totals(spark, folder):
-    return ingest.cycle_totals(_log(spark, folder))
+    return ingest.cycle_totals(_stats(spark, folder))
 
 
 @query

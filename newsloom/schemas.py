@@ -46,7 +46,7 @@ INGESTION_LOG = T.StructType([
     T.StructField("id", T.LongType()), T.StructField("feed_source_id", T.IntegerType()),
     *_strings("status"),
     T.StructField("articles_fetched", T.LongType()), T.StructField("articles_saved", T.LongType()),
-    T.StructField("duplicates_found", T.LongType()), *_strings("error_message"),
+    T.StructField("duplicates_found", T.LongType()), T.StructField("dropped", T.LongType()), *_strings("error_message"),
     T.StructField("execution_time_ms", T.LongType()),
     T.StructField("started_at", T.TimestampNTZType()), T.StructField("completed_at", T.TimestampNTZType()),
 ])

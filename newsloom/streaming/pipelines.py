@@ -1,7 +1,8 @@
 """Incremental runs over files that keep arriving.
 
-Every sink writes under ``batch_id=N`` and overwrites that folder, so a batch
-that is run again after a failure replaces itself.
+Every batch commits what it made as one version of a ``Parts`` store, under the id of its stream's checkpoint and
+its number. A batch that is run again after a failure replaces what it left, one that was committed is
+skipped, and a stream that starts again without its checkpoint adds to what is there.
 """
 
 from __future__ import annotations
@@ -11,13 +12,15 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
+from newsloom import schemas
 from newsloom.operators import keywords
 from newsloom.operators.dedup import KEY, with_key
 from newsloom.plans import ingest
 from newsloom.plans import views as V
-from newsloom.session import work_folder
-from newsloom.sources.writers import table_or_empty
+from newsloom.session import ensure_checkpoint_dir, work_folder
+from newsloom.sources.parts import FAN, Parts, Table, run_name
 
 
 def file_stream(spark: SparkSession, path: str, schema, fmt: str = "parquet", **options: str) -> DataFrame:
@@ -36,40 +39,53 @@ def run_batches(
     )
 
 
-def batch_writer(transform: Callable[[DataFrame], DataFrame], out: str) -> Callable[[DataFrame, int], None]:
+def batch_writer(transform: Callable[[DataFrame], DataFrame], store: Parts, table: str, run: str) -> Callable[[DataFrame, int], None]:
+    """Commit ``transform`` of each batch as a part of ``table``. ``run`` is the stream's checkpoint, or a name."""
     def handle(batch: DataFrame, batch_id: int) -> None:
-        transform(batch).write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+        name, version = run_of(store.spark, run), store.version()
+        if not store.done(name, batch_id, version):
+            store.publish(name, batch_id, [store.write(table, transform(batch), f"{name}-{batch_id}")])
 
     return handle
 
 
+def run_of(spark: SparkSession, run: str) -> str:
+    """The id in a checkpoint folder; a name that is no path stands for itself."""
+    return run_name(spark, run) if "/" in run else run
+
+
+def counts_store(spark: SparkSession, out: str, fan: int = FAN) -> Parts:
+    """Partial keyword counts; merges sum them up."""
+    return Parts(spark, out, {"parts": Table(schemas.TRENDING, merge=merge_counts)}, fan)
+
+
+def dedup_store(spark: SparkSession, out: str, articles: StructType, fan: int = FAN) -> Parts:
+    """The accepted articles with their batch, and their keys by day."""
+    keys = StructType.fromDDL("_feed string, _title string, _day string")
+    return Parts(spark, out, {
+        "articles": Table(StructType([*articles.fields, StructField("batch_id", LongType())])), "keys": Table(keys, ("_day",)),
+    }, fan)
+
+
 def dedup_writer(
-    out: str, row_id: str = "article_id", published: str = "published_at", run: str = "first",
+    store: Parts, run: str, row_id: str = "article_id", published: str = "published_at",
 ) -> Callable[[DataFrame, int], None]:
-    """Keep the first article of every key, within the batch and against all earlier batches.
+    """Keep the first article of every key, within the batch and against all earlier batches of any run.
 
-    Exact, without a horizon. Accepted keys are stored by day, so a batch reads
-    the stored keys of its own days only. A stream that starts again without its checkpoint
-    counts its batches from 0; with another name in ``run`` it replaces nothing and
-    still sees the keys of the runs before.
+    Exact, without a horizon. Accepted keys are stored by day, so a batch reads the stored keys of its
+    own days only.
     """
     def handle(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        keyed = with_key(batch, published)
-        firsts = keyed.groupBy(*KEY).agg(F.min(row_id).alias(row_id))
-        schema = firsts.withColumn("run", F.lit(run)).withColumn("batch_id", F.lit(0).cast("int")).schema
-        own = F.col("run") == run
-        seen = table_or_empty(spark, f"{out}/keys", schema).where(~own | (F.col("batch_id") < batch_id))
+        name, version = run_of(store.spark, run), store.version()
+        if store.done(name, batch_id, version):
+            return
+        firsts = with_key(batch, published).groupBy(*KEY).agg(F.min(row_id).alias(row_id))
         # the days of the batch choose the stored partitions that are read
-        seen = seen.join(firsts.select("_day").distinct(), "_day", "left_semi")
-        fresh = firsts.join(seen.select(*KEY), KEY, "left_anti").withColumns({"run": F.lit(run), "batch_id": F.lit(batch_id)})
-        (
-            fresh.hint("rebalance", "_day").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-            .partitionBy("_day", "run", "batch_id").parquet(f"{out}/keys")
-        )
-        stored = spark.read.schema(schema).parquet(f"{out}/keys").where(own & (F.col("batch_id") == batch_id))
-        accepted = batch.join(stored.select(row_id), row_id, "left_semi")
-        accepted.write.mode("overwrite").parquet(f"{out}/articles/run={run}/batch_id={batch_id}")
+        seen = store.read("keys", version).join(firsts.select("_day").distinct(), "_day", "left_semi")
+        fresh = firsts.join(seen.select(*KEY), KEY, "left_anti").checkpoint()
+        accepted = batch.join(fresh.select(row_id), row_id, "left_semi").withColumn("batch_id", F.lit(batch_id))
+        part = f"{name}-{batch_id}"
+        store.publish(name, batch_id, [store.write("articles", accepted, part), store.write("keys", fresh, part)])
 
     return handle
 
@@ -106,6 +122,11 @@ def _documents(spark: SparkSession, folder: str) -> DataFrame:
     return file_stream(spark, folder, schema, pathGlobFilter="documents.parquet")
 
 
+def _articles(batch: DataFrame) -> DataFrame:
+    """The articles of a batch; the given table is one file, so its rows are dealt out first."""
+    return V.articles_of(batch.repartition("doc_id"))
+
+
 def _run(rows: DataFrame, handle: Callable[[DataFrame, int], None], out: str) -> None:
     query = run_batches(rows, handle, f"{out}/checkpoint")
     query.awaitTermination()
@@ -113,54 +134,60 @@ def _run(rows: DataFrame, handle: Callable[[DataFrame, int], None], out: str) ->
 
 def run_ingest(spark: SparkSession, folder: str) -> DataFrame:
     """Parsed items of the documents as they arrive."""
-    out = work_folder(spark, "ingest")
-    handle = batch_writer(lambda batch: ingest.parse_items(V.items_of(V.articles_of(batch))), f"{out}/items")
-    _run(_documents(spark, folder), handle, out)
-    return spark.read.parquet(f"{out}/items").drop("batch_id")
+    out, parse = work_folder(spark, "ingest"), lambda batch: ingest.parse_items(V.items_of(_articles(batch)))
+    store = Parts(spark, out, {"items": Table(ingest.parse_items(V.items(spark, folder)).schema)})
+    _run(_documents(spark, folder), batch_writer(parse, store, "items", f"{out}/checkpoint"), out)
+    return store.read("items")
 
 
 def run_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """First article of every key, over all batches."""
+    ensure_checkpoint_dir(spark)
     out = work_folder(spark, "dedup")
-    _run(V.articles_of(_documents(spark, folder)), dedup_writer(out), out)
-    return spark.read.parquet(f"{out}/articles").drop("run", "batch_id")
+    store = dedup_store(spark, out, V.articles(spark, folder).schema)
+    keep = dedup_writer(store, f"{out}/checkpoint")
+    _run(_documents(spark, folder), lambda batch, batch_id: keep(_articles(batch), batch_id), out)
+    return store.read("articles").drop("batch_id")
 
 
 def cycle_writer(
-    feeds: DataFrame, crawled: DataFrame, out: str, now: datetime, parse: Callable[[DataFrame], DataFrame],
+    store: Parts, feeds: DataFrame, crawled: DataFrame, run: str, parse: Callable[[DataFrame], DataFrame] = lambda rows: rows,
+    clock: Callable[[], datetime] = ingest.utc_now,
 ) -> Callable[[DataFrame, int], None]:
-    """One ingest cycle per micro-batch against all earlier ones, committed under ``out``."""
+    """One ingest cycle per micro-batch against all that is stored, each with its own time.
+
+    ``run`` is the checkpoint of the stream, or a name.
+    """
     def handle(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        known = ingest.stored_articles(spark, out, batch_id)
-        current = ingest.latest_feeds(spark, out, batch_id, feeds)
-        ingest.commit_cycle(ingest.ingest_cycle(parse(batch), current, known, crawled, now), out, batch_id, now)
+        ingest.store_cycle(store, parse(batch), feeds, crawled, run_of(store.spark, run), batch_id, clock=clock)
 
     return handle
 
 
-def _run_cycles(spark: SparkSession, folder: str, crawled: DataFrame) -> str:
+def _run_cycles(spark: SparkSession, folder: str, crawled: DataFrame) -> Parts:
     out, now = work_folder(spark, "cycles"), datetime.fromisoformat(V.BATCH_TIME)
-    parse = lambda batch: V.items_of(V.articles_of(batch))
-    _run(_documents(spark, folder), cycle_writer(V.feeds(spark, folder), crawled, out, now, parse), out)
-    return out
+    feeds = V.feeds(spark, folder)
+    store = ingest.store_of(spark, f"{out}/store", feeds)
+    parse = lambda batch: V.items_of(_articles(batch))
+    _run(_documents(spark, folder), cycle_writer(store, feeds, crawled, f"{out}/checkpoint", parse, lambda: now), out)
+    return store
 
 
 def run_cycles(spark: SparkSession, folder: str, crawled: DataFrame) -> DataFrame:
     """The stored articles after all cycles."""
-    return ingest.stored_articles(spark, _run_cycles(spark, folder, crawled), 1 << 30)
+    return _run_cycles(spark, folder, crawled).read("articles")
 
 
 def run_ingest_log(spark: SparkSession, folder: str) -> DataFrame:
     """One log row per active feed and cycle."""
     nothing = spark.createDataFrame([], "url string, content string")
-    logs = spark.read.parquet(f"{_run_cycles(spark, folder, nothing)}/logs")
+    logs = _run_cycles(spark, folder, nothing).read("logs")
     return logs.drop("id", "started_at", "execution_time_ms").withColumnRenamed("cycle_id", "batch_id")
 
 
 def run_trending(spark: SparkSession, folder: str) -> DataFrame:
     """Keyword counts kept as partial counts per batch, merged on reading."""
     out = work_folder(spark, "trending")
-    handle = batch_writer(lambda batch: keywords.trending_words(V.articles_of(batch), stopwords=V.STOPWORDS), f"{out}/parts")
-    _run(_documents(spark, folder), handle, out)
-    return merge_counts(spark.read.parquet(f"{out}/parts"))
+    store, count = counts_store(spark, out), lambda batch: keywords.trending_words(_articles(batch), stopwords=V.STOPWORDS)
+    _run(_documents(spark, folder), batch_writer(count, store, "parts", f"{out}/checkpoint"), out)
+    return merge_counts(store.read("parts"))

@@ -88,19 +88,12 @@ def test_ingest_cycle_over_feed_files(spark, tmp_path):
     assert (log[2].status, log[2].error_message) == ("failed", "Failed to fetch feed")
     assert {r.id: r.last_fetched_at for r in cycle.feeds.collect()}[1] == now
     assert cycle.feeds.where("last_fetched_at is not null").count() == 1
-    totals = ingest.cycle_totals(cycle.log).first()
-    assert tuple(totals) == (3, 1, 2)
+    assert log[1].dropped == 2
+    totals = ingest.cycle_totals(ingest.cycle_stats(cycle.decided)).first()
+    assert tuple(totals) == (3, 1, 2, 2)
+    assert cycle.metrics == {"saved": 1, "duplicate": 2, "dropped": 2}
     # The next cycle finds everything stored.
-    base = str(tmp_path / "base")
-    for _ in range(2):  # a cycle that runs again replaces itself
-        ingest.commit_cycle(cycle, base, 0, datetime(2026, 5, 27, 23, 59, 59))
-    stored = ingest.stored_articles(spark, base, 1)
-    assert stored.count() == 1 and ingest.stored_articles(spark, base, 0).count() == 0
-    logs = spark.read.parquet(base + "/logs").where("feed_source_id = 1").first()
-    assert (logs.execution_time_ms, logs.articles_saved) == (1000, 1)
-    left = ingest.latest_feeds(spark, base, 1, feeds)
-    assert {r.id: r.last_fetched_at for r in left.collect()}[1] == now
-    again = ingest.ingest_cycle(items, left, stored, crawled, now)
+    again = ingest.ingest_cycle(items, cycle.feeds, cycle.articles, crawled, now)
     assert again.articles.count() == 0
 
 

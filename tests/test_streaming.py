@@ -2,10 +2,13 @@ from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from newsloom.functions import text as T
 from newsloom.operators import dedup
 from newsloom.operators import keywords as K
+from newsloom.plans import ingest
+from newsloom.sources.parts import Parts, Table
 from newsloom.streaming import pipelines as S
 
 SCHEMA = (
@@ -44,29 +47,41 @@ def finish(query):
     assert query.exception() is None
 
 
+def rows_of(spark):
+    return spark.createDataFrame([], SCHEMA).schema
+
+
+@pytest.fixture(autouse=True)
+def checkpoints(spark, tmp_path_factory):
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(str(tmp_path_factory.mktemp("checkpoints")))
+
+
 def test_dedup_equals_batch_over_all_files(spark, landed, tmp_path):
     out = str(tmp_path / "out")
-    finish(S.run_batches(stream(spark, landed), S.dedup_writer(out), out + "/checkpoint"))
-    found = {r.article_id for r in spark.read.parquet(out + "/articles").collect()}
-    assert found == {r.article_id for r in dedup.first_wins(spark.read.parquet(landed)).collect()} == {1, 2, 6, 7}
-    assert {r.batch_id for r in spark.read.parquet(out + "/articles").select("batch_id").distinct().collect()} == {0, 1, 2}
+    store = S.dedup_store(spark, out, rows_of(spark))
+    finish(S.run_batches(stream(spark, landed), S.dedup_writer(store, out + "/checkpoint"), out + "/checkpoint"))
+    kept = store.read("articles").collect()
+    assert {r.article_id for r in kept} == {r.article_id for r in dedup.first_wins(spark.read.parquet(landed)).collect()} == {1, 2, 6, 7}
+    assert {r.batch_id for r in kept} == {0, 1, 2}
 
 
 def test_a_batch_that_runs_twice_changes_nothing(spark, tmp_path):
-    out = str(tmp_path / "out")
-    handle = S.dedup_writer(out)
+    store = S.dedup_store(spark, str(tmp_path / "out"), rows_of(spark))
+    handle = S.dedup_writer(store, "run")
     frames = [spark.createDataFrame(rows, SCHEMA) for rows in FILES]
     for batch_id in (0, 1, 1, 2, 2):
         handle(frames[batch_id], batch_id)
-    rows = spark.read.parquet(out + "/articles").collect()
-    assert sorted(r.article_id for r in rows) == [1, 2, 6, 7]
+    assert sorted(r.article_id for r in store.read("articles").collect()) == [1, 2, 6, 7]
 
 
 def test_trending_partials_equal_batch(spark, landed, tmp_path):
     out = str(tmp_path / "out")
-    handle = S.batch_writer(K.trending_words, out + "/parts")
+    store = S.counts_store(spark, out, fan=2)
+    handle = S.batch_writer(K.trending_words, store, "parts", out + "/checkpoint")
     finish(S.run_batches(stream(spark, landed), handle, out + "/checkpoint"))
-    merged = S.merge_counts(spark.read.parquet(out + "/parts"))
+    assert any(p.level for p in store.version().parts)
+    merged = S.merge_counts(store.read("parts"))
     batch = K.trending_words(spark.read.parquet(landed))
     assert sorted(map(tuple, merged.collect())) == sorted(map(tuple, batch.collect()))
 
@@ -103,43 +118,112 @@ def test_bounded_dedup_drops_copies_within_the_horizon(spark, landed, tmp_path):
 
 def test_restart_takes_only_new_files(spark, landed, tmp_path):
     out = str(tmp_path / "out")
-    handle = S.batch_writer(lambda b: b.select("article_id", T.normalize_title(F.col("title")).alias("t")), out + "/rows")
+    titles = lambda b: b.select("article_id", T.normalize_title(F.col("title")).alias("t"))
+    store = Parts(spark, out, {"rows": Table(StructType.fromDDL("article_id long, t string"))})
+    handle = S.batch_writer(titles, store, "rows", out + "/checkpoint")
     finish(S.run_batches(stream(spark, landed), handle, out + "/checkpoint"))
     spark.createDataFrame([article(9, "Tin D", 3)], SCHEMA).coalesce(1).write.mode("append").parquet(landed)
     finish(S.run_batches(stream(spark, landed), handle, out + "/checkpoint"))
-    assert sorted(r.article_id for r in spark.read.parquet(out + "/rows").collect()) == list(range(1, 10))
+    assert sorted(r.article_id for r in store.read("rows").collect()) == list(range(1, 10))
+
 
+def items(rows):
+    return rows.select(
+        F.col("article_id").alias("item_id"), "feed_source_id", "title", F.concat(F.lit("http://x/"), "article_id").alias("link"),
+        F.col("content").alias("description"), F.lit(None).cast("string").alias("guid"), F.lit("a").alias("author"),
+        F.col("publish_date").alias("pub_date"), F.lit("0").alias("comments"),
+    )
 
-def test_cycles_over_three_batches_store_what_one_batch_stores(spark, landed, tmp_path):
-    from newsloom.plans import ingest
 
-    def items(rows):
-        return rows.select(
-            F.col("article_id").alias("item_id"), "feed_source_id", "title", F.concat(F.lit("http://x/"), "article_id").alias("link"),
-            F.col("content").alias("description"), F.lit(None).cast("string").alias("guid"), F.lit("a").alias("author"),
-            F.col("publish_date").alias("pub_date"), F.lit("0").alias("comments"),
-        )
+@pytest.fixture
+def feeds(spark):
+    rows = spark.createDataFrame([(0, 1, True), (1, 1, True), (2, 1, True)], "id int, category_id int, is_active boolean")
+    return rows.withColumn("last_fetched_at", F.lit(None).cast("timestamp_ntz"))
 
-    feeds = spark.createDataFrame([(0, 1, True), (1, 1, True)], "id int, category_id int, is_active boolean")
-    feeds = feeds.withColumn("last_fetched_at", F.lit(None).cast("timestamp_ntz"))
-    crawled = spark.createDataFrame([], "url string, content string")
+
+@pytest.fixture
+def crawled(spark):
+    return spark.createDataFrame([], "url string, content string")
+
+
+def test_cycles_over_three_batches_store_what_one_batch_stores(spark, landed, tmp_path, feeds, crawled):
     now, out = datetime(2026, 6, 1), str(tmp_path / "out")
-    finish(S.run_batches(stream(spark, landed), S.cycle_writer(feeds, crawled, out, now, items), out + "/checkpoint"))
-    stored = ingest.stored_articles(spark, out, 99)
-    nothing = stored.limit(0)
-    whole = ingest.ingest_cycle(items(spark.read.parquet(landed)), feeds, nothing, crawled, now)
+    store = ingest.store_of(spark, out + "/store", feeds)
+    started = ingest.utc_now()
+    finish(S.run_batches(stream(spark, landed), S.cycle_writer(store, feeds, crawled, out + "/checkpoint", items), out + "/checkpoint"))
+    stored = store.read("articles")
+    whole = ingest.ingest_cycle(items(spark.read.parquet(landed)), feeds, stored.limit(0), crawled, now)
     assert {r.link for r in stored.collect()} == {r.link for r in whole.articles.collect()}
     assert sorted(r.id for r in stored.collect()) == list(range(1, stored.count() + 1))
     total = lambda log: log.agg(F.sum("articles_fetched"), F.sum("articles_saved"), F.sum("duplicates_found")).first()
-    assert total(spark.read.parquet(out + "/logs")) == total(whole.log)
-    assert ingest.latest_feeds(spark, out, 99, feeds).where("last_fetched_at is not null").count() == 2
+    assert total(store.read("logs")) == total(whole.log)
+    assert store.read("feeds").where("last_fetched_at is not null").count() == 2
+    # each cycle has its own time, and took some
+    logs = store.read("logs").collect()
+    assert len({r.started_at for r in logs}) == 3 and min(r.started_at for r in logs) >= started
+    assert all((r.execution_time_ms > 0) == (r.status == "success") for r in logs)
+    assert all(r.execution_time_ms == 0 for r in logs if r.status == "failed") and any(r.status == "failed" for r in logs)
+    assert len({r.id for r in logs}) == len(logs)
+
+
+def test_a_lost_checkpoint_loses_no_cycle(spark, landed, tmp_path, feeds, crawled):
+    """Another stream over the same store, from batch 0: nothing goes, nothing comes twice, ids go on."""
+    out = str(tmp_path / "out")
+    store = ingest.store_of(spark, out + "/store", feeds)
+    for name in ("first", "second"):
+        if name == "second":
+            spark.createDataFrame([article(20, "Tin Z", 3)], SCHEMA).coalesce(1).write.mode("append").parquet(landed)
+        checkpoint = f"{out}/{name}"
+        finish(S.run_batches(stream(spark, landed), S.cycle_writer(store, feeds, crawled, checkpoint, items), checkpoint))
+    rows = store.read("articles").collect()
+    links = sorted(r.link for r in rows)
+    assert links == sorted({f"http://x/{i}" for i in (1, 2, 6, 7, 20)}) and sorted(r.id for r in rows) == [1, 2, 3, 4, 5]
+    assert len(store.version().runs) == 2 and store.read("logs").select("id").distinct().count() == store.read("logs").count() == 21
+
+
+def test_a_lost_checkpoint_loses_no_items_and_no_counts(spark, landed, tmp_path):
+    out = str(tmp_path / "out")
+    store = Parts(spark, out, {"rows": Table(rows_of(spark))})
+    for run, batches in (("first", FILES[:2]), ("second", FILES[2:])):
+        handle = S.batch_writer(lambda rows: rows, store, "rows", run)
+        for batch_id, rows in enumerate(batches):
+            handle(spark.createDataFrame(rows, SCHEMA), batch_id)
+    assert sorted(r.article_id for r in store.read("rows").collect()) == [1, 2, 3, 4, 5, 6, 7, 8]
 
 
 def test_a_lost_checkpoint_overwrites_nothing(spark, tmp_path):
-    out = str(tmp_path / "out")
+    store = S.dedup_store(spark, str(tmp_path / "out"), rows_of(spark))
     frames = [spark.createDataFrame(rows, SCHEMA) for rows in FILES]
     for run, batches in (("first", (0, 1)), ("second", (0, 1, 2))):
-        handle = S.dedup_writer(out, run=run)
+        handle = S.dedup_writer(store, run)
         for batch_id in batches:
             handle(frames[batch_id], batch_id)
-    assert sorted(r.article_id for r in spark.read.parquet(out + "/articles").collect()) == [1, 2, 6, 7]
+    assert sorted(r.article_id for r in store.read("articles").collect()) == [1, 2, 6, 7]
+
+
+@pytest.mark.parametrize("table", ["articles", "keys", "filters", "logs", "feeds", "manifest"])
+def test_a_cycle_that_dies_leaves_nothing_visible(spark, tmp_path, feeds, crawled, monkeypatch, table):
+    store = ingest.store_of(spark, str(tmp_path / "store"), feeds)
+    handle = S.cycle_writer(store, feeds, crawled, "run", items)
+    handle(spark.createDataFrame(FILES[0], SCHEMA), 0)
+    before = {t: sorted(map(str, store.read(t).collect())) for t in store.tables}
+    write, keep = Parts.write, Parts._store
+
+    def dies(self, name, rows, part, level=0):
+        done = write(self, name, rows, part, level)
+        if name == table:
+            raise RuntimeError("killed")
+        return done
+
+    with monkeypatch.context() as broken:
+        broken.setattr(Parts, "write", dies)
+        if table == "manifest":
+            broken.setattr(Parts, "_store", lambda self, version: (_ for _ in ()).throw(RuntimeError("killed")))
+        with pytest.raises(RuntimeError, match="killed"):
+            handle(spark.createDataFrame(FILES[1], SCHEMA), 1)
+    assert {t: sorted(map(str, store.read(t).collect())) for t in store.tables} == before
+    assert keep is Parts._store
+    handle(spark.createDataFrame(FILES[1], SCHEMA), 1)
+    handle(spark.createDataFrame(FILES[1], SCHEMA), 1)
+    assert sorted(r.link for r in store.read("articles").collect()) == ["http://x/1", "http://x/2", "http://x/6"]
+    assert sorted(r.id for r in store.read("articles").collect()) == [1, 2, 3]
