@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
-from html import unescape
 
 import pandas as pd
 from pyspark.sql import Column
@@ -37,11 +36,6 @@ def keyword_udf(
     return lambda text: F.filter(split(T.trim_space(F.lower(text))), lambda t: T.is_keyword(t, min_length, words))
 
 
-@F.pandas_udf(StringType())
-def unescape_entities(texts: pd.Series) -> pd.Series:
-    return texts.map(unescape, na_action="ignore")
-
-
 @F.pandas_udf(StringType())
 def find_body_html(pages: pd.Series) -> pd.Series:
     return pages.map(find_body, na_action="ignore")

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import string
 import unicodedata
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
+from html.entities import html5
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -20,13 +21,8 @@ TONE_PAIRS = (
     ("ùy", "uỳ"), ("úy", "uý"), ("ủy", "uỷ"), ("ũy", "uỹ"), ("ụy", "uỵ"),
 )
 
-# The entities decoded without Python, "&amp;" last.
-COMMON_ENTITIES = (
-    ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"),
-    ("&nbsp;", "\xa0"), ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&"),
-)
-# What looks like any other entity
-RARE_ENTITY = "&(?!(?:" + "|".join(name[1:-1] for name, _ in COMMON_ENTITIES) + ");)(?:#[0-9xX]|[A-Za-z])"
+# What a reference to a character may look like, as HTML reads it
+ENTITY = "&(?:#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[^\\t\\n\\f <&#;]{1,32};?)"
 
 ASCII_SPACE = " \t\n\x0b\f\r"
 ASCII_SPACE_RUN = "[ \\t\\n\\x0b\\f\\r]+"
@@ -34,6 +30,9 @@ ASCII_SPACE_RUN = "[ \\t\\n\\x0b\\f\\r]+"
 WHITESPACE = "".join(chr(c) for c in range(0x3001) if chr(c).isspace())
 WHITESPACE_RUN = "[" + "".join(f"\\x{{{ord(c):x}}}" for c in WHITESPACE) + "]+"
 MARKS = "[\u0300-\u036f]"
+# The combining marks that move and compose, without the grapheme joiner
+COMBINING = "".join(chr(c) for c in range(0x300, 0x370) if unicodedata.combining(chr(c)))
+MARKED = f"[^{COMBINING}][{COMBINING}]+"
 
 # A comment, or a tag whose quoted attribute values may hold ">". The loop runs
 # once per quoted value, so a long value cannot exhaust the regex stack.
@@ -51,18 +50,20 @@ def _accented_letters() -> str:
 ACCENTED = _accented_letters()
 
 
-def _decomposed() -> list[tuple[str, str]]:
-    """Ways to write each accented letter, small or capital, with combining marks; the longest first."""
-    pairs = {}
-    for letter in ACCENTED + ACCENTED.upper():
-        base, *marks = unicodedata.normalize("NFD", letter)
-        for order in {tuple(marks), tuple(reversed(marks))} if marks else ():
-            pairs[base + "".join(order)] = letter
-            pairs[unicodedata.normalize("NFC", base + order[0]) + "".join(order[1:])] = letter
-    return sorted(((a, b) for a, b in pairs.items() if a != b), key=lambda p: -len(p[0]))
+def _canonical() -> tuple[dict[str, str], dict[str, str]]:
+    """Letter and mark with what they compose to, and letters with their letter and marks."""
+    pairs, parts = {}, {}
+    for letter in map(chr, range(0xC0, 0x2000)):
+        full = unicodedata.normalize("NFD", letter)
+        if full != letter:
+            parts[letter] = full
+            own = unicodedata.decomposition(letter).split()
+            if len(own) == 2 and unicodedata.normalize("NFC", letter) == letter:
+                pairs["".join(chr(int(c, 16)) for c in own)] = letter
+    return pairs, parts
 
 
-DECOMPOSED = _decomposed()
+COMPOSED, PARTS = _canonical()
 WORD_CHARS = f"a-zA-Z0-9_{ACCENTED}"
 NON_WORD = f"[^{WORD_CHARS}]+"
 
@@ -106,14 +107,65 @@ def replace_all(text: Column, pairs: Iterable[tuple[str, str]]) -> Column:
     return text
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often the body names it."""
+    return F.transform(F.array(value), body)[0]
+
+
+def lookup(table: dict[str, str]) -> Column:
+    """A constant map, folded into the plan once."""
+    text = "\x02".join(f"{old}\x03{new}" for old, new in table.items())
+    return F.str_to_map(F.lit(text), F.lit("\x02"), F.lit("\x03"))
+
+
+def replace_found(text: Column, pattern: str, value_of: Callable[[Column], Column]) -> Column:
+    """Every match of a pattern replaced by a function of it, in one pass; each different match is worked out once."""
+    def rebuilt(t: Column) -> Column:
+        found = F.regexp_extract_all(t, F.lit(pattern), F.lit(0))
+        gaps = F.split(t, pattern, -1)
+
+        def joined(x: Column) -> Column:
+            values = F.map_from_arrays(F.array_distinct(x["found"]), F.transform(F.array_distinct(x["found"]), value_of))
+            pieces = let(values, lambda v: F.transform(x["gaps"], lambda gap, i: F.concat(gap, F.coalesce(v[F.get(x["found"], i)], F.lit("")))))
+            return F.array_join(pieces, "")
+
+        return let(F.struct(found.alias("found"), gaps.alias("gaps")), joined)
+
+    return let(text, lambda t: F.when(t.rlike(pattern), rebuilt(t)).otherwise(t))
+
+
+def _composed(sequence: Column) -> Column:
+    """A letter and its marks as NFC writes them."""
+    sequence = F.replace(F.translate(sequence, "\u0340\u0341\u0343", "\u0300\u0301\u0313"), F.lit("\u0344"), F.lit("\u0308\u0301"))
+    # the class by which a mark is ordered, as the code of a character
+    classes = "".join(chr(unicodedata.combining(m)) for m in COMBINING)
+    order = lambda mark: F.ascii(F.translate(mark, COMBINING, classes))
+
+    def step(state: Column, mark: Column) -> Column:
+        met = lookup(COMPOSED)[F.concat(state["letter"], mark["mark"])]
+        free = met.isNotNull() & (state["last"] != mark["order"])
+        kept = F.struct(state["letter"].alias("letter"), F.concat(state["rest"], mark["mark"]).alias("rest"), mark["order"].alias("last"))
+        return F.when(free, F.struct(met.alias("letter"), state["rest"].alias("rest"), state["last"].alias("last"))).otherwise(kept)
+
+    def folded(full: Column) -> Column:
+        marks = F.filter(F.split(F.substring(full, 2, 1 << 30), ""), lambda m: m != "")
+        ordered = F.array_sort(F.transform(marks, lambda m, i: F.struct(order(m).alias("order"), i.alias("place"), m.alias("mark"))))
+        start = F.struct(F.substring(full, 1, 1).alias("letter"), F.lit("").alias("rest"), F.lit(-1).alias("last"))
+        return F.aggregate(ordered, start, step, lambda s: F.concat(s["letter"], s["rest"]))
+
+    def whole(t: Column) -> Column:
+        first = F.substring(t, 1, 1)
+        return F.concat(F.coalesce(lookup(PARTS)[first], first), F.substring(t, 2, 1 << 30))
+
+    return let(let(sequence, whole), folded)
+
+
 def compose(text: Column) -> Column:
-    """Vietnamese letters written with combining marks as single letters.
+    """Letters written with combining marks as single letters, as NFC writes them.
 
-    Only texts that hold such marks are walked through, over a literal array of the pairs.
+    Holds for all letters below U+2000. Only the sequences that occur in a text are worked out.
     """
-    pairs = F.array(*[F.array(F.lit(a), F.lit(b)) for a, b in DECOMPOSED])
-    composed = F.aggregate(pairs, text, lambda t, p: F.replace(t, p[0], p[1]))
-    return F.when(text.rlike(MARKS), composed).otherwise(text)
+    return replace_found(text, MARKED, _composed)
 
 
 def trim_space(text: Column) -> Column:
@@ -189,12 +241,51 @@ def truncate_text(text: Column, max_length: int = 5000) -> Column:
     return F.regexp_replace(F.coalesce(text, F.lit("")), longer, "$1...")
 
 
-def decode_entities(text: Column) -> Column:
-    """All HTML entities; only texts with other than the common ones go to Python, in Arrow batches."""
-    from newsloom.functions.python_udfs import unescape_entities
+# What references to some control characters stand for in HTML, in the order of 0x80 to 0x9f.
+WINDOWS = (
+    "\u20ac\x81\u201a\u0192\u201e\u2026\u2020\u2021\u02c6\u2030\u0160\u2039\u0152\x8d\u017d\x8f"
+    "\x90\u2018\u2019\u201c\u201d\u2022\u2013\u2014\u02dc\u2122\u0161\u203a\u0153\x9d\u017e\u0178"
+)
+
+
+def _numbered(code: Column) -> Column:
+    """The character of a code point in decimal(38), as HTML reads references by number."""
+    invalid = code.between(0x1, 0x8) | (code == 0xB) | code.between(0xE, 0x1F) | (code == 0x7F) | code.between(0xFDD0, 0xFDEF)
+    invalid |= (code % 0x10000 >= 0xFFFE) & (code <= 0x10FFFF)
+    char = F.decode(F.unhex(F.lpad(F.hex(code.cast("long")), 8, "0")), "UTF-32")
+    windows = F.substring(F.lit(WINDOWS), 0, 1 << 30)
+    return (
+        F.when((code == 0) | code.between(0xD800, 0xDFFF) | (code > 0x10FFFF), "\ufffd").when(code == 0xD, "\r")
+        .when(code.between(0x80, 0x9F), F.substr(windows, (code - 0x7F).cast("int"), F.lit(1))).when(invalid, "").otherwise(char)
+    )
 
-    rare = text.rlike(RARE_ENTITY)
-    return F.coalesce(unescape_entities(F.when(rare, text)), replace_all(text, COMMON_ENTITIES))
+
+def _referred(reference: Column) -> Column:
+    """What one reference stands for; itself if nothing."""
+    named = {name: text for name, text in html5.items()}
+    bare = {name: text for name, text in html5.items() if not name.endswith(";")}
+    body = F.substring(reference, 2, 1 << 30)
+    digits = F.ltrim(F.rtrim(F.substring(reference, 3, 1 << 30), F.lit(";")), F.lit("xX"))
+    # numbers of more digits are beyond all characters; leading zeros do not count
+    short = lambda d, n: F.when(F.length(F.ltrim(d, F.lit("0"))) > n, F.lit("9999999")).otherwise(d)
+    hexed = F.conv(short(digits, 8), 16, 10).cast("decimal(38,0)")
+    number = F.when(reference.rlike("^&#[xX]"), F.when(F.length(F.ltrim(digits, F.lit("0"))) > 8, F.lit(1 << 32).cast("decimal(38,0)")).otherwise(hexed))
+    number = number.otherwise(short(digits, 12).cast("decimal(38,0)"))
+
+    def beginning(b: Column) -> Column:
+        """The longest beginning that is a name which needs no semicolon."""
+        lengths = F.sequence(F.length(b) - 1, F.lit(2), F.lit(-1))
+        cuts = F.filter(F.transform(lengths, lambda n: F.substr(b, F.lit(1), n)), lambda c: lookup(bare)[c].isNotNull())
+        cut = F.get(cuts, F.lit(0))
+        return F.when(F.length(b) > 2, F.concat(lookup(bare)[cut], F.substr(b, F.length(cut) + 1)))
+
+    by_name = let(body, lambda b: F.coalesce(lookup(named)[b], beginning(b), F.concat(F.lit("&"), b)))
+    return F.when(F.startswith(reference, F.lit("&#")), let(number, _numbered)).otherwise(by_name)
+
+
+def decode_entities(text: Column) -> Column:
+    """All HTML entities, by name and number, in one pass; only those that occur in a text are looked up."""
+    return replace_found(text, ENTITY, _referred)
 
 
 def create_slug(title: Column, max_length: int = 500) -> Column:
@@ -258,7 +349,7 @@ def _is_time(token: Column, shape: Column) -> Column:
     return hour & F.when(shape == "9:9", below(1, 60)).when(shape == "9:9:9", below(1, 60) & below(2, 60)).otherwise(False)
 
 
-def token_class(token: Column) -> Column:
+def token_class(token: Column, shape: Column | None = None) -> Column:
     """What a token is, told by its shape; the first class that fits counts.
 
     email: one "@" with something before it and a dot inside what follows. markup: "<" first,
@@ -268,8 +359,9 @@ def token_class(token: Column) -> Column:
     number: digits with single marks between, perhaps a sign. punctuation: neither letter nor
     digit. code: letters and digits, both. compound: parts of letters and digits with single
     marks between. allcaps, name and word: letters only, by their case; other: the rest.
+    ``shape`` is a column with the token's shape, so that it is not computed for each class.
     """
-    shape = token_shape(token)
+    shape = token_shape(token) if shape is None else shape
     mail = F.split(token, "@")
     is_mail = (F.size(mail) == 2) & (mail[0] != "") & mail[1].rlike("^[^.].*\\.[^.]+$")
     classes = (

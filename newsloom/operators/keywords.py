@@ -31,10 +31,13 @@ def explode_keywords(
     lowered text and returns a token array.
     """
     if tokenizer is None:
-        tokens = T.word_tokens(text, compat)
+        rows = articles.select(*keep, F.explode(T.word_tokens(text, compat)).alias("tu_khoa"))
     else:
-        tokens = tokenizer(T.trim_space(F.lower(T.clean_text(text, compat))))
-    rows = articles.select(*keep, F.explode(tokens).alias("tu_khoa"))
+        # a row of its own for the text: Spark does not run a Python function on what holds lambda functions
+        cleaned = F.array(T.trim_space(F.lower(T.clean_text(text, compat))))
+        rows = articles.select(*keep, F.explode(cleaned).alias("_text"))
+        kept = [c for c in rows.columns if c != "_text"]
+        rows = rows.select(*kept, F.explode(tokenizer(F.col("_text"))).alias("tu_khoa"))
     if compat and tokenizer is None:
         rows = rows.withColumn("tu_khoa", F.lower("tu_khoa"))
     return rows.where(T.is_keyword(F.col("tu_khoa"), min_length, stopwords))
@@ -97,8 +100,8 @@ def sort_by_count(table: DataFrame) -> DataFrame:
 def count_token_classes(articles: DataFrame, text: str = "content") -> DataFrame:
     """Occurrences of each token class; every distinct token is classified once."""
     tokens = articles.select(F.explode(T.tokenize(F.col(text))).alias("token"))
-    distinct = tokens.groupBy("token").agg(F.count("*").alias("n"))
+    distinct = tokens.groupBy("token").agg(F.count("*").alias("n")).withColumn("shape", T.token_shape(F.col("token")))
     return (
-        distinct.groupBy(T.token_class(F.col("token")).alias("token_class"))
+        distinct.groupBy(T.token_class(F.col("token"), F.col("shape")).alias("token_class"))
         .agg(F.sum("n").alias("occurrences"), F.count("*").alias("distinct_tokens"))
     )

@@ -11,30 +11,39 @@ from newsloom.functions import text as T
 def merge_phrases(articles: DataFrame, lexicon: DataFrame, *, row_id: str = "article_id", text: str = "content") -> DataFrame:
     """Text with leftmost-longest lexicon phrases of two words and more joined.
 
-    Pairs of neighbouring words are joined with the first two words of the phrases, so an
-    article carries only the phrases that may begin in it. Spark picks the join by the size of the
-    lexicon; a hot pair is split by its skew join. Which phrases are there and which of
-    them count is then decided inside each article, with array functions.
+    Each two neighbouring words become one hash of their codes, and no string is built for them. The hashes are
+    joined with those of the first two words of the phrases, so an article carries only the phrases that may
+    begin in it. Spark picks the join by the size of the lexicon; a hot pair is split by its skew join. Which
+    phrases are there, word by word, and which of them count is then decided inside each article.
     """
     phrase = T.tokenize(F.lower(F.col(lexicon.columns[0])))
     known = lexicon.select(phrase.alias("words")).where(F.size("words") > 1).distinct()
-    heads = known.select(F.array_join(F.slice("words", 1, 2), " ").alias("head"), "words")
-    tokens = T.tokenize(F.col(text))
-    lowered = articles.select(row_id, T.tokenize(F.lower(F.col(text))).alias("t")).where(F.size("t") > 1)
-    pairs = F.transform(F.sequence(F.lit(1), F.size("t") - 1), lambda i: F.array_join(F.slice("t", i, 2), " "))
-    starts = lowered.select(row_id, F.posexplode(pairs).alias("at", "head"))
+    heads = known.select(_head(F.xxhash64(F.get("words", F.lit(0))), F.xxhash64(F.get("words", F.lit(1)))).alias("head"), "words")
+    codes = F.transform(T.tokenize(F.col(text)), lambda w: F.xxhash64(F.lower(w)))
+    starts = articles.select(row_id, F.posexplode(T.let(codes, _heads)).alias("at", "head"))
     found = starts.join(heads, "head").select(row_id, F.struct((F.col("at") + 1).alias("at"), F.size("words").alias("n"), "words").alias("hit"))
     listed = articles.join(found.groupBy(row_id).agg(F.collect_list("hit").alias("_hits")), row_id, "left")
-    listed = listed.withColumn("_tokens", tokens).withColumn("_lowered", T.tokenize(F.lower(F.col(text))))
-    real = F.filter("_hits", lambda h: F.slice(F.col("_lowered"), h["at"], h["n"]) == h["words"])
-    # named twice, so that Spark does not move the splitting of the text into the function above
-    real = F.when(F.size("_lowered") > 0, real)
+    listed = listed.withColumn("_tokens", T.tokenize(F.col(text)))
+    # named twice, so that Spark does not move the splitting of the text into the functions
+    lowered = lambda h: F.transform(F.slice("_tokens", h["at"], h["n"]), F.lower)
+    real = F.when(F.size("_tokens") > 0, F.filter("_hits", lambda h: lowered(h) == h["words"]))
     # by place, the longest first
     ordered = F.array_sort(F.transform(real, lambda h: F.struct(h["at"].alias("at"), (-h["n"]).alias("short"))))
     listed = listed.withColumn("_order", F.coalesce(ordered, F.array().cast("array<struct<at:int,short:int>>")))
     listed = listed.withColumn("_taken", _taken(F.col("_order")))
-    joined = F.when(F.col(text).isNotNull(), _joined(F.col("_tokens"), F.col("_taken")))
-    return listed.withColumn(text, joined).select(*articles.columns)
+    joined = F.when(F.size("_taken") == 0, F.array_join("_tokens", " ")).otherwise(_joined(F.col("_tokens"), F.col("_taken")))
+    return listed.withColumn(text, F.when(F.col(text).isNotNull(), joined)).select(*articles.columns)
+
+
+def _head(first: Column, second: Column) -> Column:
+    return F.xxhash64(first, second)
+
+
+def _heads(codes: Column) -> Column:
+    """The hash of each two neighbouring codes."""
+    each = F.sequence(F.lit(0), F.size(codes) - 2)
+    heads = F.transform(each, lambda i: _head(F.get(codes, i), F.get(codes, i + 1)))
+    return F.when(F.size(codes) > 1, heads).otherwise(F.array().cast("array<bigint>"))
 
 
 def _taken(order: Column) -> Column:

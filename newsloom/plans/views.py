@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import unicodedata
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,6 +16,7 @@ STOPWORDS = (
 )
 LANGUAGES = {"de": "German", "en": "English", "es": "Spanish", "fr": "French"}
 BATCH_TIME = "2024-03-01 00:00:00"
+PARTED = "éñüçÄ"
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -37,9 +40,12 @@ def texts(spark: SparkSession, folder: str) -> DataFrame:
 def articles_of(documents: DataFrame) -> DataFrame:
     """Documents as articles: the first line is the title, its length sets the day.
 
-    Every seventh has its é in two characters, as text from other systems may.
+    Every seventh has some letters in two characters, as text from other systems may.
     """
-    text = F.when(F.col("doc_id") % 7 == 0, F.replace("text", F.lit("é"), F.lit("e\u0301"))).otherwise(F.col("text"))
+    parted = F.col("text")
+    for letter in PARTED:
+        parted = F.replace(parted, F.lit(letter), F.lit(unicodedata.normalize("NFD", letter)))
+    text = F.when(F.col("doc_id") % 7 == 0, parted).otherwise(F.col("text"))
     documents = documents.withColumn("text", text)
     title = F.substring_index("text", "\n", 1)
     published = _published(title, F.col("doc_id"))
@@ -124,8 +130,9 @@ def is_stored(rows: DataFrame, spark: SparkSession, folder: str, row_id: str) ->
 # The same views as SQL. Each names the views it is built on.
 SQL_VIEWS = {
     "articles": ((), """
-        WITH documents AS (SELECT * REPLACE (CASE WHEN doc_id % 7 = 0 THEN replace(text, 'é', 'e' || chr(769))
-                                                  ELSE text END AS text) FROM documents)
+        WITH documents AS (SELECT * REPLACE (CASE WHEN doc_id % 7 = 0
+            THEN replace(replace(replace(replace(replace(text, 'é', 'e' || chr(769)), 'ñ', 'n' || chr(771)), 'ü', 'u' || chr(776)),
+                 'ç', 'c' || chr(807)), 'Ä', 'A' || chr(776)) ELSE text END AS text) FROM documents)
         SELECT doc_id AS article_id, split_part(text, chr(10), 1) AS title, text AS content, source,
                lang AS category, lang AS chu_de, CAST(substr(source, 4) AS INTEGER) AS feed_source_id,
                TIMESTAMP '2024-01-01 00:00:00'

@@ -1,5 +1,8 @@
+import random
 import re
 import unicodedata
+from html import unescape
+from html.entities import html5
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -143,3 +146,34 @@ def test_word_tokens_equal_clean_then_split(spark, values):
     stepwise = run(spark, values, lambda c: T.tokenize(T.clean_text(c)))
     assert fused == stepwise
     assert all(re.fullmatch(f"[a-z0-9_{T.ACCENTED}]+", t) for row in fused for t in row)
+
+
+def test_composition_equals_nfc(spark):
+    rng = random.Random(1)
+    marks = [chr(c) for c in range(0x300, 0x370) if c != 0x34F]
+    letters = "aeiouyAEIOUYncszdgABêéüđơư xΩαйИ日😀"
+    piece = lambda: rng.choice(letters) + "".join(rng.choice(marks[:20] + marks) for _ in range(rng.choice([0, 0, 1, 1, 2, 3])))
+    texts = ["".join(piece() for _ in range(rng.randrange(30))) for _ in range(800)]
+    texts += [unicodedata.normalize("NFD", t) for t in ("mañana über garçon", "Tiếng Việt Đẹp", "ΐ Ǘ ṩ", "")] + ["plain", None]
+    got = spark.createDataFrame([(t,) for t in texts], "t string").select("t", T.compose(F.col("t")).alias("c")).collect()
+    assert [r.c for r in got] == [r.t and unicodedata.normalize("NFC", r.t) for r in got]
+    words = lambda t: spark.createDataFrame([(t,)], "t string").select(F.array_join(T.word_tokens(F.col("t")), " ").alias("w")).first().w
+    assert words(unicodedata.normalize("NFD", "mañana über")) == words("mañana über")
+
+
+def test_entities_equal_the_standard_library(spark):
+    rng, names, texts = random.Random(2), sorted(html5), ["&amp;lt; &ampamp; &notit; &#38;lt;", "&&#108;t; &lt;", "& && &#; &#x;", None, ""]
+    numbers = [0, 9, 13, 38, 60, 128, 150, 159, 55296, 65534, 1114112, 128512, 7879, 10**15, 10**40]
+    for _ in range(1500):
+        parts = []
+        for _ in range(rng.randrange(6)):
+            parts.append(rng.choice([
+                f"&{rng.choice(names)}", "&" + rng.choice(names).rstrip(";") + rng.choice(["x", "it;", ";", "=", " "]),
+                f"&#{rng.choice([*numbers, rng.randrange(70000)])}{rng.choice([';', '', ' '])}",
+                f"&#{rng.choice('xX')}{rng.choice(['26', '0', '1F600', '00000000041', 'D800', '110000', 'f' * 30, '9F', 'zz'])}{rng.choice([';', ''])}",
+                "plain", "<", "&unknown;", "&a",
+            ]))
+        texts.append("".join(parts))
+    frame = spark.createDataFrame([(t,) for t in texts], "t string").select("t", T.decode_entities(F.col("t")).alias("c"))
+    assert "Python" not in frame._jdf.queryExecution().toString()
+    assert [r.c for r in frame.collect()] == [t and unescape(t) if t is not None else None for t in texts]
