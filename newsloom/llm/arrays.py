@@ -58,6 +58,9 @@ def _as(values, kind: pa.DataType) -> pa.Array:
     return values.cast(kind) if isinstance(values, pa.Array) else pa.array(values, kind)
 
 
+BYTES = (pa.types.is_string, pa.types.is_binary, pa.types.is_large_string, pa.types.is_large_binary)
+
+
 def byte_slices(batch: pa.RecordBatch, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Row ranges of about ``limit`` bytes; a longer row is alone."""
     if batch.nbytes <= limit:
@@ -66,7 +69,7 @@ def byte_slices(batch: pa.RecordBatch, limit: int = SLICE_BYTES) -> Iterator[pa.
         return
     sizes = np.ones(batch.num_rows, np.int64)
     for column in batch.columns:
-        if pa.types.is_string(column.type) or pa.types.is_binary(column.type):
+        if any(test(column.type) for test in BYTES):
             sizes += np.asarray(pc.fill_null(pc.binary_length(column), 0), np.int64)
         elif pa.types.is_list(column.type):
             sizes += 16 * np.asarray(pc.fill_null(pc.list_value_length(column), 0), np.int64)

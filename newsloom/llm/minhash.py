@@ -29,7 +29,6 @@ empty table gives no rows; other columns are not read.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -45,10 +44,8 @@ SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 16, 4
 SAMPLES = BANDS * ROWS
-RARE = 0.01  # only for ``common_runs``
-CELLS = 1 << 20
-MAX_COMMON = 1 << 20
 HUBS = 2
+TEXT_BYTES = 1 << 20  # the hashes of one part take about 50 times as much for a moment
 BLOCK_ROWS, BLOCK_BYTES = 512, 2 << 20
 DRAWS = 16  # bits
 SLICE_BYTES, PART_BYTES = 4 << 20, 32 << 20
@@ -56,7 +53,17 @@ SLICES, PARTS = 256, 64  # at least
 
 
 def bags(column: pa.Array, size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Row, hash and count of each different run of words, in this order."""
+    """Row, hash and count of each different run of words, in this order; few texts at a time are split into words."""
+    found, rows = [], 0
+    for part in byte_slices(pa.record_batch([column], ["text"]), TEXT_BYTES):
+        row, hashes, counts = _bags(part.column("text"), size)
+        found.append((row + rows, hashes, counts))
+        rows += part.num_rows
+    none = (np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int64))
+    return tuple(np.concatenate(x) for x in zip(*found)) if found else none
+
+
+def _bags(column: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     data, offsets = utf8(column)
     words = Words(data, offsets)
     counts = np.diff(words.rows)
@@ -75,53 +82,6 @@ def bags(column: pa.Array, size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray,
     return row[first], hashes[first], np.diff(np.append(first, len(row)))
 
 
-class Idf:
-    """Weights of runs where only the common ones are known: the same for all others. Not used by the operator."""
-
-    def __init__(self, hashes: np.ndarray, share: np.ndarray):
-        order = np.argsort(hashes)
-        self.hashes, self.weights = hashes[order], 1 - np.log(np.clip(share[order], RARE, 1))
-        self.rare = 1 - math.log(RARE)
-
-    def __call__(self, hashes: np.ndarray) -> np.ndarray:
-        out = np.full(len(hashes), self.rare)
-        if len(self.hashes):
-            at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
-            out = np.where(self.hashes[at] == hashes, self.weights[at], out)
-        return out
-
-
-def common_runs(docs: DataFrame) -> Idf:
-    """The runs of words in at least a share ``RARE`` of all documents, with their shares."""
-    spark = docs.sparkSession
-    ship_package(spark)
-
-    def cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen, n = np.zeros(CELLS, np.int64), 0
-        for batch in batches:
-            for part in byte_slices(batch):
-                _, hashes, _ = bags(part.column("text"))
-                seen += np.bincount((hashes >> np.uint64(44)).astype(np.int64), minlength=CELLS)
-                n += part.num_rows
-        live = np.flatnonzero(seen >= max(1.0, RARE * n))
-        yield pa.RecordBatch.from_pydict({"cell": pa.array(live, pa.int64())})
-
-    live = np.zeros(CELLS, bool)
-    live[np.asarray(docs.mapInArrow(cells, "cell long").distinct().toArrow()["cell"])] = True
-    sent = spark.sparkContext.broadcast(np.packbits(live))
-
-    def count(batch: pa.RecordBatch) -> dict:
-        _, hashes, _ = bags(batch.column("text"))
-        bits = np.unpackbits(sent.value).astype(bool)
-        hashes, n = np.unique(hashes[bits[(hashes >> np.uint64(44)).astype(np.int64)]], return_counts=True)
-        return {"run": hashes.view(np.int64), "n": n}
-
-    total = docs.count()
-    counts = map_batches(docs, count, "run long, n long").groupBy("run").agg(F.sum("n").alias("n"))
-    common = counts.where(F.col("n") >= max(2, RARE * total)).orderBy(F.desc("n"), "run").limit(MAX_COMMON).toArrow()
-    return Idf(np.asarray(common["run"]).view(np.uint64), np.asarray(common["n"]) / max(1, total))
-
-
 def _draws() -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Random numbers of the sampling, by 16 hash bits, and an odd factor for each sample."""
     at = np.arange(1 << DRAWS, dtype=np.uint64)

@@ -22,8 +22,7 @@ def brute_classes(docs):
     """Smallest id of each document's class, and all pairs' similarities near the bound."""
     bags = {i: bag(t) for i, t in docs}
     held = Counter(r for b in bags.values() for r in b)
-    share = lambda r: held[r] / len(docs) if held[r] >= max(2, minhash.RARE * len(docs)) else 0
-    weight = {r: 1 + log(1 / max(share(r), minhash.RARE)) for r in held}
+    weight = {r: 1 + log(len(docs) / max(2, n)) for r, n in held.items()}
     weighted = {i: {r: c * weight[r] for r, c in b.items()} for i, b in bags.items()}
     root = {i: i for i, _ in docs}
 
@@ -93,25 +92,34 @@ def test_one_of_each_class_stays(spark, varied):
     assert ids == sorted(set(brute_classes(list(enumerate(varied))).values()))
 
 
-def test_samples_agree_as_the_similarity(spark):
+def test_samples_agree_as_the_similarity():
+    """The draws come from a table; over many pairs the agreement has no bias, at several similarities."""
     rng = np.random.default_rng(2)
-    idf = minhash.Idf(np.zeros(0, np.uint64), np.zeros(0))
-    runs = rng.integers(0, 2**63, 3000).astype(np.uint64)
-    a, b = np.sort(runs[:2200]), np.sort(runs[400:2600])
-    weight = dict(zip(runs.tolist(), rng.choice([1, 1, 1, 2, 3], 3000) * idf.rare))
-    of = lambda h: np.array([weight[x] for x in h.tolist()])
-    row = np.repeat([0, 1], [len(a), len(b)])
-    drawn = minhash.samples(row, np.concatenate([a, b]), np.concatenate([of(a), of(b)]), 2, idf.rare)
-    both = np.intersect1d(a, b)
-    expected = of(both).sum() / (of(a).sum() + of(b).sum() - of(both).sum())
-    assert abs((drawn[0] == drawn[1]).mean() - expected) < 0.2
-
-
-def test_common_runs_are_counted_exactly(spark):
-    texts = ["one two three four five six"] * 30 + [f"w{i} x{i} y{i} z{i} v{i}" for i in range(70)]
-    idf = minhash.common_runs(documents(spark, texts).select("text").repartition(3))
-    _, hashes, _ = minhash.bags(pa.array(texts[:1]))
-    assert np.allclose(idf(hashes), 1 - log(0.3)) and len(idf.hashes) == 2
+    usual, pairs, size = 6.2, 4000, 120
+    for shared in (60, 90, 110):
+        runs = rng.integers(0, 2**63, (pairs, 2 * size - shared)).astype(np.uint64)
+        weight = usual * rng.choice([1, 1, 1, 2, 3, 0.4], runs.shape)
+        rows, hashes, weights, expected = [], [], [], []
+        for i in range(pairs):
+            for part in (slice(0, size), slice(size - shared, 2 * size - shared)):
+                rows.append(np.full(size, len(rows)))
+                hashes.append(runs[i, part])
+                weights.append(weight[i, part])
+            expected.append(weight[i, size - shared : size].sum() / weight[i].sum())
+        drawn = minhash.samples(np.concatenate(rows), np.concatenate(hashes), np.concatenate(weights), 2 * pairs, usual)
+        agreed = (drawn[::2] == drawn[1::2]).mean(1)
+        assert abs(agreed.mean() - np.mean(expected)) < 0.005
+        # and spreads as that many independent samples do
+        spread = np.sqrt(np.mean((agreed - expected) ** 2)) / np.sqrt(np.mean(np.array(expected) * (1 - np.array(expected))) / minhash.SAMPLES)
+        assert 0.9 < spread < 1.1
+
+
+def test_bags_in_parts_equal_one_part(monkeypatch, varied):
+    column = pa.array([*varied, "one two " * 900], pa.string())
+    whole = minhash.bags(column)
+    monkeypatch.setattr(minhash, "TEXT_BYTES", 500)
+    for a, b, c in zip(whole, minhash.bags(column), minhash.bags(column.cast(pa.large_string()))):
+        assert np.array_equal(a, b) and np.array_equal(a, c)
 
 
 def test_empty_table(spark, tmp_path):
