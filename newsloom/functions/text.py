@@ -32,7 +32,7 @@ WHITESPACE_RUN = "[" + "".join(f"\\x{{{ord(c):x}}}" for c in WHITESPACE) + "]+"
 MARKS = "[\u0300-\u036f]"
 # The combining marks that move and compose, without the grapheme joiner
 COMBINING = "".join(chr(c) for c in range(0x300, 0x370) if unicodedata.combining(chr(c)))
-MARKED = f"[^{COMBINING}][{COMBINING}]+"
+MARKED = "[^\u0300-\u034e\u0350-\u036f][\u0300-\u034e\u0350-\u036f]+"
 
 # A comment, or a tag whose quoted attribute values may hold ">". The loop runs
 # once per quoted value, so a long value cannot exhaust the regex stack.
@@ -118,8 +118,11 @@ def lookup(table: dict[str, str]) -> Column:
     return F.str_to_map(F.lit(text), F.lit("\x02"), F.lit("\x03"))
 
 
-def replace_found(text: Column, pattern: str, value_of: Callable[[Column], Column]) -> Column:
-    """Every match of a pattern replaced by a function of it, in one pass; each different match is worked out once."""
+def replace_found(text: Column, pattern: str, sign: Callable[[Column], Column], value_of: Callable[[Column], Column]) -> Column:
+    """Every match of a pattern replaced by a function of it, in one pass; each different match is worked out once.
+
+    Texts without a ``sign``, which is quickly found and true of every text with a match, are left alone.
+    """
     def rebuilt(t: Column) -> Column:
         found = F.regexp_extract_all(t, F.lit(pattern), F.lit(0))
         gaps = F.split(t, pattern, -1)
@@ -131,7 +134,7 @@ def replace_found(text: Column, pattern: str, value_of: Callable[[Column], Colum
 
         return let(F.struct(found.alias("found"), gaps.alias("gaps")), joined)
 
-    return let(text, lambda t: F.when(t.rlike(pattern), rebuilt(t)).otherwise(t))
+    return let(text, lambda t: F.when(sign(t), rebuilt(t)).otherwise(t))
 
 
 def _composed(sequence: Column) -> Column:
@@ -165,7 +168,8 @@ def compose(text: Column) -> Column:
 
     Holds for all letters below U+2000. Only the sequences that occur in a text are worked out.
     """
-    return replace_found(text, MARKED, _composed)
+    marked = lambda t: (F.length(t) < F.octet_length(t)) & t.rlike(MARKS)
+    return replace_found(text, MARKED, marked, _composed)
 
 
 def trim_space(text: Column) -> Column:
@@ -285,7 +289,7 @@ def _referred(reference: Column) -> Column:
 
 def decode_entities(text: Column) -> Column:
     """All HTML entities, by name and number, in one pass; only those that occur in a text are looked up."""
-    return replace_found(text, ENTITY, _referred)
+    return replace_found(text, ENTITY, lambda t: F.contains(t, F.lit("&")), _referred)
 
 
 def create_slug(title: Column, max_length: int = 500) -> Column:
