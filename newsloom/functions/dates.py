@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from newsloom.functions.text import let
+
 # English month names, three letters each.
 MONTHS = ("jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov", "dec")
 
@@ -23,6 +25,12 @@ RFC2822 = (
     r"(jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec)[a-z]*\s+"
     r"(\d{4}|\d{2})\s+(\d{1,2}):(\d{1,2})(?::(\d{1,2}))?(?:\s.*)?$"
 )
+# Month before day, after a weekday or not; and the year after the time
+_MONTH = "(jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec)"
+MONTH_FIRST = rf"(?i)^\s*(?:(?:mon|tue|wed|thu|fri|sat|sun)[a-z]*,?\s+)?{_MONTH}[a-z]*\s+(\d{{1,2}}),?\s+"
+YEAR_LAST = rf"(?i)^(\d{{1,2}} {_MONTH} )(\d{{1,2}}:[\d:]+)\s+(\d{{4}})(?=\s|$)"
+# Year, dash, week, day and what follows; the day is Monday where there is none
+ISO_WEEK = r"^(\d{4})(-?)W(\d{2})(?:\2(\d))?([T ].*)?$"
 # Year, dash, month, day, hour, minute, second; time and zone are optional.
 ISO8601 = (
     r"^(\d{4})(-?)(\d{2})\2(\d{2})"
@@ -39,18 +47,33 @@ def _rewritten(text: Column, pattern: str, form: str) -> Column:
 def parse_rfc2822(text: Column) -> Column:
     """``[Tue,] 26 May 2026 08:30[:00] [zone]`` as a time without zone, else null.
 
-    Two-digit years from 69 are of the last century.
+    The month may come first, and the year last. Two-digit years from 69 are of the last century.
     """
-    form = F.lower(_rewritten(text, RFC2822, "$3-$2-$1 $4:$5:$6"))
+    day_first = F.regexp_replace(F.regexp_replace(text, MONTH_FIRST, "$2 $1 "), YEAR_LAST, "$1$4 $3")
+    form = F.lower(_rewritten(day_first, RFC2822, "$3-$2-$1 $4:$5:$6"))
     for number, name in enumerate(MONTHS, 1):
         form = F.replace(form, F.lit(name), F.lit(str(number)))
     form = F.regexp_replace(F.regexp_replace(form, "^(69|[7-9][0-9])-", "19$1-"), "^([0-9]{2})-", "20$1-")
     return F.rtrim(form, F.lit(":")).try_cast("timestamp_ntz")
 
 
+def _week_as_day(text: Column) -> Column:
+    """A week date as year, month and day, null if there is no such week; other texts as they are."""
+    def day(t: Column) -> Column:
+        part = lambda i: F.regexp_extract(t, ISO_WEEK, i)
+        year, week = part(1).try_cast("int"), part(3).try_cast("int")
+        weekday = F.coalesce(F.nullif(part(4), F.lit("")), F.lit("1")).cast("int")
+        fourth = F.make_date(F.greatest(year, F.lit(1)), F.lit(1), F.lit(4))  # is always in week 1
+        monday = F.date_add(F.date_sub(fourth, F.weekday(fourth)), 7 * (week - 1))
+        exists = (F.weekofyear(monday) == week) & weekday.between(1, 7)
+        return F.when(exists, F.concat(F.date_add(monday, weekday - 1).cast("string"), part(5)))
+
+    return F.when(text.rlike("^[0-9]{4}-?W"), let(text, day)).otherwise(text)
+
+
 def parse_iso(text: Column) -> Column:
-    """ISO 8601 date or date and time, dashed or compact, else null."""
-    form = _rewritten(F.translate(text, ",", "."), ISO8601, "$1-$3-$4 $5:$6:$7")
+    """ISO 8601 date or week date, or one of them and a time, dashed or compact, else null."""
+    form = _rewritten(F.translate(_week_as_day(text), ",", "."), ISO8601, "$1-$3-$4 $5:$6:$7")
     return F.rtrim(form, F.lit(" :")).try_cast("timestamp_ntz")
 
 

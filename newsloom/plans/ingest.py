@@ -208,11 +208,11 @@ def ingest_cycle(
 
 
 def store_of(spark: SparkSession, base: str, feeds: DataFrame, fan: int = FAN) -> Parts:
-    """The tables of a store: articles, logs, feeds as they are, and the index of stored keys."""
+    """The tables of a store: articles, logs, feeds as they are, unreadable records, and the index of stored keys."""
     cycle = StructField("cycle_id", LongType())
     return Parts(spark, base, history.TABLES | {
         "articles": Table(schemas.ARTICLE), "logs": Table(StructType([*schemas.INGESTION_LOG.fields, cycle])),
-        "feeds": Table(feeds.schema, replaced=True),
+        "feeds": Table(feeds.schema, replaced=True), "rejects": Table(schemas.REJECTED),
     }, fan)
 
 
@@ -222,11 +222,12 @@ def utc_now() -> datetime:
 
 def store_cycle(
     store: Parts, items: DataFrame, feeds: DataFrame, crawled: DataFrame, run: str, cycle_id: int,
-    *, clock: Callable[[], datetime] = utc_now, compat: bool = False,
+    *, clock: Callable[[], datetime] = utc_now, compat: bool = False, rejects: DataFrame | None = None,
 ) -> dict:
     """Run a cycle against all that is stored and commit it; gives the totals of its outcomes.
 
-    Articles, log, feeds and index are written one after the other and become visible together. A cycle that
+    Articles, log, feeds, index and ``rejects`` (records that could not be read) are written one after the other
+    and become visible together. A cycle that
     was committed before is not run again. ``feeds`` count until a cycle has stored them. Only buckets of
     the index are read that hold a key of the items. Log ids hold the number of the commit and the feed.
     """
@@ -241,6 +242,8 @@ def store_cycle(
     parts = [store.write("articles", cycle.articles, name)]
     saved = cycle.narrow.join(cycle.decided.where("outcome = 'saved'").select("item_id"), "item_id", "left_semi")
     parts += [store.write(table, rows, name) for table, rows in history.index_tables(all_digests(saved)).items()]
+    if rejects is not None:
+        parts.append(store.write("rejects", rejects.withColumn("cycle_id", F.lit(cycle_id)), name))
     completed, number = clock(), version.number + 1
     log = ingestion_log(cycle_stats(cycle.decided), feeds, completed, started).withColumns({
         "id": F.shiftleft(F.lit(number).cast("long"), 32) + F.col("feed_source_id"), "cycle_id": F.lit(cycle_id),

@@ -322,6 +322,10 @@ ORACLE: dict[str, str] = {
     "logs_page": _logs("""
         SELECT *, (SELECT count(*) FROM logs WHERE status = 'failed') AS total FROM logs
         WHERE status = 'failed' ORDER BY started_at DESC, log_id DESC LIMIT 50 OFFSET 100"""),
+    "logs_deep_page": _logs("""
+        SELECT *, (SELECT count(*) FROM logs WHERE status = 'failed') AS total FROM logs
+        WHERE status = 'failed' ORDER BY started_at DESC, log_id DESC
+        LIMIT 50 OFFSET (SELECT 2 * count(*) // 3 FROM logs WHERE status = 'failed')"""),
     "latest_log": _logs("SELECT * FROM logs ORDER BY started_at DESC, log_id DESC LIMIT 1"),
     "logs_with_feeds": with_views("""
         SELECT l.log_id, l.feed_source_id, l.status, f.name AS feed_name
@@ -450,6 +454,10 @@ ORACLE: dict[str, str] = {
     "landed_articles": _articles("""
         SELECT publish_date, source, title, content, CASE WHEN chu_de = 'fr' THEN '_unknown' ELSE chu_de END AS chu_de
         FROM articles"""),
+    "json_arrays": _articles("""
+        SELECT CAST(article_id AS VARCHAR) AS id, title, content, source, category, publish_date, category AS chu_de FROM articles"""),
+    "serving_table": _over_trending(f"""
+        SELECT ngay, nguon, chu_de, tu_khoa, CAST(so_lan_xuat_hien AS INTEGER) AS so_lan_xuat_hien, {NOW} AS created_at FROM trending"""),
     "feed_files": with_views("""
         SELECT DISTINCT feed_source_id, title, link, guid, author, published_date FROM (
             SELECT p.*, i.pub_date FROM parsed p JOIN items i ON i.item_id = p.item_id)""", "parsed", "items"),
@@ -463,5 +471,12 @@ ORACLE: dict[str, str] = {
     "stream_dedup": _articles(f"SELECT * EXCLUDE first_id FROM ({FIRST_IDS}) WHERE article_id = first_id"),
     "stream_ingest_cycle": _cycled(_stored_by("0"), FIRST_CYCLE),
     "stream_ingest_log": _cycled("SELECT *, 0 AS batch_id FROM log", FIRST_CYCLE),
+    "stream_feed_files": with_views(f"""
+        WITH landed AS (SELECT DISTINCT i.item_id % 3 AS cycle_id, i.feed_source_id, i.title, i.link, i.guid, i.author, i.pub_date,
+                               p.title IS NOT NULL AND p.link IS NOT NULL AND p.published_date IS NOT NULL AS valid
+                        FROM items i JOIN parsed p ON p.item_id = i.item_id JOIN feeds f ON f.id = i.feed_source_id WHERE is_active)
+        SELECT cycle_id, feed_source_id, count(*) FILTER (valid) AS articles_fetched, count(*) FILTER (NOT valid) AS dropped,
+               CAST(feed_source_id = 1 AS BIGINT) AS rejected
+        FROM landed GROUP BY 1, 2 HAVING count(*) FILTER (valid) > 0""", "parsed", "items", "feeds"),
     "stream_trending": _articles(TRENDING),
 }

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from datetime import datetime
 from functools import wraps
@@ -218,6 +219,15 @@ def logs_page(spark, folder):
     return serving.logs_page(V.logs(spark, folder), limit=50, offset=100, status="failed")
 
 
+@query
+def logs_deep_page(spark, folder):
+    """A page behind two thirds of the failed logs, from the stored pages."""
+    path, logs = work_folder(spark, "log_pages"), V.logs(spark, folder)
+    serving.store_log_pages(logs, path)
+    deep = 2 * logs.where("status = 'failed'").count() // 3
+    return serving.stored_logs_page(spark, path, limit=50, offset=deep, status="failed")
+
+
 @query
 def latest_log(spark, folder):
     return serving.latest_log(V.logs(spark, folder))
@@ -507,6 +517,30 @@ def landed_articles(spark, folder):
     return readers.scan_json_lines(spark, base, {f"category={c}": c for c in ("de", "en", "es", "_unknown")})[0]
 
 
+@query
+def json_arrays(spark, folder):
+    """Articles written as one JSON array a language, scanned record by record in parallel."""
+    base = work_folder(spark, "arrays")
+    names = ["id", "title", "content", "source", "category", "publish_date"]
+    rows = V.articles(spark, folder).select(F.col("article_id").cast("string").alias("id"), *names[1:])
+    lines = rows.select("category", F.to_json(F.struct(*names)).alias("line"))
+    heads = lines.groupBy("category").agg(F.min("line").alias("head"))
+    mark = F.when(F.col("line") == F.col("head"), "[").otherwise(",")
+    body = lines.join(heads, "category").select("category", F.concat(mark, "line").alias("value"), (F.col("line") != F.col("head")).cast("int").alias("order"))
+    body = body.unionByName(heads.select("category", F.lit("]").alias("value"), F.lit(2).alias("order")))
+    body.repartition("category").sortWithinPartitions("category", "order").drop("order").write.partitionBy("category").text(base)
+    found = readers.scan_json_array(spark, base, {f"category={c}": c for c in V.LANGUAGES})[0]
+    return found.select(*names, "chu_de")
+
+
+@query
+def serving_table(spark, folder):
+    """The result as the serving table, each row with its creation time."""
+    name = f"trending_{uuid.uuid4().hex}"
+    writers.publish_serving_table(_trending(spark, folder), name, V.BATCH_TIME)
+    return spark.table(name)
+
+
 @query
 def feed_files(spark, folder):
     """Items written as feed files, one folder per feed, and scanned again."""
@@ -576,6 +610,12 @@ def stream_ingest_cycle(spark, folder):
     return S.run_cycles(spark, folder, _crawled(spark, folder))
 
 
+@query
+def stream_feed_files(spark, folder):
+    """Feed files landed in three turns, taken in as a stream."""
+    return S.run_feed_log(spark, folder)
+
+
 @query
 def stream_trending(spark, folder):
     return S.run_trending(spark, folder)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -59,6 +59,54 @@ def logs_page(
     return page.withColumn("total", total)
 
 
+def store_log_pages(logs: DataFrame, path: str) -> None:
+    """Logs for paging: range partitioned, newest first, with an index of the rows of every part.
+
+    The index counts a part's rows by feed and status, so a page finds its parts, and the total of any
+    filter, without a look at the logs.
+    """
+    order = [F.desc("started_at"), F.desc("log_id")]
+    parts = logs.repartitionByRange(*order).withColumn("part", F.spark_partition_id())
+    parts.sortWithinPartitions(*order).write.mode("overwrite").partitionBy("part").parquet(f"{path}/logs")
+    stored = logs.sparkSession.read.parquet(f"{path}/logs")
+    index = stored.groupBy("part", "feed_source_id", "status").agg(F.count("*").alias("n"), F.min("started_at").alias("oldest"))
+    index.coalesce(1).write.mode("overwrite").parquet(f"{path}/index")
+
+
+def stored_logs_page(
+    spark: SparkSession, path: str, limit: int = 50, offset: int = 0, feed_source_id: int | None = None, status: str | None = None,
+    after: tuple | None = None,
+) -> DataFrame:
+    """A page of ``store_log_pages``, newest first, with the total of the filter in ``total``.
+
+    Only the parts that hold rows of the page are read, however deep it is; there are ``limit`` at most, and
+    their numbers come to the driver. ``after`` (started_at, log_id of the last row seen) goes on from there:
+    rows that came meanwhile do not move the page.
+    """
+    if not 1 <= limit <= 1000 or offset < 0:
+        raise ValueError("limit must be 1 to 1000 and offset 0 or more")
+    if offset and after is not None:
+        raise ValueError("a page begins at an offset or after a row")
+    index, logs = spark.read.parquet(f"{path}/index"), filter_logs(spark.read.parquet(f"{path}/logs"), feed_source_id, status)
+    counts = filter_logs(index, feed_source_id, status).groupBy("part").agg(F.sum("n").alias("n"))
+    total = counts.agg(F.coalesce(F.sum("n"), F.lit(0))).scalar()
+    parts, skipped = [], 0
+    if after is not None:
+        at, log_id = F.lit(after[0].isoformat(sep=" ")).cast("timestamp_ntz"), F.lit(after[1])
+        logs = logs.where((F.col("started_at") < at) | ((F.col("started_at") == at) & (F.col("log_id") < log_id)))
+        first = index.where(F.col("oldest") <= at).agg(F.min("part")).first()[0]
+        if first is not None:
+            parts, counts = [first], counts.where(F.col("part") > first)
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # one row a part
+    placed = counts.withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0)))
+    found = placed.where((F.col("before") < offset + limit) & (F.col("before") + F.col("n") > offset)).collect()
+    if after is None:
+        skipped = min((r.before for r in found), default=0)
+    rows = logs.where(F.col("part").isin([*parts, *(r.part for r in found)])).drop("part")
+    page = rows.orderBy(F.desc("started_at"), F.desc("log_id")).offset(offset - skipped).limit(limit)
+    return page.withColumn("total", total)
+
+
 def latest_log(logs: DataFrame) -> DataFrame:
     return logs.orderBy(F.desc("started_at"), F.desc("log_id")).limit(1)
 

@@ -56,3 +56,7 @@ TRENDING = T.StructType([
     T.StructField("tu_khoa", T.StringType(), nullable=False),
     T.StructField("so_lan_xuat_hien", T.LongType(), nullable=False),
 ])
+
+REJECTED = T.StructType([
+    T.StructField("feed_source_id", T.IntegerType()), *_strings("path", "record"), T.StructField("cycle_id", T.LongType()),
+])

@@ -5,9 +5,9 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from newsloom import schemas
 from newsloom.functions import text as T
@@ -52,19 +52,63 @@ def scan_json_lines(
     return rows.where(F.col(CORRUPT).isNull()).drop(CORRUPT), skipped
 
 
+def json_array_records(spark: SparkSession, path: str) -> DataFrame:
+    """file, number and record (JSON text) of the objects in files that hold one array each.
+
+    A file is read in blocks by many tasks, cut at every closing brace. Whether a brace is one of a record or
+    stands in a string or inside another object is told by the quotes and braces before it: each block's sums are
+    carried over to the next ones, one row a block, and inside a block they are running sums. Text
+    between a record and the next is dropped, so a broken record is returned as it is.
+    """
+    pieces = spark.read.option("lineSep", "}").text(path).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+        F.col("_metadata.file_size").alias("size"), F.monotonically_increasing_id().alias("at"), F.col("value").alias("piece"),
+    )
+    # the last piece of a file has a brace behind it only if the bytes say so
+    read = F.sum(F.octet_length("piece") + 1) == F.max("size")
+    files = pieces.groupBy("file").agg(F.max(F.struct("block", "at")).alias("last"), read.alias("whole"))
+    closed = (F.struct("block", "at") != F.col("last")) | F.col("whole")
+    pieces = pieces.join(files, "file").withColumn("closed", closed).drop("size", "last", "whole")
+    bare = F.regexp_replace("piece", r"\\.", "")  # without escaped characters
+    pieces = pieces.withColumn("quotes", F.regexp_count(bare, F.lit('"')) % 2)
+    pieces = _carried(pieces, "quotes", "quoted")
+    # a piece that begins inside a string gets the quote that is missing; then strings go
+    whole = F.concat(F.when(F.col("quoted") % 2 == 1, '"').otherwise(""), F.regexp_replace("piece", r"\\.", ""))
+    outside = F.regexp_replace(whole, '"[^"]*("|$)', "")
+    inside_string = (F.col("quoted") + F.col("quotes")) % 2 == 1
+    depth = F.regexp_count(outside, F.lit("[{]")) - F.when(inside_string | ~F.col("closed"), 0).otherwise(1)
+    pieces = _carried(pieces.withColumn("step", depth).withColumn("open", inside_string), "step", "depth")
+    # a record ends where the braces are even again
+    ends = (F.col("closed") & ~F.col("open") & (F.col("depth") + F.col("step") <= 0)).cast("int")
+    pieces = _carried(pieces.withColumn("ends", ends), "ends", "record_no")
+    text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("at", "piece"))), lambda p: p["piece"]), "}")
+    records = pieces.groupBy("file", "record_no").agg(text.alias("text"), F.max("ends").alias("ended"))
+    body = F.regexp_replace(F.col("text"), r"(?s)^[\s,\[\]]+", "")
+    records = records.select("file", F.col("record_no").alias("number"), body.alias("body"), "ended").where("body <> '' or ended = 1")
+    return records.select("file", "number", F.concat("body", F.when(F.col("ended") == 1, "}").otherwise("")).alias("record"))
+
+
+def _carried(pieces: DataFrame, value: str, name: str) -> DataFrame:
+    """The sum of ``value`` over the pieces of the file before each one, as ``name``."""
+    earlier = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = pieces.groupBy("file", "block").agg(F.sum(value).alias("_sum"))
+    blocks = blocks.select("file", "block", F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_before"))
+    inside = Window.partitionBy("file", "block").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
+    rows = pieces.withColumn("_inside", F.coalesce(F.sum(value).over(inside), F.lit(0))).join(blocks, ["file", "block"])
+    return rows.withColumn(name, F.col("_before") + F.col("_inside")).drop("_before", "_inside")
+
+
 def scan_json_array(
     spark: SparkSession, base: str, folders: dict[str, str] | None = None, keep_corrupt: bool = False
 ) -> tuple[DataFrame, list[str]]:
-    """The same for files that hold one JSON array; the category comes from the record.
+    """The same for files that hold one JSON array, however large; the category comes from the record.
 
     ``keep_corrupt`` returns the unreadable records, in ``_corrupt_record``, instead of the articles.
     """
     schema = StructType([*schemas.RAW_ARTICLE_ARRAY.fields, StructField(CORRUPT, StringType())])
-    reader = (
-        spark.read.schema(schema).option("multiLine", True).option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", CORRUPT)
-    )
-    rows, skipped = _scan_folders(reader.json, base, folders or FOLDERS)
+    parsed = F.from_json("record", schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
+    read = lambda path: json_array_records(spark, path).select(parsed.alias("r")).select("r.*")
+    rows, skipped = _scan_folders(read, base, folders or FOLDERS)
     if keep_corrupt:
         return rows.where(F.col(CORRUPT).isNotNull()), skipped
     clean = rows.where(F.col(CORRUPT).isNull()).drop("chu_de", CORRUPT)
@@ -78,10 +122,33 @@ def scan_rss_items(spark: SparkSession, base: str) -> DataFrame:
     equal items of one feed share it and count as one.
     """
     rows = spark.read.format("xml").option("rowTag", "item").schema(schemas.RSS_ITEM).load(base)
+    return _raw_items(rows).dropDuplicates(["item_id"])
+
+
+def _raw_items(rows: DataFrame) -> DataFrame:
     rows = rows.withColumnsRenamed({"pubDate": "pub_date", "slash:comments": "comments"})
     feed = [c for c in rows.columns if c == "feed_source_id"]
     content = [F.coalesce(c, F.lit("\0")) for c in ("title", "link", "description", "guid", "pub_date", "author", "comments")]
-    return rows.withColumn("item_id", F.xxhash64(*feed, *content)).dropDuplicates(["item_id"])
+    return rows.withColumn("item_id", F.xxhash64(*feed, *content))
+
+
+def stream_rss_items(spark: SparkSession, base: str, max_files: int | None = None) -> DataFrame:
+    """The items of feed files that land under ``base/feed_source_id=N/``, as a stream.
+
+    A record that is no XML comes with its text in ``_corrupt_record``; ``path`` is the file it is from. A
+    file that repeats an item gives it again: ``new_items`` drops copies inside a batch.
+    """
+    schema = StructType([*schemas.RSS_ITEM.fields, StructField(CORRUPT, StringType()), StructField("feed_source_id", IntegerType())])
+    reader = spark.readStream.format("xml").schema(schema).option("rowTag", "item").option("columnNameOfCorruptRecord", CORRUPT)
+    rows = (reader.option("maxFilesPerTrigger", str(max_files)) if max_files else reader).load(base)
+    return _raw_items(rows.withColumn("path", F.col("_metadata.file_path")))
+
+
+def rss_batch(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The items of a batch of ``stream_rss_items``, each once, and its unreadable records."""
+    broken = F.col(CORRUPT).isNotNull()
+    items = rows.where(~broken).drop(CORRUPT, "path").dropDuplicates(["item_id"])
+    return items, rows.where(broken).select("feed_source_id", "path", F.col(CORRUPT).alias("record"))
 
 
 def load_stopwords(spark: SparkSession, path: str) -> DataFrame:

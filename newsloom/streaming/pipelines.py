@@ -20,6 +20,7 @@ from newsloom.operators.dedup import KEY, with_key
 from newsloom.plans import ingest
 from newsloom.plans import views as V
 from newsloom.session import ensure_checkpoint_dir, work_folder
+from newsloom.sources import readers
 from newsloom.sources.parts import FAN, Parts, Table, run_name
 
 
@@ -164,6 +165,44 @@ def cycle_writer(
     return handle
 
 
+def feed_cycle_writer(
+    store: Parts, feeds: DataFrame, crawled: DataFrame, run: str, clock: Callable[[], datetime] = ingest.utc_now,
+) -> Callable[[DataFrame, int], None]:
+    """One ingest cycle per micro-batch of feed files; records that are no XML go to the store's ``rejects``."""
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        rows = batch.checkpoint()  # the files are read once for items and rejects
+        items, rejects = readers.rss_batch(rows)
+        ingest.store_cycle(store, items, feeds, crawled, run_of(store.spark, run), batch_id, clock=clock, rejects=rejects)
+
+    return handle
+
+
+def run_feed_files(spark: SparkSession, folder: str, landings: int = 3) -> Parts:
+    """The items of the documents, landed as feed files in several turns with a broken record each, and taken in as
+    a stream that is started after each landing."""
+    ensure_checkpoint_dir(spark)
+    out, feeds = work_folder(spark, "feed_files"), V.feeds(spark, folder)
+    store, nothing = ingest.store_of(spark, f"{out}/store", feeds), spark.createDataFrame([], "url string, content string")
+    named = F.col("pub_date").alias("pubDate")
+    items = V.items(spark, folder).select("item_id", "feed_source_id", "title", "link", "guid", "author", named)
+    handle = feed_cycle_writer(store, feeds, nothing, f"{out}/checkpoint")
+    for turn in range(landings):
+        rows = items.where(F.pmod("item_id", F.lit(landings)) == turn).drop("item_id")
+        rows.write.mode("append").format("xml").option("rootTag", "channel").option("rowTag", "item").partitionBy("feed_source_id").save(f"{out}/landed")
+        broken = spark.createDataFrame([(f"<channel><item><title>broken {turn}</title><link></item></channel>", 1)], "value string, feed_source_id int")
+        broken.write.mode("append").partitionBy("feed_source_id").text(f"{out}/landed")
+        _run(readers.stream_rss_items(spark, f"{out}/landed"), handle, out)
+    return store
+
+
+def run_feed_log(spark: SparkSession, folder: str) -> DataFrame:
+    """What each landing of feed files brought, by feed, with the unreadable records."""
+    store = run_feed_files(spark, folder)
+    bad = store.read("rejects").groupBy("cycle_id", "feed_source_id").agg(F.count("*").alias("rejected"))
+    logs = store.read("logs").where("status = 'success'").join(bad, ["cycle_id", "feed_source_id"], "left")
+    return logs.select("cycle_id", "feed_source_id", "articles_fetched", "dropped", F.coalesce("rejected", F.lit(0)).alias("rejected"))
+
+
 def _run_cycles(spark: SparkSession, folder: str, crawled: DataFrame) -> Parts:
     out, now = work_folder(spark, "cycles"), datetime.fromisoformat(V.BATCH_TIME)
     feeds = V.feeds(spark, folder)

@@ -71,3 +71,19 @@ def test_format_day(spark):
 def test_elapsed_ms(spark):
     df = spark.sql("select timestamp_ntz'2026-01-01 00:00:00' a, timestamp_ntz'2026-01-01 00:00:01.5' b")
     assert df.select(D.elapsed_ms(F.col("a"), F.col("b"))).first()[0] == 1500
+
+
+def test_week_dates_equal_the_standard_library(spark):
+    weeks = [f"{y}{d}W{w:02d}{tail}" for y in (1999, 2004, 2009, 2015, 2020, 2024, 2026) for d in ("", "-") for w in (0, 1, 9, 52, 53, 54)
+             for tail in ("", f"{d}1", f"{d}5", f"{d}7", f"{d}0", f"{d}8")]
+    weeks += ["2024-W09-5T10:30", "2024W095T103000", "2024-W09T08:00:00Z", "2024-W9-5", "W09", "2024-W09-", "Wed"]
+    assert run(spark, weeks, D.parse_iso) == [stdlib_iso(v) for v in weeks]
+    assert any(run(spark, weeks, D.parse_iso))
+
+
+def test_month_first_dates_equal_the_standard_library(spark):
+    dates = [f"{day}{month} {d}{comma} {rest}" for day in ("", "Tue, ", "Tue ") for month in ("May", "dec") for d in (1, 26)
+             for comma in ("", ",") for rest in ("2026 08:30:00", "2026 08:30:00 +0700", "08:30:00 2026", "2026 8:30")]
+    dates += ["May 2026 08:30:00", "Foo 26 2026 08:30:00", "May 32 2026 08:30:00"]
+    assert run(spark, dates, D.parse_rfc2822) == [stdlib_rfc(v) for v in dates]
+    assert all(run(spark, dates[:-3], D.parse_rfc2822))

@@ -1,4 +1,6 @@
 import json
+import random
+import re
 from datetime import datetime
 
 import pytest
@@ -6,7 +8,7 @@ from pyspark.sql import functions as F
 
 from newsloom import schemas
 from newsloom.operators import keywords as K
-from newsloom.plans import ingest
+from newsloom.plans import ingest, serving
 from newsloom.sources import readers, seeds, writers
 
 LINE = {"publish_date": "2026-05-26", "source": "bao1", "title": "Tin mới", "content": "phim mới"}
@@ -57,6 +59,59 @@ def feed_items(spark, tmp_path):
     return items.withColumn("item_id", F.monotonically_increasing_id())
 
 
+def test_large_json_arrays_are_read_in_blocks(spark, tmp_path):
+    """Braces, quotes and backslashes in strings, nested objects, a broken record; many blocks of few bytes."""
+    rng = random.Random(3)
+    words = ['"', "\\", "}", "{", "},", '\\"}', "[", "],", "\n", "é", "plain", ",", '{"a": 1}']
+    texts = ["".join(rng.choice(words) for _ in range(rng.randrange(12))) for _ in range(400)]
+    records = [{"id": str(i), "title": t, "content": t * 2, "nested": {"a": {"b": t}}} if i % 5 == 0 else {"id": str(i), "title": t, "content": t * 2} for i, t in enumerate(texts)]
+    (tmp_path / "giai_tri").mkdir()
+    (tmp_path / "giai_tri" / "a.json").write_text(json.dumps(records, ensure_ascii=False, indent=1))
+    (tmp_path / "giai_tri" / "b.json").write_text(json.dumps(records[:3]).replace('"id": "1"', '"id" "1"'))
+    (tmp_path / "giai_tri" / "empty.json").write_text("[]")
+    keys = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+    before = [spark.conf.get(k) for k in keys]
+    for k in keys:
+        spark.conf.set(k, "700")
+    try:
+        assert readers.json_array_records(spark, str(tmp_path / "giai_tri")).count() == 403
+        blocks = spark.read.option("lineSep", "}").text(str(tmp_path / "giai_tri")).rdd.getNumPartitions()
+        articles, _ = readers.scan_json_array(spark, str(tmp_path))
+        got = sorted((int(r.id), r.title, r.content) for r in articles.collect())
+        corrupt = readers.scan_json_array(spark, str(tmp_path), keep_corrupt=True)[0].collect()
+    finally:
+        for k, v in zip(keys, before):
+            spark.conf.set(k, v)
+    assert blocks > 20
+    assert got == sorted([(i, t, t * 2) for i, t in enumerate(texts)] + [(i, texts[i], texts[i] * 2) for i in (0, 2)])
+    assert len(corrupt) == 1 and '"id" "1"' in corrupt[0][readers.CORRUPT]
+
+
+def test_stored_pages_equal_the_query(spark, tmp_path, capsys):
+    logs = spark.range(3000).select(
+        F.col("id").alias("log_id"), (F.col("id") % 7).cast("int").alias("feed_source_id"),
+        F.when(F.col("id") % 3 == 0, "failed").otherwise("success").alias("status"),
+        F.timestamp_add("SECOND", (F.col("id") * 37) % 991, F.lit("2026-01-01").cast("timestamp_ntz")).alias("started_at"),
+    )
+    adaptive = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(adaptive, "false")
+    try:
+        serving.store_log_pages(logs, str(tmp_path))
+    finally:
+        spark.conf.set(adaptive, "true")
+    keys = lambda df: [(r.started_at, r.log_id, r.total) for r in df.collect()]
+    for offset, feed, status in ((0, None, None), (37, 3, None), (990, None, "failed"), (2970, None, None), (5000, None, None), (60, 2, "failed")):
+        own = serving.stored_logs_page(spark, str(tmp_path), 50, offset, feed, status)
+        assert keys(own) == keys(serving.logs_page(logs, 50, offset, feed, status))
+    every = keys(serving.logs_page(logs, 1000, 0, 3, "success"))
+    seen, last = [], None
+    while page := keys(serving.stored_logs_page(spark, str(tmp_path), 60, 0, 3, "success", after=last)):
+        seen, last = seen + page, page[-1][:2]
+    assert seen == every
+    serving.stored_logs_page(spark, str(tmp_path), 10, 2500).explain()
+    assert re.search(r"PartitionFilters: \[[^]]*part#\d+ (= \d+|IN \([\d,]+\))", capsys.readouterr().out)
+
+
 def test_scan_rss_items(spark, tmp_path):
     items = feed_items(spark, tmp_path)
     assert items.count() == 5

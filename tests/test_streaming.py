@@ -8,6 +8,7 @@ from newsloom.functions import text as T
 from newsloom.operators import dedup
 from newsloom.operators import keywords as K
 from newsloom.plans import ingest
+from newsloom.sources import readers
 from newsloom.sources.parts import Parts, Table
 from newsloom.streaming import pipelines as S
 
@@ -227,3 +228,21 @@ def test_a_cycle_that_dies_leaves_nothing_visible(spark, tmp_path, feeds, crawle
     handle(spark.createDataFrame(FILES[1], SCHEMA), 1)
     assert sorted(r.link for r in store.read("articles").collect()) == ["http://x/1", "http://x/2", "http://x/6"]
     assert sorted(r.id for r in store.read("articles").collect()) == [1, 2, 3]
+
+
+def test_feed_files_as_a_stream(spark, tmp_path, feeds, crawled):
+    """Files landed in two turns: items once each, unreadable records set aside, a store that goes on."""
+    out, base = str(tmp_path / "out"), tmp_path / "landed"
+    item = lambda n: f"<item><title>T {n}</title><link>http://x/{n}</link><pubDate>2026-05-2{n}</pubDate></item>"
+    store = ingest.store_of(spark, out + "/store", feeds)
+    for turn, bodies in enumerate(({0: item(1) + item(1) + item(2), 1: item(3) + "<item><title>broken</link></item>"}, {0: item(2) + item(4), 9: item(5)})):
+        for feed, body in bodies.items():
+            folder = base / f"feed_source_id={feed}"
+            folder.mkdir(parents=True, exist_ok=True)
+            (folder / f"{turn}.xml").write_text(f"<rss><channel>{body}</channel></rss>")
+        finish(S.run_batches(readers.stream_rss_items(spark, str(base)), S.feed_cycle_writer(store, feeds, crawled, out + "/c"), out + "/c"))
+    assert sorted(r.link for r in store.read("articles").collect()) == [f"http://x/{n}" for n in (1, 2, 3, 4)]
+    rejects = store.read("rejects").collect()
+    assert len(rejects) == 1 and "broken" in rejects[0].record and rejects[0].path.endswith("feed_source_id=1/0.xml")
+    logs = {(r.cycle_id, r.feed_source_id): (r.articles_fetched, r.articles_saved, r.duplicates_found) for r in store.read("logs").collect()}
+    assert logs[0, 0] == (2, 2, 0) and logs[1, 0] == (2, 1, 1) and logs[1, 1] == (0, 0, 0)
