@@ -2,11 +2,20 @@
 
 from __future__ import annotations
 
-from newsloom.functions import text as T
-from newsloom.functions.html import ARTICLE, NOISE
-from newsloom.operators.quality import REQUIRED, WIDTHS
 from newsloom.plans.views import BATCH_TIME, LANGUAGES, STOPWORDS, with_views
 
+# Written from the specification, apart from the engine's own constants.
+LETTERS = "àáảãạăằắẳẵặâầấẩẫậđèéẻẽẹêềếểễệìíỉĩịòóỏõọôồốổỗộơờớởỡợùúủũụưừứửữựỳýỷỹỵ"
+TONES = [
+    (old + plain, new_first + new) for first, plain, new_first, news in (
+        ("òóỏõọ", "a", "o", "àáảãạ"), ("òóỏõọ", "e", "o", "èéẻẽẹ"), ("ùúủũụ", "y", "u", "ỳýỷỹỵ"),
+    ) for old, new in zip(first, news)
+]
+NOISE = "(?is)<!--.*?-->|<script.*?</script>|<style.*?</style>"
+ARTICLE = "(?is)<article[ >].*?</article>"
+WIDTHS = {"title": 500, "slug": 500, "link": 500, "guid": 500, "author": 255}
+REQUIRED = ("title", "slug", "link", "published_date")
+
 NOW = f"TIMESTAMP '{BATCH_TIME}'"
 # White space after the Unicode standard, apart from the engine's own list
 SPACE_CODES = (9, 10, 11, 12, 13, 28, 29, 30, 31, 32, 133, 160, 5760, *range(8192, 8203), 8232, 8233, 8239, 8287, 12288)
@@ -38,7 +47,7 @@ def _tokens(text: str) -> str:
 
 
 def _words(text: str) -> str:
-    return f"string_split_regex({text}, '{T.NON_WORD}')"
+    return f"string_split_regex({text}, '[^a-zA-Z0-9_{LETTERS}]+')"
 
 
 def _keyword(token: str, length: int = 2, stopwords=STOPWORDS) -> str:
@@ -281,7 +290,7 @@ ORACLE: dict[str, str] = {
         SELECT article_id, coalesce(source, '') AS source, coalesce(content, '') AS content
         FROM articles WHERE coalesce(content, '') <> ''"""),
     "clean_text": _articles(f"""
-        SELECT article_id, regexp_replace(lower(nfc_normalize({FULL})), '[^{T.WORD_CHARS}\\s]', ' ', 'g') AS full_text
+        SELECT article_id, regexp_replace(lower(nfc_normalize({FULL})), '[^a-zA-Z0-9_{LETTERS}\\s]', ' ', 'g') AS full_text
         FROM articles"""),
     "tokenize": _articles(f"""
         SELECT article_id, CAST(len(t) AS INTEGER) AS n_tokens, array_to_string(t, ' ') AS tokens
@@ -302,7 +311,7 @@ ORACLE: dict[str, str] = {
         FROM (SELECT token, count(*) AS n
               FROM (SELECT unnest({_tokens('content')}) AS token FROM articles) GROUP BY 1)
         GROUP BY 1"""),
-    "normalize_tone": _articles(f"SELECT article_id, {_replaced('content', T.TONE_PAIRS)} AS content FROM articles"),
+    "normalize_tone": _articles(f"SELECT article_id, {_replaced('content', TONES)} AS content FROM articles"),
     "merge_phrases": _articles(PHRASES),
     # Serving
     "keywords_per_category": _over_trending("SELECT chu_de, count(*) AS so_luong_tu_khoa FROM trending GROUP BY 1"),

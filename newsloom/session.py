@@ -22,6 +22,7 @@ def build_session(app_name: str = "newsloom", **settings: str) -> SparkSession:
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config(
             "spark.sql.streaming.stateStore.providerClass",
             "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
@@ -33,7 +34,7 @@ def build_session(app_name: str = "newsloom", **settings: str) -> SparkSession:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder of ``spark.checkpoint.dir``; a local one only where it is unset."""
+    """The shared folder of ``spark.checkpoint.dir``; where it is unset, a local run uses one in its warehouse."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     context = spark.sparkContext
     if not folder:
@@ -41,7 +42,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not folder:
         if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        folder = tempfile.mkdtemp(prefix="newsloom-")
+        folder = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_newsloom"
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(folder)
     return folder
