@@ -6,8 +6,9 @@ array of window hashes goes to all tasks; documents are scanned batch by batch w
 rolling hashes, and each hash hit is verified on the words themselves.
 
 The items are sent in slices of about ``SLICE_BYTES`` of text each, by the measured size of
-the benchmark, and a document passes through one scan per slice: nothing larger is ever
-broadcast, and there is no shuffle at all.
+the benchmark, and a document passes through one scan per slice. Between two slices the scanned documents are
+written to the shared folder and the broadcast is released, so the driver and the tasks hold one slice at
+a time. There is no shuffle at all.
 
 Edge cases: a null or empty document has no words and no hits; a null or empty item has no
 window; items with equal windows all count; an item without an id marks words but
@@ -20,13 +21,14 @@ from __future__ import annotations
 
 import hashlib
 import pickle
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from newsloom.llm.arrays import Words, map_batches, ranges, text_of, utf8
+from newsloom.llm.arrays import Words, map_batches, ranges, text_of, utf8, written
 
 SIZE = 13
 SLICE_BYTES = 8 << 20
@@ -96,14 +98,15 @@ def _index(data: bytes, size: int) -> WindowIndex:
     return _workers[key]
 
 
-def _slices(benchmark: DataFrame, slice_bytes: int) -> list[bytes]:
-    """The distinct items in slices of about ``slice_bytes``, each of which may be broadcast."""
+def _slices(benchmark: DataFrame, slice_bytes: int) -> Iterator[tuple[bytes, bool]]:
+    """The distinct items in slices of about ``slice_bytes``, each of which may be broadcast, and whether it is the last."""
     items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), text_of().alias("text")).where("text <> ''").distinct()
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    count = -(-total // slice_bytes)
-    part = F.pmod(F.xxhash64("text", "item_id"), F.lit(max(1, count)))
-    slices = (items.where(part == i).collect() for i in range(count))
-    return [pickle.dumps(sorted(((r.item_id, r.text) for r in rows), key=lambda x: (x[0] or "", x[1]))) for rows in slices]
+    count = max(1, -(-total // slice_bytes))
+    part = F.pmod(F.xxhash64("text", "item_id"), F.lit(count))
+    for i in range(count):
+        rows = items.where(part == i).collect()
+        yield pickle.dumps(sorted(((r.item_id, r.text) for r in rows), key=lambda x: (x[0] or "", x[1]))), i == count - 1
 
 
 def scan(
@@ -118,8 +121,12 @@ def scan(
         kept, text_of().alias("text"), F.lit(0).alias("n_words"), none.alias("hit_words"), none.alias("hit_bytes"),
         F.array().cast("array<string>").alias("items"),
     )
-    for data in _slices(benchmark, slice_bytes) or [pickle.dumps([])]:
-        df = map_batches(df, _scanner(context.broadcast(data), size), df.schema)
+    for data, last in _slices(benchmark, slice_bytes):
+        sent = context.broadcast(data)
+        df = map_batches(df, _scanner(sent, size), df.schema)
+        if not last:
+            df = written(df, docs.sparkSession, "scanned")
+            sent.unpersist()
     return df.select("kept.*", "n_words", "hit_words", "hit_bytes", "items")
 
 

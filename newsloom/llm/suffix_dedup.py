@@ -1,4 +1,6 @@
-"""Operator 1: repeated substrings by distributed prefix doubling over sampled positions.
+"""Operator 1: repeated substrings by fingerprints of growing strings at sampled positions.
+
+This stands in for prefix doubling: no pairs of ranks are sorted, names are hashes of longer strings (see README).
 
 Wanted is every byte inside a string of ``length`` bytes that also starts elsewhere. Ranking
 every byte position at every doubling would move many times the input, so the ranked

@@ -7,8 +7,9 @@ endings, or marks between its letters still shares most of its subsequences.
 The machine is linear in the Nyström features of a set of landmark words, so its
 decision is one weight per subsequence of the landmarks: a fixed table that goes to all tasks.
 
-Training sentences come from labelled documents. Words that occur in far more toxic than
-clean documents mark the toxic sentences; words of clean sentences are the other side.
+The machine is trained on single words of labelled documents: those that occur in far more toxic than
+clean documents against words of clean documents. No subsequence crosses a space, so an insult of several ordinary
+words is not learned.
 A sentence scores as its highest word, a document by its two highest words, by
 how many sentences score high and by its length, through a logistic curve fitted on the
 same training documents. At most ``labelled.MAX_LABELLED`` documents, ``MAX_WORDS``
