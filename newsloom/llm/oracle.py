@@ -154,4 +154,41 @@ PREFIX_TRIE = f"""
            below.leaves AS n_leaves, CAST(below.saved AS BIGINT) AS saved_tokens, x.ends_sha256
     FROM nodes x LEFT JOIN nodes p ON p.k = x.parent LEFT JOIN children ON children.k = x.k JOIN below ON below.k = x.k"""
 
-ORACLE = {"op11_prefix_trie": PREFIX_TRIE, "op12_periodic_runs": PERIODIC_RUNS, "op13_host_rules": HOST_RULES, "op3_decontamination": DECONTAMINATION, "op6_sentence_spans": SENTENCE_SPANS, "op8_hnsw": NEAR_VECTORS}
+# Bytes as pairs of hexadecimal digits, since substrings count characters
+SUFFIX_DEDUP = """
+    WITH texts AS (SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS x,
+                          CAST(octet_length(encode(coalesce(text, ''))) AS BIGINT) AS n FROM documents),
+    windows AS (SELECT r, i, md5_number(substr(x, CAST(2 * i + 1 AS BIGINT), 800)) AS w
+                FROM (SELECT r, x, unnest(range(n - 399)) AS i FROM texts WHERE n >= 400)),
+    repeated AS (SELECT w FROM windows GROUP BY w HAVING count(*) > 1),
+    starts AS (SELECT r, i, i > coalesce(lag(i) OVER (PARTITION BY r ORDER BY i) + 400, -1) AS new
+               FROM windows WHERE w IN (SELECT w FROM repeated)),
+    numbered AS (SELECT r, i, sum(CAST(new AS INT)) OVER (PARTITION BY r ORDER BY i) AS k FROM starts),
+    spans AS (SELECT r, k, min(i) AS a, max(i) + 400 AS b FROM numbered GROUP BY r, k),
+    edges AS (SELECT r, a, b, coalesce(lag(b) OVER (PARTITION BY r ORDER BY a), 0) AS before FROM spans),
+    pieces AS (SELECT r, before AS a, a AS b FROM edges UNION ALL SELECT r, max(b), NULL FROM spans GROUP BY r),
+    kept AS (SELECT r, string_agg(substr(x, 2 * p.a + 1, 2 * (coalesce(p.b, n) - p.a)), '' ORDER BY p.a) AS y
+             FROM pieces p JOIN texts USING (r) GROUP BY r),
+    counts AS (SELECT r, sum(b - a) AS removed, count(*) AS spans FROM spans GROUP BY r)
+    SELECT doc_id, n AS n_bytes, CAST(coalesce(removed, 0) AS BIGINT) AS n_removed, coalesce(spans, 0) AS n_spans,
+           sha256(unhex(coalesce(y, x))) AS kept_sha256
+    FROM texts LEFT JOIN counts USING (r) LEFT JOIN kept USING (r)"""
+
+NEAR_DUPLICATES = f"""
+    WITH RECURSIVE texts AS (SELECT doc_id, coalesce(text, '') AS t, {_words("coalesce(text, '')")} AS w FROM documents),
+    runs AS (SELECT doc_id, g, count(*) AS c FROM (
+        SELECT doc_id, unnest([array_to_string(w[i:i + 4], ' ') FOR i IN range(1, greatest(len(w) - 3, 2))]) AS g FROM texts WHERE len(w) > 0)
+        GROUP BY ALL),
+    held AS (SELECT g, count(*) AS n FROM runs GROUP BY g),
+    weighed AS (SELECT doc_id, g, n, c * (1 + ln((SELECT count(*) FROM documents) / greatest(n, 2))) AS v FROM runs JOIN held USING (g)),
+    totals AS (SELECT doc_id, sum(v) AS v FROM weighed GROUP BY doc_id),
+    shared AS (SELECT a.doc_id AS a, b.doc_id AS b, sum(least(a.v, b.v)) AS v
+               FROM weighed a JOIN weighed b ON a.g = b.g AND a.doc_id < b.doc_id WHERE a.n > 1 GROUP BY 1, 2),
+    near AS (SELECT s.a, s.b FROM shared s JOIN totals x ON x.doc_id = s.a JOIN totals y ON y.doc_id = s.b
+             WHERE s.v >= 0.8 * (x.v + y.v - s.v) * (1 - 1e-12)
+             UNION SELECT first, doc_id FROM (SELECT doc_id, min(doc_id) OVER (PARTITION BY t) AS first FROM texts) WHERE first < doc_id),
+    links AS (SELECT a, b FROM near UNION ALL SELECT b, a FROM near),
+    reached AS (SELECT doc_id AS a, doc_id AS b FROM texts UNION SELECT r.a, l.b FROM reached r JOIN links l ON l.a = r.b)
+    SELECT a AS doc_id, min(b) AS class_id, a = min(b) AS kept FROM reached GROUP BY a"""
+
+ORACLE = {"op1_suffix_dedup": SUFFIX_DEDUP, "op7_minhash": NEAR_DUPLICATES, "op11_prefix_trie": PREFIX_TRIE, "op12_periodic_runs": PERIODIC_RUNS, "op13_host_rules": HOST_RULES, "op3_decontamination": DECONTAMINATION, "op6_sentence_spans": SENTENCE_SPANS, "op8_hnsw": NEAR_VECTORS}
