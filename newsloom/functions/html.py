@@ -47,15 +47,14 @@ def without_noise(html: Column) -> Column:
     return F.regexp_replace(html, NOISE, "")
 
 
-def article_html(html: Column) -> Column:
-    """The article element without navigation, footers and headers."""
-    return F.regexp_replace(F.regexp_extract(without_noise(html), ARTICLE, 0), CHROME, "")
+def article_of(clean: Column) -> Column:
+    """The article element of a page without noise, without navigation, footers and headers."""
+    return F.regexp_replace(F.regexp_extract(clean, ARTICLE, 0), CHROME, "")
 
 
-def has_plain_article(html: Column) -> Column:
-    """True where ``article_html`` is exact: one article, no nested page furniture."""
-    marks = F.regexp_count(without_noise(html), F.lit(r"(?i)</?article\b"))
-    article = article_html(html)
+def is_plain(clean: Column, article: Column) -> Column:
+    """True where ``article_of`` is exact: one article, no nested page furniture."""
+    marks = F.regexp_count(clean, F.lit(r"(?i)</?article\b"))
     plain = article.rlike(r"(?is)^<article\b") & ~article.rlike(r"(?i)</?(nav|footer|header|script|style)\b")
     return F.coalesce((marks == 2) & plain, F.lit(False))
 

@@ -14,7 +14,7 @@ from newsloom import schemas
 from newsloom.functions import text as T
 from newsloom.functions.dates import elapsed_ms, parse_date
 from newsloom.functions.html import (
-    absolute_link, article_html, has_plain_article, html_text, without_noise,
+    absolute_link, article_of, html_text, is_plain, without_noise,
 )
 from newsloom.functions.python_udfs import find_body_html, sanitize_html
 from newsloom.operators import history, quality
@@ -58,10 +58,11 @@ def extract_bodies(pages: DataFrame, sanitized: bool = False) -> DataFrame:
     Pages with one plain article stay native. Only the text of the others goes to a
     parser, in Arrow batches. Sanitising needs the parser for all pages.
     """
-    html = F.col("html")
-    found = pages.withColumn("_article", F.when(has_plain_article(html), article_html(html)))
-    rest = F.when(F.col("_article").isNull(), html)
-    found = found.withColumn("main_html", F.coalesce("_article", find_body_html(rest))).drop("_article")
+    # one step a column: each is used more than once, so Spark computes it once and keeps it
+    found = pages.withColumn("_clean", without_noise(F.col("html"))).withColumn("_found", article_of(F.col("_clean")))
+    found = found.withColumn("_article", F.when(is_plain(F.col("_clean"), F.col("_found")), F.col("_found")))
+    rest = F.when(F.col("_article").isNull(), F.col("html"))
+    found = found.withColumn("main_html", F.coalesce("_article", find_body_html(rest))).drop("_clean", "_found", "_article")
     if sanitized:
         found = found.withColumn("main_html", sanitize_html("main_html", "url"))
     return found
@@ -126,9 +127,8 @@ ITEM_KEYS = ["title_key", "link_key", "guid_key"]
 
 
 def all_digests(rows: DataFrame) -> DataFrame:
-    """The three digests of each row as rows, without nulls and copies."""
-    every = rows.select(F.explode(F.array(*ITEM_KEYS)).alias("digest"))
-    return every.where("digest is not null").distinct()
+    """The three digests of each row as rows, without nulls."""
+    return rows.select(F.explode(F.array(*ITEM_KEYS)).alias("digest")).where("digest is not null")
 
 
 def stored_digests(stored: DataFrame) -> DataFrame:

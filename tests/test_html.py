@@ -38,7 +38,8 @@ def test_main_element(spark):
 def test_native_and_parsed_paths_agree(spark):
     rows = [(n, "u", p) for n, (p, _) in PAGES.items()]
     pages = spark.createDataFrame(rows, "page_id string, url string, html string")
-    native = pages.where(H.has_plain_article(F.col("html"))).withColumn("m", H.article_html(F.col("html"))).collect()
+    clean = H.without_noise(F.col("html"))
+    native = pages.where(H.is_plain(clean, H.article_of(clean))).withColumn("m", H.article_of(clean)).collect()
     assert {r.page_id for r in native} >= {"article wins", "commented"}
     for row in native:
         assert row.m == H.find_body(row.html).replace("<!-- -->", "")
