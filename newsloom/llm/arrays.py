@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -14,7 +15,7 @@ from pyspark.sql.types import DataType, StructField, StructType
 
 from newsloom.session import ship_package, work_folder
 
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 
 
 def written(df: DataFrame, spark: SparkSession, name: str) -> DataFrame:
@@ -24,6 +25,21 @@ def written(df: DataFrame, spark: SparkSession, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(folder)
 
 
+@contextmanager
+def batches_of(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Arrow batches of so many rows at most while jobs run, for rows that hold long texts.
+
+    Spark counts the rows of a batch, not its bytes, and holds a batch in the JVM and in the Python worker at once.
+    """
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(min(rows, int(before)) if int(before) > 0 else rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def text_of(name: str = "text") -> Column:
     """The text as a string, null as empty."""
     return F.coalesce(F.col(name).cast("string"), F.lit(""))

@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from newsloom.llm.arrays import Words, byte_slices, map_batches, mix, ranges, text_of, utf8, written
+from newsloom.llm.arrays import Words, batches_of, byte_slices, map_batches, mix, ranges, text_of, utf8, written
 from newsloom.llm.components import components
 from newsloom.session import ship_package
 
@@ -47,9 +47,10 @@ SAMPLES = BANDS * ROWS
 HUBS = 2
 TEXT_BYTES = 1 << 20  # the hashes of one part take about 50 times as much for a moment
 BLOCK_ROWS, BLOCK_BYTES = 512, 2 << 20
+PAIR_ROWS = 256  # pairs of texts in an Arrow batch
 DRAWS = 16  # bits
-SLICE_BYTES, PART_BYTES = 4 << 20, 32 << 20
-SLICES, PARTS = 256, 64  # at least
+SLICE_BYTES, PART_BYTES = 4 << 20, 8 << 20
+SLICES, PARTS = 256, 256  # at least
 
 
 def bags(column: pa.Array, size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -308,7 +309,8 @@ def linked_blocks(live: DataFrame, bodies: DataFrame, documents: int, similarity
             links += block_links(column("node"), column("component"), column("text"), column("held"), len(a), documents, similarity)
         return {"a": [x for x, _ in links], "b": [x for _, x in links]}
 
-    return map_batches(rows, work, "a long, b long")
+    with batches_of(live.sparkSession, 1):
+        return written(map_batches(rows, work, "a long, b long"), live.sparkSession, "blocks_near")
 
 
 def near_links(texts: DataFrame, bodies_of, documents: int, similarity: float = SIMILARITY) -> DataFrame:
@@ -330,7 +332,8 @@ def near_links(texts: DataFrame, bodies_of, documents: int, similarity: float =
     met = buckets.join(hubs, "bucket").where("node <> hub")
     pairs = met.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
     body = lambda s: bodies.select(F.col("node").alias(s), F.col("text").alias(f"text_{s}"), F.col("held").alias(f"held_{s}"))
-    links = written(verified(pairs.join(body("a"), "a").join(body("b"), "b"), documents, similarity), spark, "near")
+    with batches_of(spark, PAIR_ROWS):
+        links = written(verified(pairs.join(body("a"), "a").join(body("b"), "b"), documents, similarity), spark, "near")
     united = components(links)
     live = buckets.join(united, "node", "left").select("bucket", "node", F.coalesce("component", "node").alias("component"))
     several = live.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
