@@ -119,8 +119,9 @@ def merge_counts(parts: DataFrame) -> DataFrame:
 
 
 def _documents(spark: SparkSession, folder: str) -> DataFrame:
+    """The given table as a stream, be it one file or a folder of files; a stream takes a single file as a pattern only."""
     schema = V.table(spark, folder, "documents").schema
-    return file_stream(spark, folder, schema, pathGlobFilter="documents.parquet")
+    return file_stream(spark, f"{folder}/{{documents}}.parquet", schema)
 
 
 def _articles(batch: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ from newsloom.functions import text as T
 from newsloom.operators import dedup
 from newsloom.operators import keywords as K
 from newsloom.plans import ingest
+from newsloom.plans import views as V
 from newsloom.sources import readers
 from newsloom.sources.parts import Parts, Table
 from newsloom.streaming import pipelines as S
@@ -246,3 +247,19 @@ def test_feed_files_as_a_stream(spark, tmp_path, feeds, crawled):
     assert len(rejects) == 1 and "broken" in rejects[0].record and rejects[0].path.endswith("feed_source_id=1/0.xml")
     logs = {(r.cycle_id, r.feed_source_id): (r.articles_fetched, r.articles_saved, r.duplicates_found) for r in store.read("logs").collect()}
     assert logs[0, 0] == (2, 2, 0) and logs[1, 0] == (2, 1, 1) and logs[1, 1] == (0, 0, 0)
+
+
+def test_streams_read_a_table_of_many_files(spark, tmp_path):
+    rows = [(i, f"Tin {i % 5}\nphim mới {i}", "en", f"src{1 + i % 3}", 20) for i in range(12)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    docs.repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+    nations = spark.createDataFrame([(i, f"N{i}", 0) for i in range(5)], "n_nationkey int, n_name string, n_regionkey int")
+    nations.write.parquet(f"{tmp_path}/nation.parquet")
+    folder, nothing = str(tmp_path), spark.createDataFrame([], "url string, content string")
+    news = V.articles(spark, folder)
+    assert sorted(r.item_id for r in S.run_ingest(spark, folder).collect()) == list(range(12))
+    firsts = dedup.first_wins(news).collect()
+    assert sorted(S.run_dedup(spark, folder).collect()) == sorted(firsts) and firsts
+    counts = K.trending_words(news, stopwords=V.STOPWORDS).collect()
+    assert sorted(S.run_trending(spark, folder).collect()) == sorted(counts) and counts
+    assert S.run_ingest_log(spark, folder).agg(F.sum("articles_saved")).first()[0] == S.run_cycles(spark, folder, nothing).count() > 0
