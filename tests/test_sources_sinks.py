@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from newsloom import schemas
 from newsloom.operators import keywords as K
 from newsloom.plans import ingest, serving
+from newsloom.plans.queries import QUERIES
 from newsloom.sources import readers, seeds, writers
 
 LINE = {"publish_date": "2026-05-26", "source": "bao1", "title": "Tin mới", "content": "phim mới"}
@@ -123,6 +124,14 @@ def test_scan_rss_items(spark, tmp_path):
     assert first.published_date == datetime(2026, 5, 26, 8, 30)
 
 
+def test_feed_files_give_equal_items_once(spark, tmp_path):
+    """Copies of one text whose dates are written in two forms, as 20240114 and as 2024-01-14."""
+    rows = [(i, "Phim mới\nrobot", "en", "src1", 14) for i in (2, 7, 14, 19)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    found = QUERIES["feed_files"](spark, str(tmp_path)).collect()
+    assert len(found) == len(set(found)) and {r.published_date.day for r in found} == {9}
+
+
 def test_ingest_cycle_over_feed_files(spark, tmp_path):
     """Same title in other case and spacing, same link, blank title and bad date are left out."""
     items = feed_items(spark, tmp_path)
