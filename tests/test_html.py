@@ -76,6 +76,14 @@ def test_substantial_body(spark):
     assert [r.b for r in df.where(ingest.substantial("b")).collect()] == ["x" * 51]
 
 
+def test_page_text_can_leave_cut_references_alone(spark):
+    html = "<article><p>a &amp; b&amp</p><p>Ly.&lt;&#233;&copy d &notit;&&amp;lt;</p></article>"
+    pages = spark.createDataFrame([(1, "https://a.vn/", html)], "page_id long, url string, html string")
+    read = lambda **options: ingest.page_text(pages, **options).first().page_text
+    assert read(whole_references=True) == "a & b&ampLy.<é&copy d &notit;&&lt;"
+    assert read() == "a & b&Ly.<é© d ¬it;&&lt;"
+
+
 def test_page_links_skip_comments_and_read_all_quotes(spark):
     html = """<a href="/1">x</a><!-- <a href="/no"> --><A class=c HREF='2'>y</A><a href=/3?a=1&amp;b=2>z</a><a name="n">"""
     pages = spark.createDataFrame([(1, "https://a.vn/d/", html)], "page_id long, url string, html string")
