@@ -228,6 +228,6 @@ def run_ingest_log(spark: SparkSession, folder: str) -> DataFrame:
 def run_trending(spark: SparkSession, folder: str) -> DataFrame:
     """Keyword counts kept as partial counts per batch, merged on reading."""
     out = work_folder(spark, "trending")
-    store, count = counts_store(spark, out), lambda batch: keywords.trending_words(_articles(batch), stopwords=V.STOPWORDS)
+    store, count = counts_store(spark, out), lambda batch: keywords.trending_words(V.grouped(V.articles_of(batch)), stopwords=V.STOPWORDS)
     _run(_documents(spark, folder), batch_writer(count, store, "parts", f"{out}/checkpoint"), out)
     return merge_counts(store.read("parts"))

@@ -105,3 +105,12 @@ def test_serving_queries(spark):
 def test_hot_path_is_native(spark):
     plan = K.trending_words(spark.createDataFrame(ROWS, SCHEMA), stopwords=["a"])._jdf.queryExecution().toString()
     assert "Python" not in plan and "partial_count" in plan
+
+
+def test_the_group_is_worked_out_once_an_article(spark):
+    """The day is parsed below the explode, not once a token."""
+    rows = spark.createDataFrame([("2026-05-26", "bao", "GiaiTri", "Tin", "phim mới")], "publish_date string, source string, chu_de string, title string, content string")
+    for counted, parsed in ((K.trending_words(rows), "date_format"), (K.trending_tokens_raw(rows), "coalesce")):
+        plan = counted._jdf.queryExecution().optimizedPlan().toString()
+        above, below = plan.split("Generate", 1)
+        assert parsed not in above and parsed in below
