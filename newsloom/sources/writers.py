@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from newsloom import schemas
@@ -98,6 +98,25 @@ def land_raw_zone(articles: DataFrame, categories: DataFrame, base: str, rejects
     )
 
 
+def land_json_arrays(articles: DataFrame, base: str, row_id: str, max_chars: int) -> None:
+    """Articles as files of one JSON array each, ``category=<folder>/part=<n>/``, every row in one of them.
+
+    There are as many parts as hold about ``max_chars`` of content each, so no task writes more however large a
+    category is.
+    """
+    total = articles.agg(F.sum(F.length("content"))).first()[0] or 0
+    parts = 1 + total // max_chars
+    lines = articles.select(
+        "category", F.pmod(F.xxhash64(row_id), F.lit(parts)).alias("part"), F.col(row_id).alias("_id"),
+        F.to_json(F.struct(*articles.columns)).alias("line"),
+    )
+    array = Window.partitionBy("category", "part").orderBy("_id")
+    opening = F.when(F.row_number().over(array) == 1, "[").otherwise(",")
+    closing = F.when(F.lead(F.lit(1)).over(array).isNull(), "]").otherwise("")
+    # the rows come from the window in the order of the files
+    lines.select("category", "part", F.concat(opening, "line", closing).alias("value")).write.partitionBy("category", "part").text(base)
+
+
 def publish_serving_table(table: DataFrame, name: str, created_at: str) -> None:
     """The serving table, with a count of 1 where none is given and a creation time."""
     stamp = F.lit(created_at).cast("timestamp_ntz")

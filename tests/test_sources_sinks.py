@@ -88,6 +88,22 @@ def test_large_json_arrays_are_read_in_blocks(spark, tmp_path):
     assert len(corrupt) == 1 and '"id" "1"' in corrupt[0][readers.CORRUPT]
 
 
+def test_large_categories_are_landed_as_several_arrays(spark, tmp_path):
+    rows = [(str(i), f"t{i} }}", 'x"{[,' * (i % 7), "bao", "giai_tri" if i % 10 else "suc_khoe", "2026-05-26") for i in range(200)]
+    names = "id string, title string, content string, source string, category string, publish_date string"
+    articles = spark.createDataFrame(rows, names)
+    for limit, files in ((200, 10), (10**6, 2)):
+        base = tmp_path / str(limit)
+        writers.land_json_arrays(articles, str(base), "id", max_chars=limit)
+        landed = sorted(base.rglob("part-*"))
+        landed = [p for p in landed if p.is_file()]
+        arrays = [json.loads(p.read_text(encoding="utf-8")) for p in landed]
+        assert sum(map(len, arrays)) == 200 and (len(landed) == 2 if files == 2 else len(landed) >= files)
+        assert limit > 200 or max(sum(len(r["content"]) for r in a) for a in arrays) < 1500
+        found = readers.scan_json_array(spark, str(base), {"category=giai_tri": "a", "category=suc_khoe": "b"})[0]
+        assert sorted(map(tuple, found.select(*[n.split()[0] for n in names.split(", ")]).collect())) == sorted(rows)
+
+
 def test_stored_pages_equal_the_query(spark, tmp_path, capsys):
     logs = spark.range(3000).select(
         F.col("id").alias("log_id"), (F.col("id") % 7).cast("int").alias("feed_source_id"),
