@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from newsloom.sources.writers import table_or_empty
+from newsloom.sources.writers import table_of_none, table_or_empty
 
 FAN = 8
 KEPT_VERSIONS = 2
@@ -88,7 +88,7 @@ class Parts:
     def _rows(self, table: str, parts: list[Part]) -> DataFrame:
         schema = self.tables[table].schema
         if not parts:
-            return self.spark.createDataFrame([], schema)
+            return table_of_none(self.spark, schema)
         reader = self.spark.read.schema(schema).option("basePath", f"{self.base}/{table}")
         return reader.parquet(*[p.path for p in parts]).select(*schema.names)
 

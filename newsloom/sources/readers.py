@@ -11,6 +11,7 @@ from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from newsloom import schemas
 from newsloom.functions import text as T
+from newsloom.session import ensure_checkpoint_dir
 
 # The landing folders and their category labels.
 FOLDERS = {"giai_tri": "GiaiTri", "cong_nghe": "CongNghe", "suc_khoe": "SucKhoe"}
@@ -145,10 +146,16 @@ def stream_rss_items(spark: SparkSession, base: str, max_files: int | None = Non
 
 
 def rss_batch(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The items of a batch of ``stream_rss_items``, each once, and its unreadable records."""
+    """The items of a batch of ``stream_rss_items``, each once, and its unreadable records, all of them.
+
+    Both are checkpointed together, so the files are read and copies dropped once for all that uses them.
+    """
+    ensure_checkpoint_dir(rows.sparkSession)
     broken = F.col(CORRUPT).isNotNull()
-    items = rows.where(~broken).drop(CORRUPT, "path").dropDuplicates(["item_id"])
-    return items, rows.where(broken).select("feed_source_id", "path", F.col(CORRUPT).alias("record"))
+    kept = rows.withColumn("_record", F.when(broken, F.monotonically_increasing_id()))
+    kept = kept.dropDuplicates(["item_id", "_record"]).checkpoint()
+    items = kept.where(~broken).drop(CORRUPT, "path", "_record")
+    return items, kept.where(broken).select("feed_source_id", "path", F.col(CORRUPT).alias("record"))
 
 
 def load_stopwords(spark: SparkSession, path: str) -> DataFrame:

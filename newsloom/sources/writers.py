@@ -73,7 +73,12 @@ def table_or_empty(spark: SparkSession, path: str, schema) -> DataFrame:
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], schema)
+        return table_of_none(spark, schema)
+
+
+def table_of_none(spark: SparkSession, schema) -> DataFrame:
+    """A table without rows. The limit tells the optimizer, which then leaves out joins and aggregates over it."""
+    return spark.createDataFrame([], schema).limit(0)
 
 
 def seed_if_empty(rows: DataFrame, path: str, reset: bool = False) -> bool:

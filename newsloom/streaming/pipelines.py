@@ -22,6 +22,7 @@ from newsloom.plans import views as V
 from newsloom.session import ensure_checkpoint_dir, work_folder
 from newsloom.sources import readers
 from newsloom.sources.parts import FAN, Parts, Table, run_name
+from newsloom.sources.writers import table_of_none
 
 
 def file_stream(spark: SparkSession, path: str, schema, fmt: str = "parquet", **options: str) -> DataFrame:
@@ -171,8 +172,7 @@ def feed_cycle_writer(
 ) -> Callable[[DataFrame, int], None]:
     """One ingest cycle per micro-batch of feed files; records that are no XML go to the store's ``rejects``."""
     def handle(batch: DataFrame, batch_id: int) -> None:
-        rows = batch.checkpoint()  # the files are read once for items and rejects
-        items, rejects = readers.rss_batch(rows)
+        items, rejects = readers.rss_batch(batch)
         ingest.store_cycle(store, items, feeds, crawled, run_of(store.spark, run), batch_id, clock=clock, rejects=rejects)
 
     return handle
@@ -183,12 +183,15 @@ def run_feed_files(spark: SparkSession, folder: str, landings: int = 3) -> Parts
     a stream that is started after each landing."""
     ensure_checkpoint_dir(spark)
     out, feeds = work_folder(spark, "feed_files"), V.feeds(spark, folder)
-    store, nothing = ingest.store_of(spark, f"{out}/store", feeds), spark.createDataFrame([], "url string, content string")
-    named = F.col("pub_date").alias("pubDate")
-    items = V.items(spark, folder).select("item_id", "feed_source_id", "title", "link", "guid", "author", named)
+    store, nothing = ingest.store_of(spark, f"{out}/store", feeds), table_of_none(spark, "url string, content string")
+    named, turns = F.col("pub_date").alias("pubDate"), F.pmod("item_id", F.lit(landings)).alias("turn")
+    items = V.items(spark, folder).select(turns, "feed_source_id", "title", "link", "guid", "author", named)
+    # the texts are read once for all landings, and a feed lands in few files, however many the documents come in
+    items.hint("rebalance", "turn", "feed_source_id").write.partitionBy("turn").parquet(f"{out}/items")
+    items = spark.read.schema(items.schema).parquet(f"{out}/items")
     handle = feed_cycle_writer(store, feeds, nothing, f"{out}/checkpoint")
     for turn in range(landings):
-        rows = items.where(F.pmod("item_id", F.lit(landings)) == turn).drop("item_id")
+        rows = items.where(F.col("turn") == turn).drop("turn")
         rows.write.mode("append").format("xml").option("rootTag", "channel").option("rowTag", "item").partitionBy("feed_source_id").save(f"{out}/landed")
         broken = spark.createDataFrame([(f"<channel><item><title>broken {turn}</title><link></item></channel>", 1)], "value string, feed_source_id int")
         broken.write.mode("append").partitionBy("feed_source_id").text(f"{out}/landed")
@@ -220,7 +223,7 @@ def run_cycles(spark: SparkSession, folder: str, crawled: DataFrame) -> DataFram
 
 def run_ingest_log(spark: SparkSession, folder: str) -> DataFrame:
     """One log row per active feed and cycle."""
-    nothing = spark.createDataFrame([], "url string, content string")
+    nothing = table_of_none(spark, "url string, content string")
     logs = _run_cycles(spark, folder, nothing).read("logs")
     return logs.drop("id", "started_at", "execution_time_ms").withColumnRenamed("cycle_id", "batch_id")
 

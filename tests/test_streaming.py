@@ -263,3 +263,29 @@ def test_streams_read_a_table_of_many_files(spark, tmp_path):
     counts = K.trending_words(news, stopwords=V.STOPWORDS).collect()
     assert sorted(S.run_trending(spark, folder).collect()) == sorted(counts) and counts
     assert S.run_ingest_log(spark, folder).agg(F.sum("articles_saved")).first()[0] == S.run_cycles(spark, folder, nothing).count() > 0
+
+
+def test_feed_files_land_in_few_files(spark, tmp_path, monkeypatch):
+    """One file for each feed and landing, and one broken record each, not one for every file of documents."""
+    rows = [(i, f"Tin {i}\nphim mới {i}", "en", f"src{1 + i % 2}", 20) for i in range(48)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    docs.repartition(4).write.parquet(f"{tmp_path}/documents.parquet")
+    nations = spark.createDataFrame([(i, f"N{i}", 0) for i in range(5)], "n_nationkey int, n_name string, n_regionkey int")
+    nations.write.parquet(f"{tmp_path}/nation.parquet")
+    monkeypatch.setattr(S, "work_folder", lambda spark, name: f"{tmp_path}/{name}")
+    monkeypatch.setattr(V, "table", lambda spark, folder, name, read=V.table: read(spark, folder, name).repartition(4))
+    logs = S.run_feed_log(spark, str(tmp_path)).collect()
+    assert sum(r.articles_fetched + r.dropped for r in logs) == 48 and sum(r.rejected for r in logs) == 3
+    assert len(list(tmp_path.glob("feed_files/landed/feed_source_id=*/*.xml"))) == 2 * 3
+
+
+def test_a_batch_of_feed_files_drops_copies_once(spark, tmp_path):
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(str(tmp_path))
+    kind = "item_id long, feed_source_id int, title string, path string, _corrupt_record string"
+    copies = [(1, 1, "a", "x", None), (1, 1, "a", "y", None), (2, 1, "b", "x", None)]
+    broken = [(9, 1, None, "x", "<item>"), (9, 1, None, "x", "<item>"), (1, 1, None, "y", "<it")]
+    items, rejects = readers.rss_batch(spark.createDataFrame(copies + broken, kind).repartition(3))
+    assert sorted(tuple(r) for r in items.collect()) == [(1, 1, "a"), (2, 1, "b")]
+    assert sorted(tuple(r) for r in rejects.collect()) == [(1, "x", "<item>"), (1, "x", "<item>"), (1, "y", "<it")]
+    assert "Aggregate" not in items._jdf.queryExecution().optimizedPlan().toString()
